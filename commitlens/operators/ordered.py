@@ -26,8 +26,17 @@ def _n(df: DataFrame, n: int | None) -> int:
 
 
 def _split(df: DataFrame, part: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """Range-partition on the full key and number the partitions, then cut lineage.
+
+    Range bounds come from sampling and differ between two plans over the same input (column pruning changes
+    the sampled projection), so the numbered rows are checkpointed once, into the shared checkpoint folder, and
+    both the local pass and the edge summary read that one copy. This also survives executor loss.
+    """
+    from commitlens.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     keys = _cols(list(part) + list(order))
-    return df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
+    numbered = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
+    return numbered.checkpoint(eager=True)
 
 
 def _key_struct(part: Sequence[str]) -> Column:
