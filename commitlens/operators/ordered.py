@@ -5,6 +5,11 @@ becomes the job. Here rows are range-partitioned on the *full* sort key (partiti
 so a hot key is spread over many contiguous range partitions. Each partition is then numbered / shifted locally
 (window over ``(_pid, key)``: groups are bounded by the partition size), and the few rows at partition edges are
 fixed with a per-partition summary that has at most ``n_partitions`` rows - a proven bound, so it is broadcast.
+
+Before choosing, the largest group is measured (one partial+final count aggregate). When every group is at most
+``commitlens.window.maxGroupRows`` rows (default 2,000,000: a size one task sorts and spills comfortably) the
+plain ``Window`` plan is used - one hash shuffle, no sampling or lineage cut. Beyond it, the range path runs.
+This is the same pattern as a broadcast behind a size check, with the scalable plan as the fallback.
 """
 
 from __future__ import annotations
@@ -14,7 +19,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["row_number_within", "shift_within", "global_row_number"]
+__all__ = ["row_number_within", "shift_within", "global_row_number", "largest_group"]
+
+MAX_GROUP_CONF = "commitlens.window.maxGroupRows"
+DEFAULT_MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, part: Sequence[str]) -> int:
+    """Rows in the largest ``part`` group (the whole table when ``part`` is empty)."""
+    if not part:
+        return df.count()
+    top = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
+    return int(top or 0)
+
+
+def _bounded(df: DataFrame, part: Sequence[str], max_group_rows: int | None) -> bool:
+    limit = max_group_rows
+    if limit is None:
+        limit = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    return largest_group(df, part) <= limit
 
 
 def _cols(xs: Sequence[str | Column]) -> list[Column]:
@@ -44,11 +67,14 @@ def _key_struct(part: Sequence[str]) -> Column:
 
 
 def row_number_within(df: DataFrame, part: Sequence[str], order: Sequence[str], name: str = "rn",
-                      n_partitions: int | None = None) -> DataFrame:
+                      n_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
     """Adds ``name`` = 1-based ``row_number() over (partition by part order by order)``.
 
     ``order`` must be a total order within ``part`` (ascending column names).
     """
+    if _bounded(df, part, max_group_rows):
+        w = Window.partitionBy(*_cols(part)).orderBy(*_cols(order)) if part else Window.orderBy(*_cols(order))
+        return df.withColumn(name, F.row_number().over(w))
     n = _n(df, n_partitions)
     r = _split(df, part, order, n).withColumn("_key", _key_struct(part))
     w = Window.partitionBy("_pid", "_key").orderBy(*_cols(order))
@@ -73,13 +99,14 @@ def row_number_within(df: DataFrame, part: Sequence[str], order: Sequence[str],
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
-                      n_partitions: int | None = None) -> DataFrame:
-    """1-based position in a global total order, without an unpartitioned window."""
-    return row_number_within(df, [], order, name, n_partitions)
+                      n_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+    """1-based position in a global total order; an unpartitioned window only for a measured small table."""
+    return row_number_within(df, [], order, name, n_partitions, max_group_rows)
 
 
 def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 offset: int = -1, suffix: str | None = None, n_partitions: int | None = None) -> DataFrame:
+                 offset: int = -1, suffix: str | None = None, n_partitions: int | None = None,
+                 max_group_rows: int | None = None) -> DataFrame:
     """``lag`` (offset -1) or ``lead`` (offset +1) of ``cols`` within ``part`` ordered by ``order``.
 
     Adds ``<col><suffix>`` columns (default suffix ``_prev`` / ``_next``); NULL at the start/end of a key.
@@ -87,10 +114,13 @@ def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols:
     if offset not in (-1, 1):
         raise ValueError("offset must be -1 (lag) or +1 (lead)")
     suffix = suffix or ("_prev" if offset < 0 else "_next")
+    fn = F.lag if offset < 0 else F.lead
+    if _bounded(df, part, max_group_rows):
+        w = Window.partitionBy(*_cols(part)).orderBy(*_cols(order)) if part else Window.orderBy(*_cols(order))
+        return df.select("*", *[fn(c).over(w).alias(c + suffix) for c in cols])
     n = _n(df, n_partitions)
     r = _split(df, part, order, n).withColumn("_key", _key_struct(part))
     w = Window.partitionBy("_pid", "_key").orderBy(*_cols(order))
-    fn = F.lag if offset < 0 else F.lead
     local = r.select("*", *[fn(c).over(w).alias(c + suffix) for c in cols],
                      F.row_number().over(w).alias("_lrn"),
                      F.count(F.lit(1)).over(Window.partitionBy("_pid", "_key")).alias("_lcnt"))

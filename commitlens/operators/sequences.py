@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.operators.ordered import row_number_within
+from commitlens.operators.ordered import _bounded, _n, _split, row_number_within
 
 INT_MIN = -2147483648
 Pred = Callable[[Column], Column]
@@ -154,6 +154,45 @@ def fold_right(seqs: DataFrame, keys: DataFrame, init: Column, f: Callable[[Colu
     return keys.join(g, "seq_id", "left").select("seq_id", F.coalesce("result", init).alias("result"))
 
 
+def fold_affine(seqs: DataFrame, keys: DataFrame, init: int, a: int, modulus: int | None = None,
+                from_right: bool = False, n_partitions: int | None = None,
+                max_group_rows: int | None = None) -> DataFrame:
+    """L18 for folds whose step is affine in the accumulator, ``acc -> a * acc + x`` (mod ``modulus``):
+    foldLeft of ``(acc * a + x) % m``, or with ``from_right`` foldRight of ``f(x, acc) = a * acc + x``
+    (``a = -1`` gives ``x - acc``).
+
+    Affine steps compose associatively - a run of items is the single map ``acc -> A * acc + B`` - so a sequence
+    can be folded in ordered chunks: when its size is bounded, one chunk per sequence; otherwise chunks are
+    range partitions of (seq_id, pos), folded locally, and the at most ``n_partitions`` chunk maps of a sequence
+    are composed in order. No list longer than a range partition is ever built.
+    """
+    def md(c: Column) -> Column:
+        return F.pmod(c, F.lit(modulus)) if modulus else c
+
+    def step(st: Column, x: Column) -> Column:
+        return F.struct(md(st["A"] * a).alias("A"), md(st["B"] * a + x).alias("B"))
+
+    start = F.struct(F.lit(1).cast("long").alias("A"), F.lit(0).cast("long").alias("B"))
+
+    def chunk_map(df: DataFrame, group: list[str]) -> DataFrame:
+        vals = F.transform(F.sort_array(F.collect_list(F.struct("pos", F.col("value").cast("long").alias("v"))),
+                                        asc=not from_right), lambda s: s["v"])
+        return df.groupBy(*group).agg(F.aggregate(vals, start, step).alias("m"))
+
+    if _bounded(seqs, ["seq_id"], max_group_rows):
+        per_seq = chunk_map(seqs, ["seq_id"]).select("seq_id", "m")
+    else:
+        parts = chunk_map(_split(seqs.select("seq_id", "pos", "value"), ["seq_id"], ["pos"], _n(seqs, n_partitions)),
+                          ["_pid", "seq_id"])
+        ordered = F.sort_array(F.collect_list(F.struct("_pid", "m")), asc=not from_right)
+        compose = F.aggregate(ordered, start, lambda acc, c: F.struct(
+            md(c["m"]["A"] * acc["A"]).alias("A"), md(c["m"]["A"] * acc["B"] + c["m"]["B"]).alias("B")))
+        per_seq = parts.groupBy("seq_id").agg(compose.alias("m"))
+    res = per_seq.select("seq_id", md(F.col("m.A") * init + F.col("m.B")).alias("result"))
+    return keys.join(res, "seq_id", "left").select(
+        "seq_id", F.coalesce("result", F.lit(init).cast("long")).alias("result"))
+
+
 def zip_sequences(xs: DataFrame, ys: DataFrame) -> DataFrame:
     """Positional zip, stopping at the shorter sequence (inner equi-join on (seq_id, pos))."""
     return xs.select("seq_id", "pos", F.col("value").alias("left_value")).join(

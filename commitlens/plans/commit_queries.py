@@ -91,12 +91,17 @@ def commit_repo_latest_files(spark, sf):
 
 
 @register("commit_repo_file_shas", W + f"""
-SELECT coalesce(fl.filename, '') AS filename, string_agg(cm.sha, ',' ORDER BY cm.sha) AS shas,
-       CAST(sum(fl.changes) AS BIGINT) AS total, CAST(sum(fl.additions) AS BIGINT) AS additions,
-       CAST(sum(fl.deletions) AS BIGINT) AS deletions
-FROM fl JOIN cm ON fl.k = cm.k WHERE cm.repo = '{REPO}' GROUP BY 1""")
+SELECT coalesce(fl.filename, '') AS filename, cm.sha FROM fl JOIN cm ON fl.k = cm.k WHERE cm.repo = '{REPO}'""")
 def commit_repo_file_shas(spark, sf):
-    return Q.repo_file_shas(landed_commits(spark, sf), REPO)
+    return Q.repo_file_sha_rows(landed_commits(spark, sf), REPO)
+
+
+@register("commit_repo_file_stats", W + f"""
+SELECT coalesce(fl.filename, '') AS filename, count(*) AS n_shas, CAST(sum(fl.changes) AS BIGINT) AS total,
+       CAST(sum(fl.additions) AS BIGINT) AS additions, CAST(sum(fl.deletions) AS BIGINT) AS deletions
+FROM fl JOIN cm ON fl.k = cm.k WHERE cm.repo = '{REPO}' GROUP BY 1""")
+def commit_repo_file_stats(spark, sf):
+    return Q.repo_file_stats(landed_commits(spark, sf), REPO)
 
 
 @register("commit_committer_repo_stats", W + """

@@ -150,8 +150,7 @@ def seq_flatten(spark, sf):
 SELECT ks.seq_id, coalesce(list_reduce(l.vs, lambda acc, x: (acc * 31 + x) % 1000003, 7), 7) AS result
 FROM ks LEFT JOIN l ON ks.seq_id = l.seq_id""")
 def seq_fold_left(spark, sf):
-    return L.fold_left(q(spark, sf), order_keys(spark, sf), F.lit(7).cast("long"),
-                       lambda acc, x: (acc * 31 + x) % 1000003)
+    return L.fold_affine(q(spark, sf), order_keys(spark, sf), 7, 31, modulus=1000003)
 
 
 @register("seq_fold_right", W + """
@@ -159,7 +158,7 @@ def seq_fold_left(spark, sf):
 SELECT ks.seq_id, coalesce(list_reduce(l.vs, lambda acc, x: x - acc, 0), 0) AS result
 FROM ks LEFT JOIN l ON ks.seq_id = l.seq_id""")
 def seq_fold_right(spark, sf):
-    return L.fold_right(q(spark, sf), order_keys(spark, sf), F.lit(0).cast("long"), lambda x, acc: x - acc)
+    return L.fold_affine(q(spark, sf), order_keys(spark, sf), 0, -1, from_right=True)
 
 
 @register("seq_zip", W + """

@@ -9,8 +9,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "commitlens") -> SparkSession:
-    """Local/test session. On a cluster, use the cluster's session and call :func:`ensure_utc`."""
+def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "commitlens",
+                  driver_memory: str | None = None) -> SparkSession:
+    """Local/test session. On a cluster, use the cluster's session and call :func:`ensure_utc`.
+
+    In local mode the driver JVM is the only executor, so ``driver_memory`` is the heap every task shares.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -26,6 +30,8 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     )
     if master:
         builder = builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_utc(spark)

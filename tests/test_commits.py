@@ -39,6 +39,8 @@ def test_repo_match_d9(spark):
                             commit("c2", owner="x", repo="foobar", files=[("b", "added", 1, 0)]),
                             commit("c3", owner="foo", repo="zzz", files=[("c", "added", 1, 0)])])
     assert [r.filename for r in Q.repo_file_shas(df, "foo").collect()] == ["a"]
+    assert rows(Q.repo_file_sha_rows(df, "foo")) == [("a", "c1")]
+    assert rows(Q.repo_file_stats(df, "foo")) == [("a", 1, 1, 1, 0)]
     assert sorted(r.filename for r in Q.repo_file_shas(df, "foo", match="contains").collect()) == ["a", "b", "c"]
     got = Q.repo_file_shas(df, "x/foo", sha="file").collect()
     assert [(r.filename, list(r.shas)) for r in got] == [("a", ["c1-f0"])]

@@ -63,3 +63,15 @@ def test_passing_students_d11(spark):
     grades = spark.createDataFrame(data, "seq_id long, pos long, value long")
     # student 1: mean 5.75 exactly -> passes; 2: 5.9 -> passes; 3: a 3 among 10s -> fails; 4: no grades
     assert rows(L.passing_students(grades)) == [(2,)]
+
+
+def test_affine_fold_equals_generic_fold_on_both_paths(spark):
+    import random
+    random.seed(3)
+    seqs = {1: [random.randint(0, 100) for _ in range(500)], 2: [5, 6, 7], 3: []}
+    s, k = _df(spark, seqs)
+    gen_l = dict(rows(L.fold_left(s, k, F.lit(7).cast("long"), lambda acc, x: (acc * 31 + x) % 1000003)))
+    gen_r = dict(rows(L.fold_right(s, k, F.lit(0).cast("long"), lambda x, acc: x - acc)))
+    for limit in (None, 10):
+        assert dict(rows(L.fold_affine(s, k, 7, 31, 1000003, n_partitions=8, max_group_rows=limit))) == gen_l
+        assert dict(rows(L.fold_affine(s, k, 0, -1, from_right=True, n_partitions=8, max_group_rows=limit))) == gen_r
