@@ -45,3 +45,18 @@ def test_partition_count_invariance(spark, key):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert results[0] == results[1] == results[2]
+
+
+@pytest.mark.parametrize("key", ["commit_days_since_prev", "commit_author_rank", "twin_added_removed",
+                                 "seq_every_other", "seq_only_even", "seq_fold_left", "seq_fold_right"])
+def test_range_path_matches_oracle(spark, key):
+    """Force the skew path (every group 'too large') on the real queries and check them against DuckDB."""
+    import oracle
+    from commitlens.operators.ordered import MAX_GROUP_CONF
+    spark.conf.set(MAX_GROUP_CONF, "10")
+    try:
+        df = E.queries()[key](spark, SF)
+        ok, msg = oracle.compare(df, E.oracle_sql()[key], SF)
+    finally:
+        spark.conf.unset(MAX_GROUP_CONF)
+    assert ok, msg
