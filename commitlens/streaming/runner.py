@@ -70,11 +70,24 @@ def land(df: DataFrame, folder: str, n_files: int, time_col: str, sentinel: Data
     return n_files
 
 
+def late_rows(query) -> int:
+    """Rows dropped as late (behind the watermark) by the stateful operators of a finished or running query."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else []:
+            total += int(op.get("numRowsDroppedByWatermark", 0))
+    return total
+
+
+LAST_QUERY: dict[str, object] = {}
+
+
 def run_append(spark: SparkSession, build: Callable[..., DataFrame], inputs: dict[str, tuple[str, object]],
                files_per_trigger: int, name: str) -> DataFrame:
     """Start ``build(**streams)`` in append mode to Parquet with ``availableNow``; return the result as a batch DF.
 
     ``inputs``: argument name -> (folder, schema). Each becomes ``readStream.schema(schema).json(folder)``.
+    The finished query is kept in ``LAST_QUERY[name]`` (progress, late-row counts via :func:`late_rows`).
     """
     checkpoint_root(spark)
     streams = {k: spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(folder)
@@ -87,6 +100,7 @@ def run_append(spark: SparkSession, build: Callable[..., DataFrame], inputs: dic
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    LAST_QUERY[name] = q
     return spark.read.schema(out.schema).parquet(path)
 
 

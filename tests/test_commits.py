@@ -137,3 +137,17 @@ def test_summary_and_sample(spark):
     b = stats.sample_rows(big.repartition(7), 0.2, seed=0, key="id")
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
     assert 1700 < a.count() < 2300
+
+
+def test_schema_check_and_multiline_source(spark, tmp_path):
+    import json as _json
+    from commitlens.sources.commits import check_commits, read_commits
+    from fixtures import commit as _commit
+    good = _json.dumps(_commit("g1"))
+    (tmp_path / "lines.json").write_text(good + "\nnot json at all\n{broken\n")
+    r = check_commits(spark, str(tmp_path / "lines.json")).first()
+    assert (r.valid, r.invalid) == (1, 2)
+    (tmp_path / "dump").mkdir()
+    (tmp_path / "dump" / "one.json").write_text(_json.dumps(_commit("m1"), indent=2))
+    df = read_commits(spark, str(tmp_path / "dump"), multiline=True)
+    assert [r.sha for r in df.collect()] == ["m1"]

@@ -130,3 +130,19 @@ def test_update_mode_totals_equal_twin(spark):
     assert rows(got) == rows(S.ext_counts(df)) == [("java", 5), ("scala", 5)]
     log = S.ext_changelog(S.with_event_time(df))
     assert sorted(r.n for r in log.where(F.col("ext") == "java").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_t8_late_rows_are_dropped_and_counted(spark):
+    # a commit older than the watermark arrives in a later file: it is dropped and counted, not aggregated.
+    # Late rows are judged against the previous batch's watermark, so it comes two files after the newer one.
+    recs = [commit("l1", date="2019-01-05T00:00:00Z"), commit("l3", date="2019-01-05T01:00:00Z"),
+            commit("l2", date="2019-01-01T00:00:00Z")]
+    folder = scratch_path(spark, "fx-late")
+    for r in recs:
+        spark.read.schema(COMMIT).json(spark.sparkContext.parallelize([json.dumps(r)], 1)).write.mode("append").json(folder)
+    for _ in range(2):
+        runner.sentinel_commit(spark).write.mode("append").json(folder)
+    got = runner.run_append(spark, lambda commits: S.daily_commits(_wm(commits)), {"commits": (folder, COMMIT)}, 1,
+                            "late")
+    assert rows(got) == [("05-01-2019", 2)]
+    assert runner.late_rows(runner.LAST_QUERY["late"]) >= 1
