@@ -217,3 +217,14 @@ def stream_weekly_java_continent(spark, sf):
 def stream_added_removed(spark, sf):
     from commitlens.streaming.patterns import added_then_removed_stream
     return _append(spark, sf, "t7", lambda commits: added_then_removed_stream(_wm(commits)))
+
+
+@register("twin_ext_changelog", W + f"""
+, x AS (SELECT cm.committer_ts AS ts, {ext_sql('fl.filename')} AS ext, cm.sha, fl.file_sha, fl.filename
+        FROM fl JOIN cm ON fl.k = cm.k WHERE fl.filename IS NOT NULL)
+SELECT {ts_sql('ts')} AS ts, ext,
+       row_number() OVER (PARTITION BY ext ORDER BY ts, sha, file_sha, filename) AS n
+FROM x WHERE ext IN ('java', 'scala')""")
+def twin_ext_changelog(spark, sf):
+    """T1 as the per-record changelog of a keyed running count (D-2): one row per matching file."""
+    return S.ext_changelog(commits_ts(spark, sf))
