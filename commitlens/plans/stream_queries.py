@@ -118,7 +118,7 @@ def twin_added_removed(spark, sf):
 # ---------------------------------------------------------------- the same questions as Structured Streams
 
 _FEEDS: dict[tuple[str, str], str] = {}
-FILES_PER_TRIGGER = 1
+FILES_PER_TRIGGER = 2   # files written per time slice = files per micro-batch
 WATERMARK_DELAY = "0 seconds"   # ascending event time, as the reference's sources assume (T0)
 
 
@@ -127,9 +127,9 @@ def _feed(spark, sf, kind):
     key = (spark.sparkContext.applicationId, kind + ":" + sf)
     if key not in _FEEDS:
         if kind == "commits":
-            _FEEDS[key] = runner.landed_commit_feed(spark, landed_commits(spark, sf))
+            _FEEDS[key] = runner.landed_commit_feed(spark, landed_commits(spark, sf), 4, FILES_PER_TRIGGER)
         else:
-            _FEEDS[key] = runner.landed_geo_feed(spark, landed_geo(spark, sf))
+            _FEEDS[key] = runner.landed_geo_feed(spark, landed_geo(spark, sf), 4, FILES_PER_TRIGGER)
     return _FEEDS[key]
 
 
@@ -206,7 +206,7 @@ def stream_weekly_java_continent(spark, sf):
                         F.to_timestamp(F.lit(runner.SENTINEL_TS)).alias("event_ts")))
     sentinel = sentinel.select(*[F.col(c) if c in sentinel.columns else F.lit(None).cast(joined.schema[c].dataType).alias(c)
                                  for c in joined.columns])
-    runner.land(joined, folder, 4, "event_ts", sentinel)
+    runner.land(joined, folder, 4, "event_ts", sentinel, FILES_PER_TRIGGER)
 
     def week_build(joined):
         return S.weekly_java_changes(joined.withWatermark("event_ts", WATERMARK_DELAY))

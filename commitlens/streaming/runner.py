@@ -7,9 +7,9 @@ configures it. All folders are under the shared checkpoint folder (``spark.check
 
 Closing the last windows on finite input (D-21): event-time windows and timers only fire once the watermark
 passes them, and nothing follows the last real row. ``land`` therefore appends a far-future *sentinel* record
-(its own key) in two later files; the first moves the watermark past all real data, the batch of the second
-runs with that watermark and emits every remaining window/timer, and the sentinel's own window is never
-complete, so it never reaches the output.
+(its own key) in more later files than one micro-batch takes; the first moves the watermark past all real data,
+a later batch runs with that watermark and emits every remaining window/timer, and the sentinel's own window
+is never complete, so it never reaches the output.
 """
 
 from __future__ import annotations
@@ -46,28 +46,32 @@ def sentinel_commit(spark: SparkSession) -> DataFrame:
     return row
 
 
-def land(df: DataFrame, folder: str, n_files: int, time_col: str, sentinel: DataFrame | None) -> int:
-    """Write ``df`` as a feed of ``n_files`` JSON-lines files that arrive in event-time order, then the sentinel.
+def land(df: DataFrame, folder: str, n_slices: int, time_col: str, sentinel: DataFrame | None,
+         files_per_slice: int = 1) -> int:
+    """Replay ``df`` as a feed: ``n_slices`` equal-width event-time slices, written one after another (a file source
+    replays files by modification time; one job writing every slice at once would give them random times).
 
-    A file source replays files by modification time, so each time slice is written after the previous one
-    (a feed appends over time; one job writing all slices at once would give them random times). Slices are
-    equal-width ranges of the event time, so equal timestamps always share a file.
+    Each slice is written by ``files_per_slice`` tasks; read it with ``maxFilesPerTrigger = files_per_slice`` so a
+    micro-batch is one slice (order inside a batch does not matter). Equal timestamps always share a slice. The
+    sentinel follows in two later files (see module doc). Returns the number of files per slice.
     """
     t = F.unix_micros(F.col(time_col))
     lo, hi = df.agg(F.min(t), F.max(t)).first()
     if lo is None:
         lo, hi = 0, 0
-    width = max((hi - lo) // n_files + 1, 1)
-    sliced = df.withColumn("_slice", F.least(F.lit(n_files - 1), F.floor((t - F.lit(lo)) / F.lit(width))))
-    for i in range(n_files):
-        (sliced.where(F.col("_slice") == i).drop("_slice").coalesce(1).sortWithinPartitions(F.col(time_col))
-         .write.mode("append").json(folder))
+    width = max((hi - lo) // n_slices + 1, 1)
+    sliced = df.withColumn("_slice", F.least(F.lit(n_slices - 1), F.floor((t - F.lit(lo)) / F.lit(width))))
+    for i in range(n_slices):
+        part = sliced.where(F.col("_slice") == i).drop("_slice")
+        part = part.repartition(files_per_slice) if files_per_slice > 1 else part.coalesce(1)
+        part.sortWithinPartitions(F.col(time_col)).write.mode("append").json(folder)
     if sentinel is not None:
-        # Twice, in two later files: the first moves the watermark past all real data, the second makes sure a
-        # micro-batch runs with that watermark (availableNow need not run a trailing no-data batch).
-        for _ in range(2):
+        # In files_per_slice + 1 later files: a micro-batch takes at most files_per_slice files, so at least one
+        # batch runs after the one that moved the watermark past all real data (availableNow need not run a
+        # trailing no-data batch).
+        for _ in range(files_per_slice + 1):
             sentinel.coalesce(1).write.mode("append").json(folder)
-    return n_files
+    return files_per_slice
 
 
 def late_rows(query) -> int:
@@ -129,18 +133,18 @@ def run_update(spark: SparkSession, build: Callable[..., DataFrame], inputs: dic
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def landed_commit_feed(spark: SparkSession, commits: DataFrame, n_files: int = 4) -> str:
+def landed_commit_feed(spark: SparkSession, commits: DataFrame, n_slices: int = 4, files_per_slice: int = 1) -> str:
     """Land the commit view as a JSON-lines feed (plus sentinel) and return the folder."""
     folder = scratch_path(spark, "commit-feed")
-    land(commits, folder, n_files, "commit.committer.date", sentinel_commit(spark))
+    land(commits, folder, n_slices, "commit.committer.date", sentinel_commit(spark), files_per_slice)
     return folder
 
 
-def landed_geo_feed(spark: SparkSession, geo: DataFrame, n_files: int = 4) -> str:
+def landed_geo_feed(spark: SparkSession, geo: DataFrame, n_slices: int = 4, files_per_slice: int = 1) -> str:
     folder = scratch_path(spark, "geo-feed")
     sent = spark.range(1).select(F.lit(SENTINEL_SHA).alias("sha"), F.to_timestamp(F.lit(SENTINEL_TS)).alias("createdAt"),
                                  F.lit(SENTINEL_SHA).alias("continent"))
-    land(geo, folder, n_files, "createdAt", sent)
+    land(geo, folder, n_slices, "createdAt", sent, files_per_slice)
     return folder
 
 
