@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from commitlens.operators import commits as Q
 from commitlens.operators import graph, lineage, stats

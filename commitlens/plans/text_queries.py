@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from commitlens.operators import logs as L
 from commitlens.operators import text as X

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.functions.fields import committer_date, committer_name, explode_files, extension, owner_repo
+from commitlens.functions.fields import committer_name, explode_files, extension, owner_repo
 from commitlens.functions.labels import size_label
 
 
@@ -127,7 +127,3 @@ def added_then_removed(commits: DataFrame, within_seconds: int = 86400) -> DataF
                       & (gap < F.lit(within_seconds * 1_000_000)))
             .select("repo", "filename"))
 
-
-def committer_day(commits: DataFrame) -> DataFrame:
-    """Helper for fixtures: committer date as a top-level ``ts`` (alias of :func:`with_event_time`)."""
-    return commits.withColumn("ts", committer_date())

@@ -1,7 +1,6 @@
 import hashlib
 import uuid
 
-from pyspark.sql import functions as F
 
 from commitlens.functions import fields as FF
 from commitlens.functions.labels import fizzbuzz, traffic_light_rule

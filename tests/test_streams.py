@@ -93,7 +93,7 @@ def test_j3_interval_bounds(spark):
     recs = [commit(f"c{i}", date="2019-01-01T12:00:00Z") for i in range(4)]
     offs = ["-1 hours", "-3601 seconds", "30 minutes", "1801 seconds"]
     geo = spark.createDataFrame([(f"c{i}", o) for i, o in enumerate(offs)], "sha string, off string").select(
-        "sha", (F.to_timestamp(F.lit("2019-01-01 12:00:00")) + F.expr("make_interval(0,0,0,0,0,0,0)")
+        "sha", (F.to_timestamp(F.lit("2019-01-01 12:00:00"))
                 + F.when(F.col("off") == "-1 hours", F.expr("INTERVAL -1 HOURS"))
                 .when(F.col("off") == "-3601 seconds", F.expr("INTERVAL -3601 SECONDS"))
                 .when(F.col("off") == "30 minutes", F.expr("INTERVAL 30 MINUTES"))
