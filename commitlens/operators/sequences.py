@@ -72,9 +72,10 @@ def head_sums_tail(seqs: DataFrame) -> DataFrame:
 
 def first_divisible(seqs: DataFrame, keys: DataFrame, n: int) -> DataFrame:
     """The first defined item divisible by ``n`` (NULL when there is none)."""
-    hit = F.when(F.col("value") % n == 0, F.struct("pos", "value"))
-    g = seqs.groupBy("seq_id").agg(F.min(hit).alias("_h"))
-    return keys.join(g, "seq_id", "left").select("seq_id", F.col("_h.value").alias("value"))
+    # min_by skips rows whose ordering is NULL, so only divisible items compete; fixed-width buffers keep this a
+    # hash aggregate (a min over a struct would need a sort-based one).
+    g = seqs.groupBy("seq_id").agg(F.min_by("value", F.when(F.col("value") % n == 0, F.col("pos"))).alias("value"))
+    return keys.join(g, "seq_id", "left").select("seq_id", "value")
 
 
 def optional_sum(seqs: DataFrame, keys: DataFrame) -> DataFrame:
