@@ -213,7 +213,7 @@ def day_of_week_counts(commits: DataFrame) -> DataFrame:
 
 def avg_additions(commits: DataFrame) -> DataFrame:
     """Integer mean of additions over commits that have stats (NULL for no such commit)."""
-    return commits.agg(F.expr("sum(stats.additions) div count(stats.additions)").alias("avg_additions"))
+    return commits.agg(F.expr("sum(stats.additions) div nullif(count(stats.additions), 0)").alias("avg_additions"))
 
 
 def _top1(df: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -53,7 +53,7 @@ def every_other_match(seqs: DataFrame, pred: Pred) -> DataFrame:
 def custom_average(seqs: DataFrame, above: int, n: int) -> DataFrame:
     """Integer mean of the first ``n`` items larger than ``above`` (sequences without such items: no row)."""
     m = renumber(seqs.where(F.col("value") > above)).where(F.col("pos") < n)
-    return m.groupBy("seq_id").agg(F.expr("sum(value) div count(value)").alias("average"))
+    return m.groupBy("seq_id").agg(F.expr("sum(value) div nullif(count(value), 0)").alias("average"))
 
 
 def first_n_above_sum(seqs: DataFrame, keys: DataFrame, above: int = 25, n: int = 10) -> DataFrame:

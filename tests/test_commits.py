@@ -151,3 +151,8 @@ def test_schema_check_and_multiline_source(spark, tmp_path):
     (tmp_path / "dump" / "one.json").write_text(_json.dumps(_commit("m1"), indent=2))
     df = read_commits(spark, str(tmp_path / "dump"), multiline=True)
     assert [r.sha for r in df.collect()] == ["m1"]
+
+
+def test_avg_additions_empty_is_null_under_ansi(spark):
+    df = commits_df(spark, [commit("n1", stats=None)])
+    assert rows(Q.avg_additions(df)) == [(None,)]
