@@ -75,3 +75,20 @@ def test_book_questions(spark):
     assert fixed["b_chapter.txt"] == "Second file. It has I in it.\n"
     wb = {r.doc: r.text for r in X.fix_lower_i(docs, word_boundary=True).collect()}
     assert wb["a_intro.txt"].splitlines()[1] == '"I think" said I I.'
+
+
+def test_line_order_survives_many_splits(spark):
+    lines = [f"10.0.0.{i % 250} - - [10/Mar/2004:12:00:{i % 60:02d} -0800] \"{'GET' if i % 3 else 'POST'} /p{i} HTTP/1.1\" 200 {i}"
+             for i in range(20000)]
+    _, path = _write(spark, "big_log", "\n".join(lines) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = read_lines(spark, path)
+        assert df.rdd.getNumPartitions() > 10
+        got = [r.value for r in df.orderBy("file", "line").collect()]
+        first = [r.request for r in L.first_requests(df, "GET", 4).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == lines
+    assert first == ["GET /p1 HTTP/1.1", "GET /p2 HTTP/1.1", "GET /p4 HTTP/1.1", "GET /p5 HTTP/1.1"]
