@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.functions.fields import BLANKS, ascii_lower, strip_punctuation
+from commitlens.functions.partitions import spread
 
 
 def top_words(docs: DataFrame, k: int = 10, text: str = "text") -> DataFrame:
@@ -15,7 +16,7 @@ def top_words(docs: DataFrame, k: int = 10, text: str = "text") -> DataFrame:
     Word counting is a partial + final aggregate; a very common word is combined map-side.
     """
     cleaned = ascii_lower(strip_punctuation(F.col(text)))
-    words = docs.select(F.explode(F.split(cleaned, BLANKS)).alias("word")).where(F.col("word") != "")
+    words = spread(docs).select(F.explode(F.split(cleaned, BLANKS)).alias("word")).where(F.col("word") != "")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), F.desc("word")).limit(k)
 
@@ -23,7 +24,7 @@ def top_words(docs: DataFrame, k: int = 10, text: str = "text") -> DataFrame:
 def sentences(docs: DataFrame, order: str = "doc_id", text: str = "text") -> DataFrame:
     """sentences = runs of text between '.' and newline (runs of separators squeezed), trimmed, empty ones
     dropped; one row per sentence with (``order``, ``pos``). Each document ends a sentence."""
-    parts = docs.select(order, F.posexplode(F.split(F.col(text), r"[.\n]+")).alias("pos", "sentence"))
+    parts = spread(docs).select(order, F.posexplode(F.split(F.col(text), r"[.\n]+")).alias("pos", "sentence"))
     return parts.select(order, "pos", F.trim("sentence").alias("sentence")).where(F.col("sentence") != "")
 
 
@@ -44,4 +45,4 @@ def fix_lower_i(docs: DataFrame, text: str = "text", word_boundary: bool = False
         fixed = F.regexp_replace(t, r"\bi\b", "I")
     else:
         fixed = F.regexp_replace(F.regexp_replace(t, " i ", " I "), '"i ', '"I ')
-    return docs.withColumn(text, fixed)
+    return spread(docs).withColumn(text, fixed)

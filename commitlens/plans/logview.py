@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commitlens.functions.partitions import spread
 from commitlens.plans.testbed import table
 from commitlens.session import ensure_utc
 
@@ -24,7 +25,7 @@ def _ip(uid):
 
 def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     et = F.col("event_type")
     method = F.coalesce(*[F.when(et == k, F.lit(v)) for k, v in METHOD.items()], F.lit("GET"))
     path = (F.when((et == "click") & (F.col("event_id") % 50 == 0),
@@ -40,7 +41,7 @@ def access_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def error_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_utc(spark)
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    ev = spread(table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"))
     ts = F.col("ts").cast("timestamp")
     head = F.concat(F.lit("["), F.date_format(ts, "EEE MMM dd HH:mm:ss yyyy"), F.lit("] "))
     client = F.concat(F.lit("[client "), _ip(F.col("user_id")), F.lit("] "))

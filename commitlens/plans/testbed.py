@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from commitlens.functions.partitions import spread
 from commitlens.session import ensure_utc
 
 # Fixed values of the view: file types by l_partkey % 5, and file status by l_returnflag.
@@ -26,8 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One flat row per file (= lineitem): ``l_orderkey`` plus the file fields."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
-                                                 "l_returnflag")
+    li = spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+                                                        "l_returnflag"))
     pk = F.col("l_partkey")
     ext = F.element_at(F.array(*[F.lit(e) for e in EXTENSIONS]), (pk % 5 + 1).cast("int"))
     filename = (F.when(pk % 23 == 0, F.lit(None).cast("string"))
