@@ -1,0 +1,52 @@
+"""The skew path of the order-dependent operators, bound to the same questions and oracles.
+
+At the test scales every group is small, so the measured-size check picks the plain window plan. These bindings
+build the same questions with ``commitlens.window.maxGroupRows = 0`` - every key treated as hot - so the range-split
+plan (rows of one key spread over many tasks, edges fixed from a bounded summary) is checked against DuckDB too.
+The decision is taken while the DataFrame is built, so the setting only needs to hold during construction.
+"""
+
+from __future__ import annotations
+
+from contextlib import contextmanager
+
+from commitlens.operators.ordered import MAX_GROUP_CONF
+from commitlens.plans import commit_queries, seq_queries, stream_queries
+from commitlens.plans.registry import ORACLE, register
+
+
+@contextmanager
+def _every_key_hot(spark):
+    old = spark.conf.get(MAX_GROUP_CONF, None)
+    spark.conf.set(MAX_GROUP_CONF, "0")
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(MAX_GROUP_CONF)
+        else:
+            spark.conf.set(MAX_GROUP_CONF, old)
+
+
+@register("commit_days_since_prev_range_path", ORACLE["commit_days_since_prev"])
+def commit_days_since_prev_range_path(spark, sf):
+    with _every_key_hot(spark):
+        return commit_queries.commit_days_since_prev(spark, sf)
+
+
+@register("commit_author_rank_range_path", ORACLE["commit_author_rank"])
+def commit_author_rank_range_path(spark, sf):
+    with _every_key_hot(spark):
+        return commit_queries.commit_author_rank(spark, sf)
+
+
+@register("twin_added_removed_range_path", ORACLE["twin_added_removed"])
+def twin_added_removed_range_path(spark, sf):
+    with _every_key_hot(spark):
+        return stream_queries.twin_added_removed(spark, sf)
+
+
+@register("seq_fold_left_range_path", ORACLE["seq_fold_left"])
+def seq_fold_left_range_path(spark, sf):
+    with _every_key_hot(spark):
+        return seq_queries.seq_fold_left(spark, sf)
