@@ -16,15 +16,23 @@ def summary(df: DataFrame, column: str) -> DataFrame:
                   F.min(c).alias("min"), F.max(c).alias("max"))
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 0, key: str | None = None) -> DataFrame:
+def sample_rows(df: DataFrame, fraction: float, seed: int = 0, key: str | None = None,
+                hash: str = "xxhash64") -> DataFrame:
     """A deterministic row sample.
 
     Without ``key`` this is Spark's Bernoulli ``sample`` (depends on the partition layout, as the reference's does).
     With ``key`` a row is kept when a hash of (seed, key) falls under the fraction: the same rows whatever the
-    partitioning, cluster size or retry.
+    partitioning, cluster size or retry. ``hash="md5"`` uses the low 20 bits of the first 32 bits of
+    ``md5('<seed>:<key>')``, which other engines can reproduce exactly (slower than ``xxhash64``).
     """
     if key is None:
         return df.sample(withReplacement=False, fraction=fraction, seed=seed)
     buckets = 1 << 20
-    h = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets))
+    if hash == "md5":
+        digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+        h = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(buckets))
+    elif hash == "xxhash64":
+        h = F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets))
+    else:
+        raise ValueError("hash must be 'xxhash64' or 'md5'")
     return df.where(h < F.lit(int(fraction * buckets)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from commitlens.operators import commits as Q
 from commitlens.operators import graph, lineage, stats
@@ -246,3 +247,12 @@ SELECT {md5_long_sql('committer_name')} AS src, {md5_long_sql('owner_repo')} AS
 FROM (SELECT DISTINCT committer_name, owner_repo FROM cm)""")
 def graph_edges(spark, sf):
     return graph.graph_edges(landed_commits(spark, sf))
+
+
+@register("commit_sample", W + """
+SELECT sha, committer_name AS committer FROM cm
+WHERE (('0x' || substr(md5('0:' || sha), 1, 8))::BIGINT) % 1048576 < 209715""")
+def commit_sample(spark, sf):
+    """A 20 % sample of commits (seed 0), the same rows on any layout and in any engine."""
+    c = landed_commits(spark, sf).select("sha", F.col("commit.committer.name").alias("committer"))
+    return stats.sample_rows(c, 0.2, seed=0, key="sha", hash="md5")

@@ -137,6 +137,9 @@ def test_summary_and_sample(spark):
     b = stats.sample_rows(big.repartition(7), 0.2, seed=0, key="id")
     assert sorted(r[0] for r in a.collect()) == sorted(r[0] for r in b.collect())
     assert 1700 < a.count() < 2300
+    m1 = stats.sample_rows(big, 0.2, seed=0, key="id", hash="md5")
+    m2 = stats.sample_rows(big.repartition(3), 0.2, seed=0, key="id", hash="md5")
+    assert sorted(r[0] for r in m1.collect()) == sorted(r[0] for r in m2.collect())
 
 
 def test_schema_check_and_multiline_source(spark, tmp_path):
