@@ -2,19 +2,59 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.functions.fields import BLANKS, ascii_lower, strip_punctuation
 from commitlens.functions.partitions import spread
 
 
-def top_words(docs: DataFrame, k: int = 10, text: str = "text") -> DataFrame:
+def concatenated_tokens(files: DataFrame, order: str, text: str, sep: str) -> DataFrame:
+    """Tokens of the concatenation of all texts in ``order`` - what ``cat`` then a split on runs of ``sep`` gives -
+    as rows ``(_a, _i, token)`` where ``(_a, _i)`` is the stream order.
+
+    A file that does not end with a separator glues its last token to the next file's first token; a file with no
+    separator at all is glued on both sides. Per file, interior tokens stay as they are; boundary tokens form
+    "chains": the last token of a file with a separator, the whole text of the following separator-free files,
+    and the first token of the next file with a separator. A chain is bounded by the run of separator-free files it
+    crosses. File numbering uses the skew-safe row numbers of :mod:`commitlens.operators.ordered`.
+    """
+    from commitlens.operators.ordered import global_row_number, row_number_within
+    t = spread(files).select(order, F.split(F.col(text), sep).alias("_t"))
+    t = t.withColumn("_n", F.size("_t")).withColumn("_single", F.col("_n") == 1)
+    t = global_row_number(t, [order], name="_a")
+    t = row_number_within(t, ["_single"], [order], name="_r")
+    interior = t.select("_a", F.posexplode("_t").alias("_i", "token"), "_n").where(
+        (F.col("_i") > 0) & (F.col("_i") < F.col("_n") - 1)).select("_a", "_i", "token")
+    first = t.where(~F.col("_single")).select((F.col("_r") - 1).alias("_c"), "_a", F.lit(0).alias("_i"),
+                                              F.col("_t")[0].alias("piece"))
+    last = t.where(~F.col("_single")).select(F.col("_r").alias("_c"), "_a", (F.col("_n") - 1).alias("_i"),
+                                             F.element_at("_t", -1).alias("piece"))
+    single = t.where(F.col("_single")).select((F.col("_a") - F.col("_r")).alias("_c"), "_a", F.lit(0).alias("_i"),
+                                              F.col("_t")[0].alias("piece"))
+    pieces = first.unionByName(last).unionByName(single)
+    chains = pieces.groupBy("_c").agg(
+        F.min(F.struct("_a", "_i")).alias("_at"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_a", "piece"))), lambda x: x["piece"]),
+                     "").alias("token"))
+    return interior.unionByName(chains.select(F.col("_at._a").alias("_a"), F.col("_at._i").alias("_i"), "token"))
+
+
+def top_words(docs: DataFrame, k: int = 10, text: str = "text", join_files: bool = False,
+              order: str | None = None) -> DataFrame:
     """The ``k`` most common words: ASCII punctuation deleted (``far-off`` -> ``faroff``), A-Z folded to
     lower case, split on blanks. Ties: word descending (the order ``sort -nr`` gives equal counts).
 
+    Each document is a unit by default. ``join_files=True`` counts the words of the concatenation in ``order``,
+    as ``cat *.txt`` would (a file without a final newline glues its last word to the next file's first word).
     Word counting is a partial + final aggregate; a very common word is combined map-side.
     """
+    if join_files:
+        cleaned = docs.select(order, ascii_lower(strip_punctuation(F.col(text))).alias("_clean"))
+        words = concatenated_tokens(cleaned, order, "_clean", BLANKS).select(F.col("token").alias("word"))
+        words = words.where(F.col("word") != "")
+        counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        return counts.orderBy(F.desc("n"), F.desc("word")).limit(k)
     cleaned = ascii_lower(strip_punctuation(F.col(text)))
     words = spread(docs).select(F.explode(F.split(cleaned, BLANKS)).alias("word")).where(F.col("word") != "")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
@@ -28,8 +68,18 @@ def sentences(docs: DataFrame, order: str = "doc_id", text: str = "text") -> Dat
     return parts.select(order, "pos", F.trim("sentence").alias("sentence")).where(F.col("sentence") != "")
 
 
-def first_sentences(docs: DataFrame, n: int = 7, order: str = "doc_id", text: str = "text") -> DataFrame:
-    """The first ``n`` sentences in document order (top-n on (document, position), not a sort of all)."""
+def first_sentences(docs: DataFrame, n: int = 7, order: str = "doc_id", text: str = "text",
+                    join_files: bool = False) -> DataFrame:
+    """The first ``n`` sentences in document order (top-n on (document, position), not a sort of all).
+
+    ``join_files=True``: sentences of the concatenation (``cat *.txt | tr -s '.' '\n'``), so a file that does not
+    end with '.' or a newline continues its last sentence into the next file. Output (``pos``, ``sentence``).
+    """
+    if join_files:
+        toks = concatenated_tokens(docs.select(order, text), order, text, r"[.\n]+")
+        s = toks.select("_a", "_i", F.trim("token").alias("sentence")).where(F.col("sentence") != "")
+        top = s.orderBy("_a", "_i").limit(n)
+        return top.select(F.row_number().over(Window.orderBy("_a", "_i")).alias("pos"), "sentence")
     s = sentences(docs, order, text)
     return s.orderBy(order, "pos").limit(n)
 

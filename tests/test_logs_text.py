@@ -4,6 +4,7 @@ from commitlens.operators import logs as L
 from commitlens.operators import text as X
 from commitlens.session import scratch_path
 from commitlens.sources import sinks
+from commitlens.functions.fields import BLANKS as BLANKS_RE
 from commitlens.sources.text import list_files, read_files_in_order, read_lines
 
 ACCESS = """10.0.0.153 - - [10/Mar/2004:12:02:59 -0800] "POST /cgi-bin/mailgraph2.cgi HTTP/1.1" 200 2987
@@ -92,3 +93,36 @@ def test_line_order_survives_many_splits(spark):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert got == lines
     assert first == ["GET /p1 HTTP/1.1", "GET /p2 HTTP/1.1", "GET /p4 HTTP/1.1", "GET /p5 HTTP/1.1"]
+
+
+def test_book_questions_as_one_concatenated_stream(spark):
+    import os
+    folder = scratch_path(spark, "book-cat")
+    os.makedirs(folder)
+    files = [("a_intro.txt", BOOK1), ("b_chapter.txt", BOOK2), ("c_glue.txt", "Glue"), ("d_end.txt", "word. tail")]
+    for name, text in files:
+        with open(os.path.join(folder, name), "w") as fh:
+            fh.write(text)
+    docs = read_files_in_order(spark, folder + "/*.txt")
+    top = {r.word: r.n for r in X.top_words(docs, k=100, join_files=True, order="file").collect()}
+    # "The End" + "Second file." -> "endsecond"; "... in it.\n" + "Glue" + "word. tail" -> "glueword"
+    assert top.get("endsecond") == 1 and "end" not in top and "second" not in top
+    assert top.get("glueword") == 1 and "glue" not in top and top["i"] == 5
+    per_record = {r.word: r.n for r in X.top_words(docs.withColumnRenamed("file", "doc"), k=100).collect()}
+    assert per_record["end"] == 1 and "endsecond" not in per_record
+    sents = [r.sentence for r in X.first_sentences(docs, n=10, order="file", join_files=True).collect()]
+    assert sents == ["Far far away, behind the word mountains", "Far-off lands", '"i think" said i i', "i am",
+                     "The EndSecond file", "It has i in it", "Glueword", "tail"]
+
+
+def test_concatenated_tokens_same_on_range_path(spark):
+    from commitlens.operators.ordered import MAX_GROUP_CONF
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "c", "", "d e f", "g", "h i"])], "doc long, text string")
+    plain = sorted(map(tuple, X.concatenated_tokens(docs, "doc", "text", BLANKS_RE).collect()))
+    spark.conf.set(MAX_GROUP_CONF, "0")
+    try:
+        rng = sorted(map(tuple, X.concatenated_tokens(docs, "doc", "text", BLANKS_RE).collect()))
+    finally:
+        spark.conf.unset(MAX_GROUP_CONF)
+    assert plain == rng
+    assert [t for _, _, t in sorted(plain)] == ["a", "bcd", "e", "fgh", "i"]  # cat: "a bcd e fgh i"
