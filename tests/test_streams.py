@@ -146,3 +146,11 @@ def test_t8_late_rows_are_dropped_and_counted(spark):
                             "late")
     assert rows(got) == [("05-01-2019", 2)]
     assert runner.late_rows(runner.LAST_QUERY["late"]) >= 1
+
+
+def test_update_mode_without_matches_is_empty(spark):
+    recs = [commit("e1", files=[("a.txt", "added", 1, 0)])]
+    folder = scratch_path(spark, "fx-empty")
+    runner.land(commits_df(spark, recs), folder, 1, "commit.committer.date", None)
+    got = runner.run_update(spark, lambda commits: S.ext_counts(commits), {"commits": (folder, COMMIT)}, ["ext"], 1, "e")
+    assert got.columns == ["ext", "n"] and got.count() == 0
