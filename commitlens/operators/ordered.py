@@ -9,7 +9,8 @@ fixed with a per-partition summary that has at most ``n_partitions`` rows - a pr
 Before choosing, the largest group is measured (one partial+final count aggregate). When every group is at most
 ``commitlens.window.maxGroupRows`` rows (default 2,000,000: a size one task sorts and spills comfortably) the
 plain ``Window`` plan is used - one hash shuffle, no sampling or lineage cut. Beyond it, the range path runs.
-This is the same pattern as a broadcast behind a size check, with the scalable plan as the fallback.
+This is the same pattern as a broadcast behind a size check, with the scalable plan as the fallback. Setting the
+limit to 0 (always the range path) or below 0 (groups known to be small) skips the measuring job.
 """
 
 from __future__ import annotations
@@ -34,9 +35,15 @@ def largest_group(df: DataFrame, part: Sequence[str]) -> int:
 
 
 def _bounded(df: DataFrame, part: Sequence[str], max_group_rows: int | None) -> bool:
+    """True when the plain window plan is safe. A limit of 0 means "every key may be hot" (range path, no
+    measuring job); a negative limit means the caller vouches for small groups (plain plan, no measuring job)."""
     limit = max_group_rows
     if limit is None:
         limit = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
+    if limit == 0:
+        return False
+    if limit < 0:
+        return True
     return largest_group(df, part) <= limit
 
 
