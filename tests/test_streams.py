@@ -154,3 +154,14 @@ def test_update_mode_without_matches_is_empty(spark):
     runner.land(commits_df(spark, recs), folder, 1, "commit.committer.date", None)
     got = runner.run_update(spark, lambda commits: S.ext_counts(commits), {"commits": (folder, COMMIT)}, ["ext"], 1, "e")
     assert got.columns == ["ext", "n"] and got.count() == 0
+
+
+def test_console_sink_prints_stream(spark):
+    from commitlens.sources import sinks
+    folder = scratch_path(spark, "fx-console")
+    runner.land(commits_df(spark, [commit("k1"), commit("k2")]), folder, 1, "commit.committer.date", None)
+    q = sinks.console(spark.readStream.schema(COMMIT).json(folder).select("sha"), available_now=True,
+                      checkpoint=scratch_path(spark, "fx-console-ckpt"))
+    q.awaitTermination()
+    assert q.exception() is None
+    assert sum(p["numInputRows"] for p in q.recentProgress) == 2
