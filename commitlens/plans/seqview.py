@@ -21,9 +21,9 @@ _LANDED: dict[tuple[str, str], str] = {}
 
 
 def _land(spark: SparkSession, key: str, build) -> DataFrame:
-    from commitlens.session import scratch_path
+    from commitlens.session import path_exists, scratch_path
     k = (spark.sparkContext.applicationId, key)
-    if k not in _LANDED:
+    if k not in _LANDED or not path_exists(spark, _LANDED[k]):
         path = scratch_path(spark, "seq-" + key.split(":")[0])
         build().write.mode("overwrite").parquet(path)
         _LANDED[k] = path

@@ -124,8 +124,9 @@ WATERMARK_DELAY = "0 seconds"   # ascending event time, as the reference's sourc
 
 def _feed(spark, sf, kind):
     from commitlens.streaming import runner
+    from commitlens.session import path_exists
     key = (spark.sparkContext.applicationId, kind + ":" + sf)
-    if key not in _FEEDS:
+    if key not in _FEEDS or not path_exists(spark, _FEEDS[key]):
         if kind == "commits":
             _FEEDS[key] = runner.landed_commit_feed(spark, landed_commits(spark, sf), 4, FILES_PER_TRIGGER)
         else:

@@ -192,11 +192,11 @@ def landed_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
     Files are sorted by committer date inside each task so row-group statistics serve date-range filters.
     """
     from commitlens.schemas import COMMIT
-    from commitlens.session import scratch_path
+    from commitlens.session import path_exists, scratch_path
     ensure_utc(spark)
     key = (spark.sparkContext.applicationId, sf_dir)
     path = _LANDED.get(key)
-    if path is None:
+    if path is None or not path_exists(spark, path):
         path = scratch_path(spark, "testbed-commits")
         view = commits(spark, sf_dir)
         view.sortWithinPartitions("commit.committer.date").write.mode("overwrite").parquet(path)
@@ -206,10 +206,10 @@ def landed_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     from commitlens.schemas import GEO
-    from commitlens.session import scratch_path
+    from commitlens.session import path_exists, scratch_path
     key = (spark.sparkContext.applicationId, "geo:" + sf_dir)
     path = _LANDED.get(key)
-    if path is None:
+    if path is None or not path_exists(spark, path):
         path = scratch_path(spark, "testbed-geo")
         geo_events(spark, sf_dir).write.mode("overwrite").parquet(path)
         _LANDED[key] = path

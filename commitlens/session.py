@@ -66,3 +66,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists on the (possibly remote) file system of the session."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))

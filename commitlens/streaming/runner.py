@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.schemas import COMMIT, GEO
-from commitlens.session import checkpoint_root, scratch_path
+from commitlens.session import checkpoint_root, path_exists, scratch_path
 
 SENTINEL_SHA = "__sentinel__"
 SENTINEL_TS = "2999-01-01 00:00:00"
@@ -128,19 +128,13 @@ def run_update(spark: SparkSession, build: Callable[..., DataFrame], inputs: dic
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     values = [c for c in out.columns if c not in keys]
-    if not _exists(spark, path):  # no micro-batch produced a change: empty result with the right columns
+    if not path_exists(spark, path):  # no micro-batch produced a change: empty result with the right columns
         return spark.createDataFrame([], out.schema)
     changes = spark.read.parquet(path)
     latest = changes.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("_batch")).alias("_v"))
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def landed_commit_feed(spark: SparkSession, commits: DataFrame, n_slices: int = 4, files_per_slice: int = 1) -> str:
     """Land the commit view as a JSON-lines feed (plus sentinel) and return the folder."""
     folder = scratch_path(spark, "commit-feed")
