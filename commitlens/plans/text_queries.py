@@ -97,3 +97,11 @@ def text_first_sentences(spark, sf):
 SELECT doc_id, replace(replace(text, ' i ', ' I '), '"i ', '"I ') AS text FROM documents""")
 def text_fix_i(spark, sf):
     return X.fix_lower_i(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+@register("text_top_words_cat", "WITH src AS (SELECT string_agg(text, '' ORDER BY doc_id) AS text FROM documents)"
+          + _WORDS)
+def text_top_words_cat(spark, sf):
+    """A17 with `cat` semantics: documents are files concatenated in doc_id order, so a document that does not end
+    with a blank glues its last word to the next document's first word (no whole-corpus string is built)."""
+    return X.top_words(table(spark, sf, "documents"), join_files=True, order="doc_id")

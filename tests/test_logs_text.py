@@ -126,3 +126,21 @@ def test_concatenated_tokens_same_on_range_path(spark):
         spark.conf.unset(MAX_GROUP_CONF)
     assert plain == rng
     assert [t for _, _, t in sorted(plain)] == ["a", "bcd", "e", "fgh", "i"]  # cat: "a bcd e fgh i"
+
+
+def test_cat_word_counts_equal_duckdb_concatenation(spark):
+    import oracle
+    from commitlens.plans.testbed import table
+    sf = "/root/testdata/sf0.001"
+    got = X.top_words(table(spark, sf, "documents"), k=10_000_000, join_files=True, order="doc_id")
+    sql = r"""
+    WITH src AS (SELECT string_agg(text, '' ORDER BY doc_id) AS text FROM documents),
+    w AS (SELECT unnest(regexp_split_to_array(
+              translate(regexp_replace(text, '[!-/:-@\[-`{-~]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[\t\n\f\r ]+')) AS word FROM src)
+    SELECT word, count(*) AS n FROM w WHERE word <> '' GROUP BY word"""
+    ok, msg = oracle.compare(got, sql, sf)
+    assert ok, msg
+    # and the gluing is visible: some words exist only in the concatenation
+    per_record = {r.word for r in X.top_words(table(spark, sf, "documents"), k=10_000_000).collect()}
+    assert {r.word for r in got.collect()} - per_record
