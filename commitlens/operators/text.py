@@ -11,33 +11,49 @@ from commitlens.functions.partitions import spread
 
 def concatenated_tokens(files: DataFrame, order: str, text: str, sep: str) -> DataFrame:
     """Tokens of the concatenation of all texts in ``order`` - what ``cat`` then a split on runs of ``sep`` gives -
-    as rows ``(_a, _i, token)`` where ``(_a, _i)`` is the stream order.
-
-    A file that does not end with a separator glues its last token to the next file's first token; a file with no
-    separator at all is glued on both sides. Per file, interior tokens stay as they are; boundary tokens form
-    "chains": the last token of a file with a separator, the whole text of the following separator-free files,
-    and the first token of the next file with a separator. A chain is bounded by the run of separator-free files it
-    crosses. File numbering uses the skew-safe row numbers of :mod:`commitlens.operators.ordered`.
+    as rows ``(_o, _i, token)`` where ``(_o, _i)`` (the file's order value, token index) is the stream order.
+
+    ``sep`` is a run of a character class (blanks, or ``[.\\n]+``). A file that does not end with a separator glues
+    its last token to the next file's first token; a file with no separator at all is glued on both sides. Interior
+    tokens of a file stay as they are (one split pass). Boundary tokens form "chains": the last token of a file with
+    a separator, the whole text of the following separator-free files, and the first token of the next file with a
+    separator. They come from a small per-file record (first token, last token, has a separator) taken with anchored
+    regexes and checkpointed, so the file numbering (skew-safe row numbers) never re-reads the texts. A chain is
+    bounded by the run of separator-free files it crosses.
     """
     from commitlens.operators.ordered import global_row_number, row_number_within
-    t = spread(files).select(order, F.split(F.col(text), sep).alias("_t"))
-    t = t.withColumn("_n", F.size("_t")).withColumn("_single", F.col("_n") == 1)
-    t = global_row_number(t, [order], name="_a")
-    t = row_number_within(t, ["_single"], [order], name="_r")
-    interior = t.select("_a", F.posexplode("_t").alias("_i", "token"), "_n").where(
-        (F.col("_i") > 0) & (F.col("_i") < F.col("_n") - 1)).select("_a", "_i", "token")
-    first = t.where(~F.col("_single")).select((F.col("_r") - 1).alias("_c"), "_a", F.lit(0).alias("_i"),
-                                              F.col("_t")[0].alias("piece"))
-    last = t.where(~F.col("_single")).select(F.col("_r").alias("_c"), "_a", (F.col("_n") - 1).alias("_i"),
-                                             F.element_at("_t", -1).alias("piece"))
-    single = t.where(F.col("_single")).select((F.col("_a") - F.col("_r")).alias("_c"), "_a", F.lit(0).alias("_i"),
-                                              F.col("_t")[0].alias("piece"))
+    from commitlens.session import checkpoint_root
+    base = spread(files.select(order, text))
+    t = F.col(text)
+    first_tok = F.regexp_extract(t, f"(?s)^(.*?)(?:{sep}|$)", 1)
+    last_tok = F.reverse(F.regexp_extract(F.reverse(t), f"(?s)^(.*?)(?:{sep}|$)", 1))
+    checkpoint_root(files.sparkSession)
+    meta = base.select(order, (~t.rlike(sep)).alias("_single"), first_tok.alias("_first"),
+                       last_tok.alias("_last")).checkpoint(eager=True)
+    meta = global_row_number(meta, [order], name="_a")
+    meta = row_number_within(meta, ["_single"], [order], name="_r")
+    # Split once per file, below the explode: an expression such as size(split(text)) next to the generator would
+    # be re-evaluated for every token (quadratic in the file length).
+    split_once = base.select(order, F.split(t, sep).alias("_t")).select(order, "_t", F.size("_t").alias("_n"))
+    interior = (split_once.select(order, "_n", F.posexplode_outer("_t").alias("_i", "token"))
+                .where((F.col("_i") > 0) & (F.col("_i") < F.col("_n") - 1))
+                .select(F.col(order).alias("_o"), "_i", "token"))
+    ns = meta.where(~F.col("_single"))
+    first = ns.select((F.col("_r") - 1).alias("_c"), "_a", F.col(order).alias("_o"), F.lit(0).alias("_i"),
+                      F.col("_first").alias("piece"))
+    last = ns.select(F.col("_r").alias("_c"), "_a", F.col(order).alias("_o"), F.lit(-1).alias("_i"),
+                     F.col("_last").alias("piece"))
+    single = meta.where(F.col("_single")).select((F.col("_a") - F.col("_r")).alias("_c"), "_a",
+                                                 F.col(order).alias("_o"), F.lit(0).alias("_i"),
+                                                 F.col("_first").alias("piece"))
     pieces = first.unionByName(last).unionByName(single)
+    # A chain starts at its first piece; a chain opened by a file's last token sorts after that file's interior.
     chains = pieces.groupBy("_c").agg(
-        F.min(F.struct("_a", "_i")).alias("_at"),
+        F.min(F.struct("_a", F.when(F.col("_i") < 0, F.lit(1 << 62)).otherwise(F.col("_i")).alias("_ii"),
+                       "_o")).alias("_at"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_a", "piece"))), lambda x: x["piece"]),
                      "").alias("token"))
-    return interior.unionByName(chains.select(F.col("_at._a").alias("_a"), F.col("_at._i").alias("_i"), "token"))
+    return interior.unionByName(chains.select(F.col("_at._o").alias("_o"), F.col("_at._ii").alias("_i"), "token"))
 
 
 def top_words(docs: DataFrame, k: int = 10, text: str = "text", join_files: bool = False,
@@ -50,13 +66,15 @@ def top_words(docs: DataFrame, k: int = 10, text: str = "text", join_files: bool
     Word counting is a partial + final aggregate; a very common word is combined map-side.
     """
     if join_files:
-        cleaned = docs.select(order, ascii_lower(strip_punctuation(F.col(text))).alias("_clean"))
+        cleaned = spread(docs).select(order, ascii_lower(strip_punctuation(F.col(text))).alias("_clean"))
         words = concatenated_tokens(cleaned, order, "_clean", BLANKS).select(F.col("token").alias("word"))
         words = words.where(F.col("word") != "")
         counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
         return counts.orderBy(F.desc("n"), F.desc("word")).limit(k)
     cleaned = ascii_lower(strip_punctuation(F.col(text)))
-    words = spread(docs).select(F.explode(F.split(cleaned, BLANKS)).alias("word")).where(F.col("word") != "")
+    # explode_outer: a plain explode makes Catalyst infer a size(split(..)) > 0 filter and push it below the
+    # spread into the scan, which would run the whole regex work in the scan's single task.
+    words = spread(docs).select(F.explode_outer(F.split(cleaned, BLANKS)).alias("word")).where(F.col("word") != "")
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     return counts.orderBy(F.desc("n"), F.desc("word")).limit(k)
 
@@ -64,7 +82,7 @@ def top_words(docs: DataFrame, k: int = 10, text: str = "text", join_files: bool
 def sentences(docs: DataFrame, order: str = "doc_id", text: str = "text") -> DataFrame:
     """sentences = runs of text between '.' and newline (runs of separators squeezed), trimmed, empty ones
     dropped; one row per sentence with (``order``, ``pos``). Each document ends a sentence."""
-    parts = spread(docs).select(order, F.posexplode(F.split(F.col(text), r"[.\n]+")).alias("pos", "sentence"))
+    parts = spread(docs).select(order, F.posexplode_outer(F.split(F.col(text), r"[.\n]+")).alias("pos", "sentence"))
     return parts.select(order, "pos", F.trim("sentence").alias("sentence")).where(F.col("sentence") != "")
 
 
@@ -77,9 +95,9 @@ def first_sentences(docs: DataFrame, n: int = 7, order: str = "doc_id", text: st
     """
     if join_files:
         toks = concatenated_tokens(docs.select(order, text), order, text, r"[.\n]+")
-        s = toks.select("_a", "_i", F.trim("token").alias("sentence")).where(F.col("sentence") != "")
-        top = s.orderBy("_a", "_i").limit(n)
-        return top.select(F.row_number().over(Window.orderBy("_a", "_i")).alias("pos"), "sentence")
+        s = toks.select("_o", "_i", F.trim("token").alias("sentence")).where(F.col("sentence") != "")
+        top = s.orderBy("_o", "_i").limit(n)
+        return top.select(F.row_number().over(Window.orderBy("_o", "_i")).alias("pos"), "sentence")
     s = sentences(docs, order, text)
     return s.orderBy(order, "pos").limit(n)
 
