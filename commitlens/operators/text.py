@@ -13,6 +13,7 @@ def concatenated_tokens(files: DataFrame, order: str, text: str, sep: str) -> Da
     """Tokens of the concatenation of all texts in ``order`` - what ``cat`` then a split on runs of ``sep`` gives -
     as rows ``(_o, _i, token)`` where ``(_o, _i)`` (the file's order value, token index) is the stream order.
 
+    ``order`` must be unique per file (a file name or id); it is the total order of the concatenation.
     ``sep`` is a run of a character class (blanks, or ``[.\\n]+``). A file that does not end with a separator glues
     its last token to the next file's first token; a file with no separator at all is glued on both sides. Interior
     tokens of a file stay as they are (one split pass). Boundary tokens form "chains": the last token of a file with
