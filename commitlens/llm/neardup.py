@@ -170,7 +170,8 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shin
                 "node": rows.column("node").take(keep),
                 "shingles": pa.array([sets[i].tobytes() for i in keep], pa.binary())}).to_batches()
 
-    sets = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(placed, "doc_id")
+    # A sort-merge join at every size: the members grow with the documents, so broadcasting a few would not carry over.
+    sets = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(placed.hint("merge"), "doc_id")
             .select("cluster", "blocks", "node", "text")
             .mapInArrow(run, "cluster long, blocks int, node binary, shingles binary"))
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
