@@ -230,3 +230,43 @@ def personal_spans(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
         span_text(every, KINDS).alias("spans"),
         F.coalesce("n_added", F.lit(0)).cast("long").alias("n_added"),
         F.coalesce("n_confirmed", F.lit(0)).cast("long").alias("n_confirmed"))
+
+
+#: Order in which redaction looks for the kinds: a kind that another could swallow comes first.
+REDACTION_ORDER = ["email", "obfuscated", "iban", "card", "ssn", "phone", "local_phone", "ip"]
+
+
+def redacted(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
+    """``docs`` with every base match and every accepted wider match in ``text`` replaced by its kind (``[EMAIL]``).
+
+    The kinds are sought one after the other in what the earlier ones left, so overlapping matches are covered too.
+    Null texts stay null, other columns are untouched, rows are never dropped. What the classifier accepts is one array
+    of at most ``kinds * 3^4 * features`` codes, read as a scalar subquery.
+    """
+    each = candidates(docs).select(F.explode(F.concat("base", "added")).alias("s")).select("s.*")
+    accepted = landed(accepted_keys(landed(each.select("no", "votes", "features"), "spans"), iterations), "accepted")
+    code = F.concat_ws("/", F.col("no").cast("string"), "votes", "features")
+    known = accepted.where(F.col("no") > len(BASE)).agg(F.collect_set(code).alias("codes")).scalar()
+    free = next(n for n in (f"pii{i}" for i in range(len(docs.columns) + 1)) if not any(
+        c.startswith(n) for c in docs.columns))
+    match, gap, codes = f"{free}_match", f"{free}_gap", f"{free}_codes"
+    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn(codes, known)
+
+    def replaced(kind: str) -> Column:
+        def piece(m, i):
+            before, after = F.right(F.get(gap, i), F.lit(CONTEXT)), F.left(F.get(gap, i + 1), F.lit(CONTEXT))
+            if kind in BASE:
+                good = valid(kind, m)
+            else:
+                voted = F.concat_ws(",", *[v.cast("string") for v in votes(kind, m, before, after)])
+                good = F.array_contains(F.col(codes), F.concat_ws(
+                    "/", F.lit(str(KINDS.index(kind) + 1)), voted, features(m, before, after)))
+            return F.concat(F.get(gap, i), F.when(good, F.lit(f"[{kind.upper()}]")).otherwise(m))
+        return F.array_join(F.transform(match, piece), "")
+
+    for kind in REDACTION_ORDER:
+        rows = rows.withColumn(match, found(F.col("text"), PATTERNS[kind]))
+        rows = rows.withColumn(gap, gaps(F.col("text"), PATTERNS[kind], F.col(match)))
+        rows = rows.withColumn("text", F.when(F.size(match) > 0, F.concat(
+            replaced(kind), F.get(gap, F.size(match)))).otherwise(F.col("text")))
+    return rows.select(*docs.columns)

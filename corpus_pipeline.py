@@ -2,23 +2,54 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from commitlens.llm.common import landed, table
+from commitlens.llm.decontaminate import leaks
 from commitlens.llm.neardup import near_duplicates
+from commitlens.llm.pieces import encode_pieces
+from commitlens.llm.pii import redacted
+from commitlens.llm.quality import drop_rejected
 
-#: No stage of SQL text can express the sketches and models below; tests compare with brute force instead.
+#: Sketches, seeds and piece models are not expressible in SQL; tests compare with brute force instead.
 ORACLE_SQL = None
 
 
-def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the hard rules or their host's verdict reject go (null and empty texts among them)."""
+    return drop_rejected(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the one with the smallest ``doc_id``. Rows that repeat one
     ``doc_id`` share its verdict; rows without an id stay."""
-    gone = landed(near_duplicates(docs).where("not kept and doc_id is not null").select("doc_id").distinct(), "copies")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = landed(gone.where("gone_id is not null"), "copies")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item go; rows without an id are not judged and stay."""
+    gone = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("gone_id")).distinct()
+    gone = landed(gone.where("gone_id is not null"), "leaks")
+    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts is replaced by its kind; every document stays. ``n_chars`` follows the text."""
+    rows = redacted(docs)
+    return rows.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``(doc_id, n_pieces, ids)`` of every document."""
+    return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-STAGES = [("near_dedup", drop_near_duplicates)]
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup), ("decontaminate", decontaminate),
+          ("redact", redact), ("encode", encode)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
