@@ -28,7 +28,7 @@ from commitlens.llm.common import byte_chunks, flat_words, word_hashes
 SAMPLE_PAGES = 192
 TRAIN_BLOCKS = 96
 PATH_DIM, WORD_DIM, SHAPE_DIM, HIDDEN = 64, 24, 6, 20
-EPOCHS, RATE, SEED = 10, 0.01, 7
+VARIANTS, EPOCHS, RATE, SEED = 8, 12, 0.01, 7
 
 #: Element names of HTML.
 BLOCK_TAGS = frozenset(
@@ -293,7 +293,7 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = SEED) -> dict[str,
     for blocks in parsed:
         labels = [weak_label(b[0]) for b in blocks]
         data.append((page_vectors(blocks), np.array(labels, np.float32)))
-        for _ in range(3):
+        for _ in range(VARIANTS):
             rows, good = _varied(blocks, labels, rng, spare)
             data.append((page_vectors(rows), np.array(good, np.float32)))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
