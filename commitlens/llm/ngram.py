@@ -213,17 +213,18 @@ def _score_shard(group: pa.Table, n_tokens: int, n_words: int, hot: dict[int, in
     for i, (_, _, contexts_i, entries, doc, times, _, n_docs) in enumerate(per):
         mine = np.repeat(np.arange(at, at + len(contexts_i)), entries)
         at += len(contexts_i)
-        sums = [np.bincount(doc, times * x[mine], n_docs) for x in (plain, gain, known)]
-        out_parts.append([pa.compress(np.concatenate(sums).tobytes(), "zstd", asbytes=True),
-                          parts[i][8], parts[i][9], (24 * n_docs).to_bytes(8, "little")])
+        base, score, hits = (np.bincount(doc, times * x[mine], n_docs) for x in (plain, gain, known))
+        out_parts.append([base.tobytes(), score.astype(np.float32).tobytes(), pack(hits.astype(np.int64)),
+                          parts[i][8], parts[i][9]])
     return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(out_parts, pa.list_(pa.binary()))],
                                       names=["block", "parts"])
 
 
 def _finish_block(group: pa.Table, n_tokens: int) -> pa.RecordBatch:
-    total, ids, sizes = 0.0, None, None
-    for sums, head, tokens, size in group.column("parts").to_pylist():
-        total = total + np.frombuffer(pa.decompress(sums, int.from_bytes(size, "little"), "zstd", asbytes=True))
+    base, score, known = 0.0, 0.0, 0
+    for plain, gain, hits, head, tokens in group.column("parts").to_pylist():
+        base, known = base + np.frombuffer(plain), known + unpack(hits).astype(np.int64)
+        score = score + np.frombuffer(gain, np.float32).astype(np.float64)
         if tokens:
             sizes = unpack(tokens)
             ids = np.frombuffer(head, np.int64, len(sizes))
@@ -231,8 +232,7 @@ def _finish_block(group: pa.Table, n_tokens: int) -> pa.RecordBatch:
     n = len(sizes)
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, pa.int64(), mask=null), pa.array(sizes, pa.int64()),
-         pa.array(np.rint(total[2 * n:]), pa.float64()).cast(pa.int64()),
-         pa.array([n_tokens] * n, pa.int64()), pa.array(total[:n]), pa.array(total[n:2 * n])],
+         pa.array(known), pa.array([n_tokens] * n, pa.int64()), pa.array(base), pa.array(score)],
         names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
 
@@ -250,7 +250,7 @@ def language_scores(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_T
     hot = [(int(r["word"]), int(r["n"])) for r in counts.where(F.col("n") > shard_tokens // 2).collect()]
     parts = [(w, min(shards, -(-n * 2 // shard_tokens))) for w, n in hot]
     hot_counts = dict(hot)
-    dealt = (_blocks(docs, shards, parts).repartition(shards, "shard").sortWithinPartitions("shard", "block"))
+    dealt = _blocks(docs, shards, parts).repartitionById(shards, "shard").sortWithinPartitions("shard", "block")
     sums = dealt.mapInArrow(lambda batches: stream_groups(
         batches, ["shard"], lambda _, g: _score_shard(g, n_tokens, n_words, hot_counts, mu)),
         "block long, parts array<binary>")
