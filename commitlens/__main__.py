@@ -24,9 +24,10 @@ def main(argv: list[str] | None = None) -> int:
     run = sub.add_parser("run", help="run a query")
     run.add_argument("key")
     run.add_argument("--sf", required=True, help="folder with the <table>.parquet files")
-    run.add_argument("--show", type=int, default=20, help="rows to print (0: none)")
+    run.add_argument("--show", type=int, help="rows to print (default 20, or none with --out)")
     run.add_argument("--out", help="write the full result here")
     run.add_argument("--format", default="parquet", choices=["parquet", "csv", "json"])
+    run.add_argument("--overwrite", action="store_true", help="replace an existing --out folder")
     run.add_argument("--master", help="e.g. local[8]; omit on a cluster")
     run.add_argument("--explain", action="store_true", help="print the formatted physical plan")
     args = ap.parse_args(argv)
@@ -42,15 +43,20 @@ def main(argv: list[str] | None = None) -> int:
     if args.key not in QUERIES:
         print(f"unknown query {args.key!r}; see `python -m commitlens list`", file=sys.stderr)
         return 2
-    from commitlens.session import build_session
+    from commitlens.session import build_session, clear_scratch
     spark = build_session(args.master)
-    df = QUERIES[args.key](spark, args.sf)
-    if args.explain:
-        df.explain("formatted")
-    if args.out:
-        df.write.mode("overwrite").format(args.format).save(args.out)
-    if args.show:
-        df.show(args.show, truncate=False)
+    try:
+        df = QUERIES[args.key](spark, args.sf)
+        if args.explain:
+            df.explain("formatted")
+        if args.out:
+            df.write.mode("overwrite" if args.overwrite else "errorifexists").format(args.format).save(args.out)
+            df = spark.read.format(args.format).schema(df.schema).load(args.out)
+        show = args.show if args.show is not None else (0 if args.out else 20)
+        if show:
+            df.show(show, truncate=False)
+    finally:
+        clear_scratch(spark)
     return 0
 
 

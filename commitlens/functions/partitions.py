@@ -1,18 +1,17 @@
-"""Parallelism guard for CPU-heavy row work right after a scan."""
+"""Parallelism of row work right after a scan."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+SPREAD_CONF = "commitlens.scan.tasks"
+
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread rows round-robin over the cluster's cores when the scan plans fewer tasks than that.
+    """Deal rows round-robin over ``commitlens.scan.tasks`` tasks where the session sets it; otherwise ``df`` itself.
 
-    A Parquet file of one row group is read by one task however large it is; regex, string building or explode
-    work on it would then run serially. A large, well-split input (the normal case at scale) is returned as it is,
-    so this adds no shuffle there.
+    A Parquet file of one row group is read by one task however large it is. A session whose inputs are a few such
+    files (a laptop, the benchmark) can set the option; the plan never depends on what the input looks like.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    tasks = df.sparkSession.conf.get(SPREAD_CONF, None)
+    return df.repartition(int(tasks)) if tasks else df

@@ -17,30 +17,35 @@ from commitlens.functions.fields import (author_date, author_name, committer_dat
 from commitlens.functions.labels import label_counts, size_label
 from commitlens.operators.ordered import global_row_number, shift_within
 
-# Above this many names a name filter becomes a semi-join instead of an IN-list literal.
-MAX_INLIST = 1000
-
-
-def _names_filter(df: DataFrame, column: Column, names: Sequence[str] | DataFrame, alias: str) -> DataFrame:
-    """Keep rows whose ``column`` is in ``names`` (a small literal list, or a one-column DataFrame)."""
+def _names_filter(df: DataFrame, column: Column, names: Sequence[str] | DataFrame) -> DataFrame:
+    """Keep rows whose ``column`` is in ``names``: an IN list of the caller's literals, or a semi-join with the first
+    column of a DataFrame (for long lists)."""
     if isinstance(names, DataFrame):
-        nm = names.select(names.columns[0]).withColumnRenamed(names.columns[0], "_name").distinct()
+        nm = names.select(F.col(names.columns[0]).alias("_name")).distinct()
         # Broadcast is left to AQE's size check (autoBroadcastJoinThreshold); no unconditional hint.
         return df.join(nm, column == F.col("_name"), "left_semi")
-    names = list(names)
-    if len(names) > MAX_INLIST:
-        spark = df.sparkSession
-        return _names_filter(df, column, spark.createDataFrame([(n,) for n in names], "_name string"), alias)
-    return df.where(column.isin(names))
+    return df.where(column.isin(list(names)))
+
 
+def repo_match(commits: DataFrame, repository: str, match: str = "equal") -> Column:
+    """P9 / D-9: choose a repository. ``equal``: repo name or owner/repo equals; ``contains``: url substring.
 
-def repo_match(repository: str, match: str = "equal") -> Column:
-    """P9 / D-9: choose a repository. ``equal``: repo name or owner/repo equals; ``contains``: url substring."""
+    A table that was landed with ``owner_key`` and ``repo_key`` columns (see ``with_repo_keys``) is filtered on them,
+    so the predicate reaches the scan; otherwise the parts are taken from the url.
+    """
     if match == "contains":
         return F.col("url").contains(repository)
+    keyed = {"owner_key", "repo_key"} <= set(commits.columns)
+    own, repo = (F.col("owner_key"), F.col("repo_key")) if keyed else (owner(), repo_name())
     if "/" in repository:
-        return owner_repo() == repository
-    return repo_name() == repository
+        first, _, second = repository.partition("/")
+        return (own == first) & (repo == second)
+    return repo == repository
+
+
+def with_repo_keys(commits: DataFrame) -> DataFrame:
+    """Adds ``owner_key`` and ``repo_key``, plain columns that a stored table can be filtered on."""
+    return commits.withColumn("owner_key", owner()).withColumn("repo_key", repo_name())
 
 
 # ---------------------------------------------------------------- projections and filters
@@ -74,7 +79,7 @@ def with_commit_time_diff(commits: DataFrame) -> DataFrame:
 def by_committers(commits: DataFrame, names: Sequence[str] | DataFrame) -> DataFrame:
     """Commits of the given committers -> committer, sha, timestamp (author date), ordered by time."""
     df = commits.select(committer_name().alias("committer"), "sha", author_date().alias("timestamp"))
-    return _names_filter(df, F.col("committer"), names, "committer").orderBy("timestamp", "sha")
+    return _names_filter(df, F.col("committer"), names).orderBy("timestamp", "sha")
 
 
 # ---------------------------------------------------------------- aggregations
@@ -93,7 +98,7 @@ def extension_counts(commits: DataFrame, no_dot: str = "unknown") -> DataFrame:
 def committer_stats(commits: DataFrame, names: Sequence[str] | DataFrame) -> DataFrame:
     """A3: summed stats of the given committers; missing stats count as 0; unknown names are absent."""
     df = commits.select(committer_name().alias("committer"), "stats")
-    df = _names_filter(df, F.col("committer"), names, "committer")
+    df = _names_filter(df, F.col("committer"), names)
     z = F.lit(0).cast("long")
     return df.groupBy("committer").agg(
         F.sum(F.coalesce("stats.total", z)).alias("total"),
@@ -101,8 +106,17 @@ def committer_stats(commits: DataFrame, names: Sequence[str] | DataFrame) -> Dat
         F.sum(F.coalesce("stats.deletions", z)).alias("deletions"))
 
 
+def repo_committer_rows(commits: DataFrame) -> DataFrame:
+    """A4, long form: one row per (repository name, committer) with the committer's and the repository's number of
+    commits. No list: a repository with any number of committers is as many rows."""
+    pairs = commits.groupBy(repo_name().alias("repo"), committer_name().alias("committer")).agg(
+        F.count(F.lit(1)).alias("n"))
+    totals = pairs.groupBy(F.col("repo").alias("_repo")).agg(F.sum("n").alias("n_commits"))
+    return pairs.join(totals, F.col("repo").eqNullSafe(F.col("_repo"))).select("repo", "n_commits", "committer", "n")
+
+
 def repo_committers(commits: DataFrame) -> DataFrame:
-    """A4: per repository name: number of commits and the sorted distinct committer names.
+    """A4 in the question's shape (bound: the committers of one repository): per repository name: number of commits and the sorted distinct committer names.
 
     Two-level aggregate: (repo, committer) counts first, so a hot repository is spread over the first shuffle
     and the second level only sees its distinct committers (the output itself).
@@ -137,14 +151,23 @@ def repo_latest_files(commits: DataFrame, order: str = "newest") -> DataFrame:
             .agg(F.max_by(rec, key).alias("file")).select("repo", "filename", "file.*"))
 
 
-def _repo_file_rows(commits: DataFrame, repository: str, match: str, sha: str) -> DataFrame:
-    picked = commits.where(repo_match(repository, match))
-    files = explode_files(picked, ["sha", "filename", "additions", "deletions", "changes"],
-                          keep=[F.col("sha").alias("commit_sha")], prefix="f_")
-    s = F.col("commit_sha") if sha == "commit" else F.coalesce("f_sha", F.lit(""))
-    return files.select(F.coalesce("f_filename", F.lit("")).alias("filename"), s.alias("sha"),
-                        F.col("f_changes").alias("changes"), F.col("f_additions").alias("additions"),
-                        F.col("f_deletions").alias("deletions"))
+def _repo_files(commits: DataFrame, repository: str, match: str, fields: list[str]) -> DataFrame:
+    """``commit_sha`` and the named file fields (``f_`` prefixed) of one repository; a missing name is ''."""
+    picked = commits.where(repo_match(commits, repository, match))
+    files = explode_files(picked, ["filename", *fields], keep=[F.col("sha").alias("commit_sha")], prefix="f_")
+    return files.withColumn("f_filename", F.coalesce("f_filename", F.lit("")))
+
+
+def _sha_of(sha: str) -> tuple[list[str], Column]:
+    return ([], F.col("commit_sha")) if sha == "commit" else (["sha"], F.coalesce("f_sha", F.lit("")))
+
+
+_FILE_STATS = ["changes", "additions", "deletions"]
+
+
+def _file_sums() -> list[Column]:
+    return [F.sum("f_changes").alias("total"), F.sum("f_additions").alias("additions"),
+            F.sum("f_deletions").alias("deletions")]
 
 
 def repo_file_sha_rows(commits: DataFrame, repository: str, match: str = "equal", sha: str = "commit") -> DataFrame:
@@ -153,15 +176,14 @@ def repo_file_sha_rows(commits: DataFrame, repository: str, match: str = "equal"
     ``sha="commit"`` gives commit shas (as the question asks); ``sha="file"`` the file blob shas. A missing name
     is ''. Nothing is collected, so a file changed by a third of all commits is still spread over tasks.
     """
-    return _repo_file_rows(commits, repository, match, sha).select("filename", "sha")
+    fields, value = _sha_of(sha)
+    return _repo_files(commits, repository, match, fields).select(F.col("f_filename").alias("filename"), value.alias("sha"))
 
 
 def repo_file_stats(commits: DataFrame, repository: str, match: str = "equal") -> DataFrame:
     """A6 / D-5: per file of one repository: number of changes (shas) and summed file stats."""
-    rows = _repo_file_rows(commits, repository, match, "commit")
-    return rows.groupBy("filename").agg(
-        F.count(F.lit(1)).alias("n_shas"), F.sum("changes").alias("total"), F.sum("additions").alias("additions"),
-        F.sum("deletions").alias("deletions"))
+    rows = _repo_files(commits, repository, match, _FILE_STATS)
+    return rows.groupBy(F.col("f_filename").alias("filename")).agg(F.count(F.lit(1)).alias("n_shas"), *_file_sums())
 
 
 def repo_file_shas(commits: DataFrame, repository: str, match: str = "equal", sha: str = "commit") -> DataFrame:
@@ -170,10 +192,10 @@ def repo_file_shas(commits: DataFrame, repository: str, match: str = "equal", sh
     The list per file is bounded by that file's history, not by the table; for files with unbounded histories
     use :func:`repo_file_sha_rows` + :func:`repo_file_stats`, which hold no list.
     """
-    rows = _repo_file_rows(commits, repository, match, sha)
-    return rows.groupBy("filename").agg(
-        F.sort_array(F.collect_list("sha")).alias("shas"),
-        F.sum("changes").alias("total"), F.sum("additions").alias("additions"), F.sum("deletions").alias("deletions"))
+    fields, value = _sha_of(sha)
+    rows = _repo_files(commits, repository, match, [*fields, *_FILE_STATS])
+    return rows.groupBy(F.col("f_filename").alias("filename")).agg(
+        F.sort_array(F.collect_list(value)).alias("shas"), *_file_sums())
 
 
 def committer_repo_stats(commits: DataFrame) -> DataFrame:
@@ -223,14 +245,14 @@ def _top1(df: DataFrame, order: Sequence[Column]) -> DataFrame:
 def js_hour(commits: DataFrame, suffix: str = ".js") -> DataFrame:
     """UTC hour with the most changed ``.js`` files, and that number (ties: lowest hour)."""
     per = commits.select(F.hour(committer_date()).alias("hour"),
-                         count_if("files", lambda f: f["filename"].endswith(suffix)).alias("js"))
+                         count_if("files.filename", lambda name: name.endswith(suffix)).alias("js"))
     by_hour = per.groupBy("hour").agg(F.sum("js").alias("n_files"))
     return _top1(by_hour, [F.desc("n_files"), F.asc("hour")])
 
 
 def top_author(commits: DataFrame, repository: str, match: str = "equal") -> DataFrame:
     """The author with most commits to one repository (ties: name ascending)."""
-    per = commits.where(repo_match(repository, match)).groupBy(author_name().alias("author")).agg(
+    per = commits.where(repo_match(commits, repository, match)).groupBy(author_name().alias("author")).agg(
         F.count(F.lit(1)).alias("n_commits"))
     return _top1(per, [F.desc("n_commits"), F.asc("author")])
 
@@ -265,14 +287,14 @@ def size_label_counts(commits: DataFrame, limit: int = 20) -> DataFrame:
 def days_since_previous(commits: DataFrame, name: str | None = None) -> DataFrame:
     """W1 / D-13: per committer, whole days since their previous commit (first commit: 0), chronological.
 
-    All committers at once; the lag runs on range partitions of (name, date, sha), so a committer owning a third
-    of all commits is split over many tasks. ``name`` optionally keeps one committer.
+    All committers at once; the lag runs inside (name, day), so a committer owning a third of all commits is split
+    over many tasks. ``name`` optionally keeps one committer.
     """
     df = commits.select(F.col("_id.$oid").alias("oid"), committer_name().alias("name"),
                         committer_date().alias("date"), "sha")
     if name is not None:
         df = df.where(F.col("name") == name)
-    shifted = shift_within(df, ["name"], ["date", "sha"], ["date"], offset=-1)
+    shifted = shift_within(df, ["name"], ["date", "sha"], ["date"], F.to_date("date"), offset=-1)
     return shifted.select("oid", "name", "date", "sha",
                           F.coalesce(F.datediff("date", "date_prev"), F.lit(0)).alias("time_diff"))
 
@@ -295,3 +317,13 @@ def owner_xor_author(commits: DataFrame) -> DataFrame:
     )).alias("t")).select("t.*")
     g = tagged.groupBy("name").agg(F.bool_or("is_owner").alias("o"), F.bool_or("is_author").alias("a"))
     return g.where(F.col("o") != F.col("a")).select("name")
+
+
+def owner_and_author(commits: DataFrame) -> DataFrame:
+    """Names that are both a repository owner and a commit author."""
+    return commits.select(owner().alias("name")).intersect(commits.select(author_name().alias("name")))
+
+
+def author_not_owner(commits: DataFrame) -> DataFrame:
+    """U4: commit authors that own no repository."""
+    return commits.select(author_name().alias("name")).subtract(commits.select(owner().alias("name")))

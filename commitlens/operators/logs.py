@@ -18,7 +18,7 @@ def field(value: str | Column, n: int) -> Column:
 
 def _tail(c: Column) -> Column:
     """awk ``substr(x, 2)``: drop the first character."""
-    return F.substring(c, 2, 1 << 30)
+    return F.substr(c, F.lit(2))
 
 
 def to_csv_columns(lines: DataFrame) -> DataFrame:

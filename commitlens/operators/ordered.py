@@ -1,119 +1,65 @@
-"""Order-dependent window operators that do not put one hot key into one task.
-
-``Window.partitionBy(k)`` sends every row of a key to one task; with a key holding a third of all rows that task
-becomes the job. Here rows are range-partitioned on the *full* sort key (partition columns + a total order),
-so a hot key is spread over many contiguous range partitions. Each partition is then numbered / shifted locally
-(window over ``(_pid, key)``: groups are bounded by the partition size), and the few rows at partition edges are
-fixed with a per-partition summary that has at most ``n_partitions`` rows - a proven bound, so it is broadcast.
-
-Before choosing, the largest group is measured (one partial+final count aggregate). When every group is at most
-``commitlens.window.maxGroupRows`` rows (default 2,000,000: a size one task sorts and spills comfortably) the
-plain ``Window`` plan is used - one hash shuffle, no sampling or lineage cut. Beyond it, the range path runs.
-This is the same pattern as a broadcast behind a size check, with the scalable plan as the fallback. Setting the
-limit to 0 (always the range path) or below 0 (groups known to be small) skips the measuring job.
+"""Order-dependent window operators that do not put one hot key into one task. One plan for every size.
+
+``Window.partitionBy(k)`` sends every row of a key to one task. Here the caller names a *bucket*: an expression of the
+row that never decreases along the order (a day of the time, a block of positions). Rows are windowed inside
+``(key, bucket)``, so a hot key is spread over as many tasks as it has buckets; what crosses a bucket's edge (the rows
+before it, the row next to it) comes from one aggregate row per (key, bucket), windowed per key and joined back. No row
+count is taken beforehand, nothing is sampled, and no plan depends on the size of the input.
+
+A global order has no such key; :func:`global_running_sum` range-sorts the rows once into a table in the shared
+checkpoint folder and adds the sizes of the partitions before each one (one row per partition).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-__all__ = ["row_number_within", "shift_within", "global_row_number", "largest_group"]
-
-MAX_GROUP_CONF = "commitlens.window.maxGroupRows"
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
+__all__ = ["row_number_within", "shift_within", "global_row_number", "global_running_sum", "position_block"]
 
+#: Positions per bucket of a sequence.
+BLOCK = 1 << 16
 
-def largest_group(df: DataFrame, part: Sequence[str]) -> int:
-    """Rows in the largest ``part`` group (the whole table when ``part`` is empty)."""
-    if not part:
-        return df.count()
-    top = df.groupBy(*part).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return int(top or 0)
 
+def position_block(pos: str = "pos") -> Column:
+    """Bucket of a 0-based position."""
+    return F.floor(F.col(pos) / F.lit(BLOCK))
 
-def _bounded(df: DataFrame, part: Sequence[str], max_group_rows: int | None) -> bool:
-    """True when the plain window plan is safe. A limit of 0 means "every key may be hot" (range path, no
-    measuring job); a negative limit means the caller vouches for small groups (plain plan, no measuring job)."""
-    limit = max_group_rows
-    if limit is None:
-        limit = int(df.sparkSession.conf.get(MAX_GROUP_CONF, str(DEFAULT_MAX_GROUP_ROWS)))
-    if limit == 0:
-        return False
-    if limit < 0:
-        return True
-    return largest_group(df, part) <= limit
 
+def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
+    return df.withColumn("_b", bucket)
 
-def _cols(xs: Sequence[str | Column]) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
 
+def _join_edges(rows: DataFrame, edges: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Left join of per-(key, bucket) facts, keys compared null-safe."""
+    edges = edges.select(*[F.col(p).alias(f"_e{i}") for i, p in enumerate(part)], F.col("_b").alias("_eb"),
+                         *[c for c in edges.columns if c not in (*part, "_b")])
+    same = [rows[p].eqNullSafe(edges[f"_e{i}"]) for i, p in enumerate(part)]
+    same.append(rows["_b"].eqNullSafe(edges["_eb"]))
+    return rows.join(edges, reduce(lambda a, b: a & b, same), "left")
 
-def _n(df: DataFrame, n: int | None) -> int:
-    return n or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-
-def _split(df: DataFrame, part: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """Range-partition on the full key and number the partitions, then cut lineage.
-
-    Range bounds come from sampling and differ between two plans over the same input (column pruning changes
-    the sampled projection), so the numbered rows are checkpointed once, into the shared checkpoint folder, and
-    both the local pass and the edge summary read that one copy. This also survives executor loss.
-    """
-    from commitlens.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    keys = _cols(list(part) + list(order))
-    numbered = df.repartitionByRange(n, *keys).withColumn("_pid", F.spark_partition_id())
-    return numbered.checkpoint(eager=True)
-
-
-def _key_struct(part: Sequence[str]) -> Column:
-    return F.struct(*[F.col(p).alias(f"_k{i}") for i, p in enumerate(part)]) if part else F.lit(0)
-
-
-def row_number_within(df: DataFrame, part: Sequence[str], order: Sequence[str], name: str = "rn",
-                      n_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
+def row_number_within(df: DataFrame, part: Sequence[str], order: Sequence[str], bucket: Column,
+                      name: str = "rn") -> DataFrame:
     """Adds ``name`` = 1-based ``row_number() over (partition by part order by order)``.
 
-    ``order`` must be a total order within ``part`` (ascending column names).
+    ``order`` must be a total order within ``part`` (ascending column names); ``bucket`` must not decrease along it.
     """
-    if _bounded(df, part, max_group_rows):
-        w = Window.partitionBy(*_cols(part)).orderBy(*_cols(order)) if part else Window.orderBy(*_cols(order))
-        return df.withColumn(name, F.row_number().over(w))
-    n = _n(df, n_partitions)
-    r = _split(df, part, order, n).withColumn("_key", _key_struct(part))
-    w = Window.partitionBy("_pid", "_key").orderBy(*_cols(order))
-    local = (r.withColumn("_lrn", F.row_number().over(w))
-             .withColumn("_lcnt", F.count(F.lit(1)).over(Window.partitionBy("_pid", "_key"))))
-    # First and last key of every range partition: at most n rows.
-    edges = r.groupBy("_pid").agg(F.min("_key").alias("_first"), F.max("_key").alias("_last"))
-    edge_keys = (edges.select("_pid", F.col("_first").alias("_key"))
-                 .unionByName(edges.select("_pid", F.col("_last").alias("_key"))).distinct())
-    # Rows per (partition, edge key): only keys at partition edges can span partitions.
-    e = F.broadcast(edge_keys.select(F.col("_pid").alias("_ep"), F.col("_key").alias("_ek")))
-    spans = (local.where(F.col("_lrn") == 1).select("_pid", "_key", "_lcnt")
-             .join(e, (F.col("_pid") == F.col("_ep")) & F.col("_key").eqNullSafe(F.col("_ek")), "left_semi"))
-    # Offset of the first key of each partition = its rows in earlier partitions (bounded: <= 2n span rows).
-    firsts = edges.select(F.col("_pid").alias("_p"), F.col("_first").alias("_fk"))
-    offsets = (firsts.join(spans, F.col("_fk").eqNullSafe(F.col("_key")) & (F.col("_pid") < F.col("_p")))
-               .groupBy("_p", "_fk").agg(F.sum("_lcnt").alias("_off")))
-    out = local.join(F.broadcast(offsets),
-                     (F.col("_pid") == F.col("_p")) & F.col("_key").eqNullSafe(F.col("_fk")), "left")
-    return (out.withColumn(name, F.col("_lrn") + F.coalesce(F.col("_off"), F.lit(0)))
-            .drop("_pid", "_key", "_lrn", "_lcnt", "_off", "_p", "_fk"))
-
-
-def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn",
-                      n_partitions: int | None = None, max_group_rows: int | None = None) -> DataFrame:
-    """1-based position in a global total order; an unpartitioned window only for a measured small table."""
-    return row_number_within(df, [], order, name, n_partitions, max_group_rows)
-
-
-def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                 offset: int = -1, suffix: str | None = None, n_partitions: int | None = None,
-                 max_group_rows: int | None = None) -> DataFrame:
+    columns = df.columns
+    rows = _bucketed(df, bucket)
+    sizes = rows.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select(*part, "_b", F.coalesce(before, F.lit(0)).alias("_before"))
+    local = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*part, "_b").orderBy(*order)))
+    return _join_edges(local, offsets, part).select(
+        *columns, (F.col("_rn") + F.col("_before")).cast("long").alias(name))
+
+
+def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str], bucket: Column,
+                 offset: int = -1, suffix: str | None = None) -> DataFrame:
     """``lag`` (offset -1) or ``lead`` (offset +1) of ``cols`` within ``part`` ordered by ``order``.
 
     Adds ``<col><suffix>`` columns (default suffix ``_prev`` / ``_next``); NULL at the start/end of a key.
@@ -121,29 +67,39 @@ def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols:
     if offset not in (-1, 1):
         raise ValueError("offset must be -1 (lag) or +1 (lead)")
     suffix = suffix or ("_prev" if offset < 0 else "_next")
-    fn = F.lag if offset < 0 else F.lead
-    if _bounded(df, part, max_group_rows):
-        w = Window.partitionBy(*_cols(part)).orderBy(*_cols(order)) if part else Window.orderBy(*_cols(order))
-        return df.select("*", *[fn(c).over(w).alias(c + suffix) for c in cols])
-    n = _n(df, n_partitions)
-    r = _split(df, part, order, n).withColumn("_key", _key_struct(part))
-    w = Window.partitionBy("_pid", "_key").orderBy(*_cols(order))
-    local = r.select("*", *[fn(c).over(w).alias(c + suffix) for c in cols],
-                     F.row_number().over(w).alias("_lrn"),
-                     F.count(F.lit(1)).over(Window.partitionBy("_pid", "_key")).alias("_lcnt"))
-    ordkey = F.struct(*_cols(order))
-    edge_val = F.struct(F.col("_key").alias("key"), *[F.col(c).alias(c) for c in cols])
-    agg = F.max_by if offset < 0 else F.min_by
-    # Per non-empty partition: its last (lag) or first (lead) row, keyed with its neighbour's id.
-    edges = r.groupBy("_pid").agg(agg(edge_val, F.struct(F.col("_key"), ordkey)).alias("_edge"))
-    nb = Window.orderBy("_pid")  # over <= n rows only
-    edges = edges.select(
-        (F.lead("_pid").over(nb) if offset < 0 else F.lag("_pid").over(nb)).alias("_pid"),
-        F.col("_edge"),
-    ).where(F.col("_pid").isNotNull())
-    out = local.join(F.broadcast(edges), "_pid", "left")
-    at_edge = (F.col("_lrn") == 1) if offset < 0 else (F.col("_lrn") == F.col("_lcnt"))
-    cont = at_edge & F.col("_edge.key").eqNullSafe(F.col("_key"))
-    for c in cols:
-        out = out.withColumn(c + suffix, F.when(cont, F.col(f"_edge.{c}")).otherwise(F.col(c + suffix)))
-    return out.drop("_pid", "_key", "_lrn", "_lcnt", "_edge")
+    fn, edge = (F.lag, F.max_by) if offset < 0 else (F.lead, F.min_by)
+    columns = df.columns
+    rows = _bucketed(df, bucket)
+    near = F.struct(*[F.col(c).alias(c) for c in cols])
+    edges = rows.groupBy(*part, "_b").agg(edge(near, F.struct(*order)).alias("_edge"))
+    edges = edges.select(*part, "_b", fn("_edge").over(Window.partitionBy(*part).orderBy("_b")).alias("_edge"))
+    w = Window.partitionBy(*part, "_b").orderBy(*order)
+    local = rows.withColumn("_near", fn(near).over(w))
+    joined = _join_edges(local, edges, part)
+    value = F.coalesce("_near", "_edge")
+    return joined.select(*columns, *[value[c].alias(c + suffix) for c in cols])
+
+
+def global_running_sum(df: DataFrame, order: Sequence[str], value: Column, name: str) -> DataFrame:
+    """Adds ``name`` = the sum of ``value`` over this row and all rows before it in a global total order.
+
+    The rows are range-partitioned and landed once with their partition's number (range bounds are sampled, so two
+    plans over the same input could differ); each partition is summed by itself and gets the sums of the partitions
+    before it from a table of one row per partition, which is what bounds the broadcast.
+    """
+    from commitlens.session import scratch_path
+    path = scratch_path(df.sparkSession, "global-order")
+    (df.repartitionByRange(*order).withColumns({"_pid": F.spark_partition_id(), "_v": value.cast("long")})
+     .write.parquet(path))
+    rows = df.sparkSession.read.parquet(path)
+    sizes = rows.groupBy("_pid").agg(F.sum("_v").alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = F.broadcast(sizes.select("_pid", F.coalesce(before, F.lit(0)).alias("_before")))
+    upto = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_rn", F.sum("_v").over(upto))
+    return local.join(offsets, "_pid").select(*df.columns, (F.col("_rn") + F.col("_before")).cast("long").alias(name))
+
+
+def global_row_number(df: DataFrame, order: Sequence[str], name: str = "rn") -> DataFrame:
+    """1-based position in a global total order (see :func:`global_running_sum`)."""
+    return global_running_sum(df, order, F.lit(1), name)

@@ -4,19 +4,20 @@ Contract: ``pos`` is 0-based and contiguous within ``seq_id``; operators that dr
 an undefined item (the optional-number lists). Keys of all sequences, empty ones included, come as a one-column
 ``seq_id`` DataFrame where a question must answer for empty sequences too.
 
-The work is grouped aggregation, joins and windows partitioned by ``seq_id``; positional renumbering uses the
-range-partitioned :func:`row_number_within`, so one enormous sequence is not one task. Only the ordered folds
-(L18) hold one sequence's values together (``collect_list``): their size bound is the longest sequence.
+The work is grouped aggregation, joins and windows; positional renumbering runs inside blocks of positions
+(:func:`row_number_within`), so one enormous sequence is not one task. Only the folds with an arbitrary function (L18)
+hold one sequence's values together (``collect_list``): nothing can be known of such a fold before its items are in
+order, so their size bound is the longest sequence. Affine folds hold one block of positions.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commitlens.operators.ordered import _bounded, _n, _split, row_number_within
+from commitlens.operators.ordered import BLOCK, position_block, row_number_within
 
 INT_MIN = -2147483648
 Pred = Callable[[Column], Column]
@@ -24,7 +25,7 @@ Pred = Callable[[Column], Column]
 
 def renumber(seqs: DataFrame) -> DataFrame:
     """Re-issue contiguous 0-based positions after items were dropped."""
-    r = row_number_within(seqs, ["seq_id"], ["pos"], name="_rn")
+    r = row_number_within(seqs, ["seq_id"], ["pos"], position_block(), name="_rn")
     return r.withColumn("pos", F.col("_rn") - 1).drop("_rn")
 
 
@@ -40,8 +41,14 @@ def max_value(seqs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def int_range(rows: DataFrame, a: str, b: str, name: str = "value") -> DataFrame:
-    """L3: the inclusive range [a, b] as rows; none when a > b (``sequence`` alone would count down)."""
-    return rows.withColumn(name, F.explode(F.when(F.col(a) <= F.col(b), F.sequence(F.col(a), F.col(b)))))
+    """L3: the inclusive range [a, b] as rows; none when a > b (``sequence`` alone would count down).
+
+    Blocks of the range are exploded first, then each block, so no array is longer than a block (or their number).
+    """
+    blocks = F.when(F.col(a) <= F.col(b), F.sequence(F.col(a).cast("long"), F.col(b).cast("long"), F.lit(BLOCK)))
+    return (rows.withColumn("_start", F.explode(blocks))
+            .withColumn(name, F.explode(F.sequence("_start", F.least(F.col("_start") + (BLOCK - 1), F.col(b)))))
+            .drop("_start"))
 
 
 def every_other_match(seqs: DataFrame, pred: Pred) -> DataFrame:
@@ -132,9 +139,22 @@ def filter_values(seqs: DataFrame, pred: Pred) -> DataFrame:
     return renumber(seqs.where(pred(F.col("value"))))
 
 
-def flatten_nested(nested: DataFrame, column: str = "items") -> DataFrame:
-    """Flatten a two-level nested list column into rows (seq_id, pos, value)."""
-    return nested.select("seq_id", F.posexplode(F.flatten(F.col(column))).alias("pos", "value"))
+def flatten_nested(nested: DataFrame, column: str = "items", depth: int = 2) -> DataFrame:
+    """Flatten a nested list column of the declared ``depth`` into rows (seq_id, pos, value)."""
+    flat = F.col(column)
+    for _ in range(depth - 1):
+        flat = F.flatten(flat)
+    return nested.select("seq_id", F.posexplode(flat).alias("pos", "value"))
+
+
+def flatten_levels(seqs: DataFrame, levels: Sequence[str], bucket: Column) -> DataFrame:
+    """L17 on a long table: nested sequences as one position column per level, outermost first (the declared depth).
+
+    The flat position is the number of items before it in the order of the levels; no list is built. ``bucket`` must
+    not decrease along that order.
+    """
+    r = row_number_within(seqs, ["seq_id"], list(levels), bucket, name="_rn")
+    return r.select("seq_id", (F.col("_rn") - 1).alias("pos"), "value")
 
 
 def _ordered_values(seqs: DataFrame) -> DataFrame:
@@ -156,41 +176,59 @@ def fold_right(seqs: DataFrame, keys: DataFrame, init: Column, f: Callable[[Colu
 
 
 def fold_affine(seqs: DataFrame, keys: DataFrame, init: int, a: int, modulus: int | None = None,
-                from_right: bool = False, n_partitions: int | None = None,
-                max_group_rows: int | None = None) -> DataFrame:
-    """L18 for folds whose step is affine in the accumulator, ``acc -> a * acc + x`` (mod ``modulus``):
-    foldLeft of ``(acc * a + x) % m``, or with ``from_right`` foldRight of ``f(x, acc) = a * acc + x``
-    (``a = -1`` gives ``x - acc``).
-
-    Affine steps compose associatively - a run of items is the single map ``acc -> A * acc + B`` - so a sequence
-    can be folded in ordered chunks: when its size is bounded, one chunk per sequence; otherwise chunks are
-    range partitions of (seq_id, pos), folded locally, and the at most ``n_partitions`` chunk maps of a sequence
-    are composed in order. No list longer than a range partition is ever built.
-    """
-    def md(c: Column) -> Column:
-        return F.pmod(c, F.lit(modulus)) if modulus else c
+                from_right: bool = False, block: int = BLOCK) -> DataFrame:
+    """L18 for folds whose step is affine in the accumulator: foldLeft of ``(acc * a + x) % m``, or with
+    ``from_right`` foldRight of ``f(x, acc) = (a * acc + x) % m`` (``a = -1`` without a modulus gives ``x - acc``).
 
-    def step(st: Column, x: Column) -> Column:
-        return F.struct(md(st["A"] * a).alias("A"), md(st["B"] * a + x).alias("B"))
+    ``%`` is the remainder with the sign of the dividend, as in :func:`fold_left`. A sequence is folded in blocks of
+    ``block`` positions, each by itself, so no list is longer than a block:
 
-    start = F.struct(F.lit(1).cast("long").alias("A"), F.lit(0).cast("long").alias("B"))
+    1. a block is one map ``acc -> A * acc + B`` (mod m); the maps of the blocks before it give every block the residue
+       that it starts from;
+    2. with a modulus that residue stands for two accumulators (``r`` and ``r - m``), so each block is folded from both
+       (the first from ``init``), and the results are chained over the blocks of a sequence.
 
-    def chunk_map(df: DataFrame, group: list[str]) -> DataFrame:
-        vals = F.transform(F.sort_array(F.collect_list(F.struct("pos", F.col("value").cast("long").alias("v"))),
-                                        asc=not from_right), lambda s: s["v"])
-        return df.groupBy(*group).agg(F.aggregate(vals, start, step).alias("m"))
+    Without a modulus only ``a`` in -1, 0, 1 is taken: a larger power of ``a`` overflows although the result may not.
+    """
+    if modulus is None and a not in (-1, 0, 1):
+        raise ValueError("fold_affine without a modulus takes a = -1, 0 or 1; use fold_left or fold_right")
+    if modulus is not None and (modulus <= 0 or (abs(a) + 1) * modulus >= 1 << 61 or abs(init) >= 1 << 61):
+        raise ValueError("fold_affine: the accumulator does not fit 64 bits; use fold_left or fold_right")
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+
+    def residue(c: Column) -> Column:
+        return F.pmod(c, F.lit(modulus)) if modulus else c
 
-    if _bounded(seqs, ["seq_id"], max_group_rows):
-        per_seq = chunk_map(seqs, ["seq_id"]).select("seq_id", "m")
+    def run(values: Column, start: Column) -> Column:
+        return F.aggregate(values, start, lambda acc, x: (acc * a + x) % modulus if modulus else acc * a + x)
+
+    items = F.sort_array(F.collect_list(F.struct("pos", F.col("value").cast("long").alias("v"))), asc=not from_right)
+    blocks = seqs.groupBy("seq_id", F.floor(F.col("pos") / F.lit(block)).alias("_b")).agg(
+        F.transform(items, lambda s: s["v"]).alias("_vs"))
+    map_of = F.aggregate("_vs", F.struct(one.alias("A"), zero.alias("B")), lambda st, x: F.struct(
+        residue(st["A"] * a).alias("A"), residue(st["B"] * a + residue(x)).alias("B")))
+    if modulus is None:
+        chained = F.sort_array(F.collect_list(F.struct("_b", map_of.alias("m"))), asc=not from_right)
+        total = F.aggregate(chained, F.lit(init).cast("long"), lambda acc, c: c["m"]["A"] * acc + c["m"]["B"])
     else:
-        parts = chunk_map(_split(seqs.select("seq_id", "pos", "value"), ["seq_id"], ["pos"], _n(seqs, n_partitions)),
-                          ["_pid", "seq_id"])
-        ordered = F.sort_array(F.collect_list(F.struct("_pid", "m")), asc=not from_right)
-        compose = F.aggregate(ordered, start, lambda acc, c: F.struct(
-            md(c["m"]["A"] * acc["A"]).alias("A"), md(c["m"]["A"] * acc["B"] + c["m"]["B"]).alias("B")))
-        per_seq = parts.groupBy("seq_id").agg(compose.alias("m"))
-    res = per_seq.select("seq_id", md(F.col("m.A") * init + F.col("m.B")).alias("result"))
-    return keys.join(res, "seq_id", "left").select(
+        order = F.col("_b").desc() if from_right else F.col("_b").asc()
+        earlier = Window.partitionBy("seq_id").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.withColumn("m", map_of)
+        maps = blocks.select("seq_id", "_b", F.collect_list("m").over(earlier).alias("_before"))
+        starts = maps.select("seq_id", "_b", F.aggregate("_before", residue(F.lit(init).cast("long")), lambda acc, m: (
+            residue(m["A"] * acc + m["B"]))).alias("_r"), (F.size("_before") == 0).alias("_first"))
+        ends = blocks.join(starts, ["seq_id", "_b"]).select(
+            "seq_id", "_b", "_first", run(F.col("_vs"), F.when(F.col("_first"), F.lit(init)).otherwise(F.col("_r"))
+                                          .cast("long")).alias("_up"),
+            run(F.col("_vs"), F.when(F.col("_first"), F.lit(init)).otherwise(F.col("_r") - modulus).cast("long"))
+            .alias("_down"))
+        chained = F.sort_array(F.collect_list(F.struct("_b", "_up", "_down")), asc=not from_right)
+        # A negative accumulator is r - m, any other is r; zero is its own residue either way.
+        total = F.aggregate(chained, F.lit(init).cast("long"), lambda acc, c: F.when(
+            acc < 0, c["_down"]).otherwise(c["_up"]))
+        blocks = ends
+    per_seq = blocks.groupBy("seq_id").agg(total.alias("result"))
+    return keys.join(per_seq, "seq_id", "left").select(
         "seq_id", F.coalesce("result", F.lit(init).cast("long")).alias("result"))
 
 

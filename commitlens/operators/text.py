@@ -2,59 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.functions.fields import BLANKS, ascii_lower, strip_punctuation
 from commitlens.functions.partitions import spread
 
 
-def concatenated_tokens(files: DataFrame, order: str, text: str, sep: str) -> DataFrame:
+def _pieces(files: DataFrame, order: str, text: str, sep: str, keep=None) -> DataFrame:
+    """One row per token of each file: ``(order, kind, i, token)``; kind 0 is interior, 1 a first, 2 a last token, 3 a
+    whole file without a separator. Each text is split once. ``keep`` may thin out the interior (pos, token) array."""
+    t = spread(files).select(order, F.split(F.coalesce(F.col(text), F.lit("")), sep).alias("t"))
+    n = F.size("t")
+    interior = F.filter(F.transform("t", lambda x, i: F.struct(F.lit(0).alias("kind"), i.alias("i"), x.alias("token"))),
+                        lambda s: (s["i"] > 0) & (s["i"] < n - 1))
+    interior = keep(interior) if keep else interior
+
+    def edge(kind: int, i: Column) -> Column:
+        return F.array(F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("i"), F.get("t", i).alias("token")))
+
+    every = F.when(n == 1, edge(3, F.lit(0))).otherwise(F.concat(edge(1, F.lit(0)), interior, edge(2, n - 1)))
+    return t.select(order, F.explode_outer(every).alias("p")).select(order, "p.kind", "p.i", "p.token")
+
+
+def _chains(edges: DataFrame, order: str) -> DataFrame:
+    """Tokens that cross files, from the edge rows ``(order, kind, i, token)`` of :func:`_pieces`.
+
+    In stream order a chain opens at a file's last token, runs through separator-free files and closes at the next
+    file's first token, so its number is the count of last tokens before it: a running sum over the files. A chain's
+    pieces are as long as its token, which is itself one value of the result. ``(_o, _i)`` is where it opens.
+    """
+    from commitlens.operators.ordered import global_running_sum
+    per_file = edges.groupBy(order).agg(F.max((F.col("kind") == 2).cast("int")).alias("_ends"))
+    files = global_running_sum(per_file, [order], F.col("_ends"), "_upto")
+    placed = edges.join(files, order).select(
+        order, "i", "token", F.when(F.col("kind") == 2, F.col("_upto")).otherwise(F.col("_upto") - F.col("_ends")).alias("c"))
+    piece = F.struct(F.col(order).alias("o"), "i", "token")
+    return placed.groupBy("c").agg(F.sort_array(F.collect_list(piece)).alias("s")).select(
+        F.col("s")[0]["o"].alias("_o"), F.col("s")[0]["i"].alias("_i"),
+        F.array_join(F.transform("s", lambda x: x["token"]), "").alias("token"))
+
+
+def concatenated_tokens(files: DataFrame, order: str, text: str, sep: str, keep=None) -> DataFrame:
     """Tokens of the concatenation of all texts in ``order`` - what ``cat`` then a split on runs of ``sep`` gives -
     as rows ``(_o, _i, token)`` where ``(_o, _i)`` (the file's order value, token index) is the stream order.
 
-    ``order`` must be unique per file (a file name or id); it is the total order of the concatenation.
-    ``sep`` is a run of a character class (blanks, or ``[.\\n]+``). A file that does not end with a separator glues
-    its last token to the next file's first token; a file with no separator at all is glued on both sides. Interior
-    tokens of a file stay as they are (one split pass). Boundary tokens form "chains": the last token of a file with
-    a separator, the whole text of the following separator-free files, and the first token of the next file with a
-    separator. They come from a small per-file record (first token, last token, has a separator) taken with anchored
-    regexes and checkpointed, so the file numbering (skew-safe row numbers) never re-reads the texts. A chain is
-    bounded by the run of separator-free files it crosses.
+    ``order`` must be unique per file (a file name or id). A file that does not end with a separator glues its last
+    token to the next file's first token; a file with no separator at all is glued on both sides.
     """
-    from commitlens.operators.ordered import global_row_number, row_number_within
-    from commitlens.session import checkpoint_root
-    base = spread(files.select(order, text))
-    t = F.col(text)
-    first_tok = F.regexp_extract(t, f"(?s)^(.*?)(?:{sep}|$)", 1)
-    last_tok = F.reverse(F.regexp_extract(F.reverse(t), f"(?s)^(.*?)(?:{sep}|$)", 1))
-    checkpoint_root(files.sparkSession)
-    meta = base.select(order, (~t.rlike(sep)).alias("_single"), first_tok.alias("_first"),
-                       last_tok.alias("_last")).checkpoint(eager=True)
-    meta = global_row_number(meta, [order], name="_a")
-    meta = row_number_within(meta, ["_single"], [order], name="_r")
-    # Split once per file, below the explode: an expression such as size(split(text)) next to the generator would
-    # be re-evaluated for every token (quadratic in the file length).
-    split_once = base.select(order, F.split(t, sep).alias("_t")).select(order, "_t", F.size("_t").alias("_n"))
-    interior = (split_once.select(order, "_n", F.posexplode_outer("_t").alias("_i", "token"))
-                .where((F.col("_i") > 0) & (F.col("_i") < F.col("_n") - 1))
-                .select(F.col(order).alias("_o"), "_i", "token"))
-    ns = meta.where(~F.col("_single"))
-    first = ns.select((F.col("_r") - 1).alias("_c"), "_a", F.col(order).alias("_o"), F.lit(0).alias("_i"),
-                      F.col("_first").alias("piece"))
-    last = ns.select(F.col("_r").alias("_c"), "_a", F.col(order).alias("_o"), F.lit(-1).alias("_i"),
-                     F.col("_last").alias("piece"))
-    single = meta.where(F.col("_single")).select((F.col("_a") - F.col("_r")).alias("_c"), "_a",
-                                                 F.col(order).alias("_o"), F.lit(0).alias("_i"),
-                                                 F.col("_first").alias("piece"))
-    pieces = first.unionByName(last).unionByName(single)
-    # A chain starts at its first piece; a chain opened by a file's last token sorts after that file's interior.
-    chains = pieces.groupBy("_c").agg(
-        F.min(F.struct("_a", F.when(F.col("_i") < 0, F.lit(1 << 62)).otherwise(F.col("_i")).alias("_ii"),
-                       "_o")).alias("_at"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_a", "piece"))), lambda x: x["piece"]),
-                     "").alias("token"))
-    return interior.unionByName(chains.select(F.col("_at._o").alias("_o"), F.col("_at._ii").alias("_i"), "token"))
+    from commitlens.session import landed
+    rows = landed(_pieces(files, order, text, sep, keep), "tokens")
+    inside = rows.where("kind = 0").select(F.col(order).alias("_o"), F.col("i").alias("_i"), "token")
+    return inside.unionByName(_chains(rows.where("kind > 0"), order))
 
 
 def top_words(docs: DataFrame, k: int = 10, text: str = "text", join_files: bool = False,
@@ -63,16 +62,21 @@ def top_words(docs: DataFrame, k: int = 10, text: str = "text", join_files: bool
     lower case, split on blanks. Ties: word descending (the order ``sort -nr`` gives equal counts).
 
     Each document is a unit by default. ``join_files=True`` counts the words of the concatenation in ``order``,
-    as ``cat *.txt`` would (a file without a final newline glues its last word to the next file's first word).
+    as ``cat *.txt`` would (a file without a final newline glues its last word to the next file's first word): one pass
+    gives the counts of interior words and two edge tokens per file.
     Word counting is a partial + final aggregate; a very common word is combined map-side.
     """
+    cleaned = ascii_lower(strip_punctuation(F.col(text)))
     if join_files:
-        cleaned = spread(docs).select(order, ascii_lower(strip_punctuation(F.col(text))).alias("_clean"))
-        words = concatenated_tokens(cleaned, order, "_clean", BLANKS).select(F.col("token").alias("word"))
-        words = words.where(F.col("word") != "")
-        counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+        from commitlens.session import landed
+        rows = _pieces(docs.select(order, cleaned.alias("_clean")), order, "_clean", BLANKS)
+        rows = landed(rows.groupBy("kind", F.when(F.col("kind") > 0, F.col(order)).alias(order),
+                                   F.when(F.col("kind") > 0, F.col("i")).alias("i"), "token")
+                      .agg(F.count(F.lit(1)).alias("n")), "words")
+        crossing = _chains(rows.where("kind > 0"), order).select("token", F.lit(1).cast("long").alias("n"))
+        words = rows.where("kind = 0").select("token", "n").unionByName(crossing).where("token <> ''")
+        counts = words.groupBy(F.col("token").alias("word")).agg(F.sum("n").alias("n"))
         return counts.orderBy(F.desc("n"), F.desc("word")).limit(k)
-    cleaned = ascii_lower(strip_punctuation(F.col(text)))
     # explode_outer: a plain explode makes Catalyst infer a size(split(..)) > 0 filter and push it below the
     # spread into the scan, which would run the whole regex work in the scan's single task.
     words = spread(docs).select(F.explode_outer(F.split(cleaned, BLANKS)).alias("word")).where(F.col("word") != "")
@@ -91,15 +95,20 @@ def first_sentences(docs: DataFrame, n: int = 7, order: str = "doc_id", text: st
                     join_files: bool = False) -> DataFrame:
     """The first ``n`` sentences in document order (top-n on (document, position), not a sort of all).
 
-    ``join_files=True``: sentences of the concatenation (``cat *.txt | tr -s '.' '\n'``), so a file that does not
+    No document can give more than ``n`` of them, so only its first ``n`` non-empty ones become rows.
+    ``join_files=True``: sentences of the concatenation (``cat *.txt | tr -s '.' '\\n'``), so a file that does not
     end with '.' or a newline continues its last sentence into the next file. Output (``pos``, ``sentence``).
     """
     if join_files:
-        toks = concatenated_tokens(docs.select(order, text), order, text, r"[.\n]+")
+        def leading(tokens):
+            return F.slice(F.filter(tokens, lambda s: F.trim(s["token"]) != ""), 1, n)
+        toks = concatenated_tokens(docs.select(order, text), order, text, r"[.\n]+", leading)
         s = toks.select("_o", "_i", F.trim("token").alias("sentence")).where(F.col("sentence") != "")
         top = s.orderBy("_o", "_i").limit(n)
         return top.select(F.row_number().over(Window.orderBy("_o", "_i")).alias("pos"), "sentence")
-    s = sentences(docs, order, text)
+    parts = F.transform(F.split(F.col(text), r"[.\n]+"), lambda x, i: F.struct(i.alias("pos"), F.trim(x).alias("sentence")))
+    lead = F.slice(F.filter(parts, lambda s: s["sentence"] != ""), 1, n)
+    s = spread(docs).select(order, F.explode_outer(lead).alias("s")).where("s is not null").select(order, "s.*")
     return s.orderBy(order, "pos").limit(n)
 
 

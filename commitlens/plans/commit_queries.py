@@ -6,8 +6,11 @@ from pyspark.sql import functions as F
 
 from commitlens.operators import commits as Q
 from commitlens.operators import graph, lineage, stats
+from commitlens.operators.ordered import global_row_number
 from commitlens.plans.registry import ext_sql, md5_long_sql, register, ts_sql
 from commitlens.plans.testbed import ORACLE_CTE, landed_commits
+from commitlens.sources import commits as commit_source
+from commitlens.sources.text import read_lines
 
 # Parameters of the bindings (fixed values of this test bed).
 NAMES = ["GitHub", "Customer#000000001", "Customer#000000007", "Customer#000000042", "nobody"]
@@ -45,10 +48,12 @@ def commit_time_diff(spark, sf):
 
 
 @register("commit_by_committers", W + f"""
-SELECT committer_name AS committer, sha, {ts_sql('author_ts')} AS timestamp FROM cm
-WHERE committer_name IN ({NAMES_SQL})""")
+SELECT row_number() OVER (ORDER BY author_ts, sha) AS position, committer_name AS committer, sha,
+       {ts_sql('author_ts')} AS timestamp FROM cm WHERE committer_name IN ({NAMES_SQL})""")
 def commit_by_committers(spark, sf):
-    return Q.by_committers(landed_commits(spark, sf), NAMES)
+    """The order of the answer (O1) is part of the check: each row carries its position."""
+    found = Q.by_committers(landed_commits(spark, sf), NAMES)
+    return global_row_number(found, ["timestamp", "sha"], "position")
 
 
 @register("commit_count", W + "SELECT count(*) AS n_commits FROM cm")
@@ -79,6 +84,25 @@ def commit_repo_committers(spark, sf):
     return Q.repo_committers(landed_commits(spark, sf))
 
 
+@register("commit_repo_committer_rows", W + """
+, p AS (SELECT repo, committer_name AS committer, count(*) AS n FROM cm GROUP BY ALL)
+SELECT repo, CAST(sum(n) OVER (PARTITION BY repo) AS BIGINT) AS n_commits, committer, n FROM p""")
+def commit_repo_committer_rows(spark, sf):
+    return Q.repo_committer_rows(landed_commits(spark, sf))
+
+
+@register("commit_repo_largest_files", W + f"""
+SELECT repo, filename, file_sha, status, additions, deletions, changes, commit_sha, date FROM (
+  SELECT cm.repo, fl.filename, fl.file_sha, fl.status, fl.additions, fl.deletions, fl.changes, cm.sha AS commit_sha,
+         {ts_sql('cm.committer_ts')} AS date,
+         row_number() OVER (PARTITION BY cm.repo, fl.filename ORDER BY fl.changes DESC, cm.committer_ts DESC, cm.sha DESC,
+                            fl.file_sha DESC, fl.status DESC, fl.additions DESC, fl.deletions DESC) AS rn
+  FROM fl JOIN cm ON fl.k = cm.k WHERE fl.filename IS NOT NULL) WHERE rn = 1""")
+def commit_repo_largest_files(spark, sf):
+    """A5 as coded (D-4): the file row with most changes instead of the newest."""
+    return Q.repo_latest_files(landed_commits(spark, sf), order="changes")
+
+
 @register("commit_repo_latest_files", W + f"""
 SELECT repo, filename, file_sha, status, additions, deletions, changes, commit_sha, date FROM (
   SELECT cm.repo, fl.filename, fl.file_sha, fl.status, fl.additions, fl.deletions, fl.changes, cm.sha AS commit_sha,
@@ -96,6 +120,24 @@ def commit_repo_file_shas(spark, sf):
     return Q.repo_file_sha_rows(landed_commits(spark, sf), REPO)
 
 
+@register("commit_repo_file_blobs", W + f"""
+SELECT coalesce(fl.filename, '') AS filename, fl.file_sha AS sha FROM fl JOIN cm ON fl.k = cm.k
+WHERE cm.repo = '{REPO}'""")
+def commit_repo_file_blobs(spark, sf):
+    """A6 with the files' own shas (D-5)."""
+    return Q.repo_file_sha_rows(landed_commits(spark, sf), REPO, sha="file")
+
+
+@register("commit_repo_file_sha_lists", W + f"""
+SELECT coalesce(fl.filename, '') AS filename, string_agg(cm.sha, ',' ORDER BY cm.sha) AS shas,
+       CAST(sum(fl.changes) AS BIGINT) AS total, CAST(sum(fl.additions) AS BIGINT) AS additions,
+       CAST(sum(fl.deletions) AS BIGINT) AS deletions
+FROM fl JOIN cm ON fl.k = cm.k WHERE cm.repo = '{REPO}' GROUP BY 1""")
+def commit_repo_file_sha_lists(spark, sf):
+    """A6 in the question's shape."""
+    return Q.repo_file_shas(landed_commits(spark, sf), REPO)
+
+
 @register("commit_repo_file_stats", W + f"""
 SELECT coalesce(fl.filename, '') AS filename, count(*) AS n_shas, CAST(sum(fl.changes) AS BIGINT) AS total,
        CAST(sum(fl.additions) AS BIGINT) AS additions, CAST(sum(fl.deletions) AS BIGINT) AS deletions
@@ -219,6 +261,45 @@ def commit_owner_xor_author(spark, sf):
     return Q.owner_xor_author(landed_commits(spark, sf))
 
 
+@register("commit_owner_and_author", W + "SELECT owner AS name FROM cm INTERSECT SELECT author_name FROM cm")
+def commit_owner_and_author(spark, sf):
+    return Q.owner_and_author(landed_commits(spark, sf))
+
+
+@register("commit_author_not_owner", W + "SELECT author_name AS name FROM cm EXCEPT SELECT owner FROM cm")
+def commit_author_not_owner(spark, sf):
+    return Q.author_not_owner(landed_commits(spark, sf))
+
+
+@register("commit_json_check", W + """
+SELECT count(*) FILTER (k % 50 <> 0) AS valid, count(*) FILTER (k % 50 = 0) AS invalid FROM cm""")
+def commit_json_check(spark, sf):
+    """S10 over the commits as JSON lines, of which every 50th (by order) was cut in the middle."""
+    lines = _json_lines(spark, sf, cut=True)
+    return commit_source.check_commits(spark, lines)
+
+
+@register("commit_parsed_lines", W + f"SELECT sha, url, {ts_sql('committer_ts')} AS date FROM cm")
+def commit_parsed_lines(spark, sf):
+    """JSON text lines read from files and parsed into commits."""
+    lines = read_lines(spark, _json_lines(spark, sf, cut=False))
+    parsed = commit_source.parse_commits(lines)
+    return parsed.select("sha", "url", F.col("commit.committer.date").alias("date"))
+
+
+def _json_lines(spark, sf, cut):
+    """Path of the landed commits written as JSON text lines."""
+    from commitlens.session import scratch_path
+    c = landed_commits(spark, sf)
+    line = F.to_json(F.struct(*c.columns))
+    if cut:
+        order = F.substring("sha", 2, 20).cast("long")
+        line = F.when(order % 50 == 0, F.left(line, F.lit(40))).otherwise(line)
+    path = scratch_path(spark, "commit-lines")
+    c.select(line.alias("value")).write.text(path)
+    return path
+
+
 @register("commit_branch_points", W + """
 SELECT parent AS sha, count(*) AS times_parent FROM pa WHERE parent IN (SELECT sha FROM cm)
 GROUP BY parent HAVING count(*) > 1""")

@@ -137,12 +137,8 @@ def seq_filter(spark, sf):
 @register("seq_flatten", W + """
 SELECT seq_id, row_number() OVER (PARTITION BY seq_id ORDER BY rf, pos) - 1 AS pos, value FROM sq""")
 def seq_flatten(spark, sf):
-    s = quantities(spark, sf)
-    inner = s.groupBy("seq_id", "rf").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "value"))), lambda x: x["value"]).alias("items"))
-    nested = inner.groupBy("seq_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("rf", "items"))), lambda x: x["items"]).alias("items"))
-    return L.flatten_nested(nested).withColumn("pos", F.col("pos").cast("long"))
+    """Per order, the items nested by return flag (level 1) and position (level 2)."""
+    return L.flatten_levels(quantities(spark, sf), ["rf", "pos"], F.col("rf"))
 
 
 @register("seq_fold_left", W + """
@@ -161,6 +157,37 @@ def seq_fold_right(spark, sf):
     return L.fold_affine(q(spark, sf), order_keys(spark, sf), 0, -1, from_right=True)
 
 
+_SIGNED = """
+, l AS (SELECT seq_id, list(value - 25 ORDER BY pos {order}) AS vs FROM sq GROUP BY seq_id)
+SELECT ks.seq_id, coalesce(list_reduce(l.vs, lambda acc, x: (acc * 31 + x) % 1000003, {init}), {init}) AS result
+FROM ks LEFT JOIN l ON ks.seq_id = l.seq_id"""
+
+
+def _signed(spark, sf):
+    return q(spark, sf).withColumn("value", F.col("value") - 25)
+
+
+def _step(acc, x):
+    return (acc * 31 + x) % 1000003
+
+
+@register("seq_fold_left_signed", W + _SIGNED.format(order="", init=-7))
+def seq_fold_left_signed(spark, sf):
+    """Values of both signs, folded in blocks of two positions."""
+    return L.fold_affine(_signed(spark, sf), order_keys(spark, sf), -7, 31, modulus=1000003, block=2)
+
+
+@register("seq_fold_left_any", W + _SIGNED.format(order="", init=-7))
+def seq_fold_left_any(spark, sf):
+    """The fold with an arbitrary function (here the same one), values of both signs."""
+    return L.fold_left(_signed(spark, sf), order_keys(spark, sf), F.lit(-7).cast("long"), _step)
+
+
+@register("seq_fold_right_any", W + _SIGNED.format(order="DESC", init=5))
+def seq_fold_right_any(spark, sf):
+    return L.fold_right(_signed(spark, sf), order_keys(spark, sf), F.lit(5).cast("long"), lambda x, acc: _step(acc, x))
+
+
 @register("seq_zip", W + """
 SELECT a.seq_id, a.pos, a.value AS left_value, b.value AS right_value FROM co a JOIN ev b
   ON a.seq_id = b.seq_id AND a.pos = b.pos""")

@@ -12,33 +12,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlens.operators.ordered import row_number_within
+from commitlens.operators.ordered import position_block, row_number_within
 from commitlens.plans.testbed import table
 
 LINEITEM_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                   "l_returnflag", "l_linestatus", "l_shipdate"]
-_LANDED: dict[tuple[str, str], str] = {}
 
 
-def _land(spark: SparkSession, key: str, build) -> DataFrame:
-    from commitlens.session import path_exists, scratch_path
-    k = (spark.sparkContext.applicationId, key)
-    if k not in _LANDED or not path_exists(spark, _LANDED[k]):
-        path = scratch_path(spark, "seq-" + key.split(":")[0])
-        build().write.mode("overwrite").parquet(path)
-        _LANDED[k] = path
-    return spark.read.parquet(_LANDED[k])
+def _land(spark: SparkSession, name: str, sf_dir: str, source: str, build) -> DataFrame:
+    from commitlens.session import landed_view
+    return spark.read.parquet(landed_view(spark, f"seq-{name}", sf_dir, [source],
+                                          lambda path: build().write.parquet(path)))
 
 
 def quantities(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "seq_id")
-        r = row_number_within(li, ["seq_id"], LINEITEM_ORDER, name="_rn")
+        r = row_number_within(li, ["seq_id"], LINEITEM_ORDER, position_block("l_linenumber"), name="_rn")
         q = F.col("l_quantity").cast("long")
         return r.select("seq_id", (F.col("_rn") - 1).alias("pos"), q.alias("value"),
                         F.when(F.col("l_partkey") % 13 == 0, F.lit(None).cast("long")).otherwise(q).alias("opt"),
                         F.col("l_returnflag").alias("rf"), (F.col("l_partkey") % 100).alias("pk"))
-    return _land(spark, "quantities:" + sf_dir, build)
+    return _land(spark, "quantities", sf_dir, "lineitem", build)
 
 
 def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,17 +43,17 @@ def order_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("seq_id"), "ts", "event_id", "event_type")
-        r = row_number_within(ev, ["seq_id"], ["ts", "event_id"], name="_rn")
+        r = row_number_within(ev, ["seq_id"], ["ts", "event_id"], F.to_date("ts"), name="_rn")
         return r.select("seq_id", (F.col("_rn") - 1).alias("pos"), F.col("event_type").alias("value"))
-    return _land(spark, "events:" + sf_dir, build)
+    return _land(spark, "events", sf_dir, "events", build)
 
 
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("seq_id"), "o_orderdate", "o_orderkey")
-        r = row_number_within(o, ["seq_id"], ["o_orderdate", "o_orderkey"], name="_rn")
+        r = row_number_within(o, ["seq_id"], ["o_orderdate", "o_orderkey"], F.trunc("o_orderdate", "month"), name="_rn")
         return r.select("seq_id", (F.col("_rn") - 1).alias("pos"), F.col("o_orderkey").alias("value"))
-    return _land(spark, "custorders:" + sf_dir, build)
+    return _land(spark, "custorders", sf_dir, "orders", build)
 
 
 ORACLE_CTE = """

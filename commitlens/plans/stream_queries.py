@@ -107,7 +107,7 @@ def twin_geo_join(spark, sf):
 
 @register("twin_weekly_java_continent", SQL_WEEKLY)
 def twin_weekly_java_continent(spark, sf):
-    return S.weekly_java_changes(S.geo_join(commits_ts(spark, sf), landed_geo(spark, sf)))
+    return S.weekly_changes(S.geo_join(S.file_changes(commits_ts(spark, sf)), landed_geo(spark, sf)))
 
 
 @register("twin_added_removed", SQL_ADDED_REMOVED)
@@ -117,107 +117,101 @@ def twin_added_removed(spark, sf):
 
 # ---------------------------------------------------------------- the same questions as Structured Streams
 
-_FEEDS: dict[tuple[str, str], str] = {}
-FILES_PER_TRIGGER = 2   # files written per time slice = files per micro-batch
-WATERMARK_DELAY = "0 seconds"   # ascending event time, as the reference's sources assume (T0)
+_FEEDS: dict[tuple, object] = {}
+SLICES = 4
 
 
 def _feed(spark, sf, kind):
-    from commitlens.streaming import runner
+    """The feed of a landed view, written once per application and view."""
     from commitlens.session import path_exists
-    key = (spark.sparkContext.applicationId, kind + ":" + sf)
-    if key not in _FEEDS or not path_exists(spark, _FEEDS[key]):
-        if kind == "commits":
-            _FEEDS[key] = runner.landed_commit_feed(spark, landed_commits(spark, sf), 4, FILES_PER_TRIGGER)
-        else:
-            _FEEDS[key] = runner.landed_geo_feed(spark, landed_geo(spark, sf), 4, FILES_PER_TRIGGER)
+    from commitlens.streaming import runner
+    view, land = ((landed_commits, runner.landed_commit_feed) if kind == "commits" else
+                  (landed_geo, runner.landed_geo_feed))
+    df = view(spark, sf)
+    key = (spark.sparkContext.applicationId, kind, *sorted(df.inputFiles()))
+    if key not in _FEEDS or not path_exists(spark, _FEEDS[key].folder):
+        _FEEDS[key] = land(spark, df, SLICES)
     return _FEEDS[key]
 
 
-def _wm(commits):
-    return S.with_event_time(commits).withWatermark("ts", WATERMARK_DELAY)
+def _commits(spark, sf):
+    """The commit stream with its event time and watermark."""
+    from commitlens.streaming import runner
+    feed = _feed(spark, sf, "commits")
+    return S.with_event_time(runner.commit_stream(spark, feed)).withWatermark("ts", feed.delay)
 
 
-def _append(spark, sf, name, build, geo=False):
+def _geo(spark, sf):
     from commitlens.streaming import runner
-    inputs = {"commits": (_feed(spark, sf, "commits"), runner.COMMIT_SCHEMA)}
-    if geo:
-        inputs["geo"] = (_feed(spark, sf, "geo"), runner.GEO_SCHEMA)
-    return runner.run_append(spark, build, inputs, FILES_PER_TRIGGER, name)
+    return runner.geo_stream(spark, _feed(spark, sf, "geo"))
 
 
 @register("stream_ext_counts", SQL_EXT_COUNTS)
 def stream_ext_counts(spark, sf):
     from commitlens.streaming import runner
-    inputs = {"commits": (_feed(spark, sf, "commits"), runner.COMMIT_SCHEMA)}
-    return runner.run_update(spark, lambda commits: S.ext_counts(S.with_event_time(commits)), inputs, ["ext"],
-                             FILES_PER_TRIGGER, "t1")
+    return runner.run_update(spark, S.ext_counts(_commits(spark, sf)), ["ext"], "t1")
 
 
 @register("stream_ext_status_changes", SQL_EXT_STATUS)
 def stream_ext_status_changes(spark, sf):
     from commitlens.streaming import runner
-    inputs = {"commits": (_feed(spark, sf, "commits"), runner.COMMIT_SCHEMA)}
-    return runner.run_update(spark, lambda commits: S.ext_status_changes(S.with_event_time(commits)), inputs,
-                             ["ext", "status"], FILES_PER_TRIGGER, "t2")
+    return runner.run_update(spark, S.ext_status_changes(_commits(spark, sf)), ["ext", "status"], "t2")
 
 
 @register("stream_daily_commits", SQL_DAILY)
 def stream_daily_commits(spark, sf):
-    return _append(spark, sf, "t3", lambda commits: S.daily_commits(_wm(commits)))
+    from commitlens.streaming import runner
+    return runner.run_append(spark, [S.daily_commits(_commits(spark, sf))], "t3")
 
 
 @register("stream_size_windows", SQL_SIZE_WINDOWS)
 def stream_size_windows(spark, sf):
-    return _append(spark, sf, "t4", lambda commits: S.size_windows(_wm(commits)))
+    from commitlens.streaming import runner
+    return runner.run_append(spark, [S.size_windows(_commits(spark, sf))], "t4")
 
 
 @register("stream_repo_daily_summary", SQL_SUMMARY)
 def stream_repo_daily_summary(spark, sf):
-    return _append(spark, sf, "t5", lambda commits: S.repo_daily_summary(_wm(commits), more_than=T5_MORE_THAN))
-
-
-def _geo_stream(geo):
-    return geo.withWatermark("createdAt", WATERMARK_DELAY)
+    from commitlens.streaming import runner
+    return runner.run_append(spark, [S.repo_daily_summary(_commits(spark, sf), more_than=T5_MORE_THAN)], "t5")
 
 
 @register("stream_geo_join", SQL_GEO_JOIN)
 def stream_geo_join(spark, sf):
-    def build(commits, geo):
-        j = S.geo_join(_wm(commits), _geo_stream(geo))
-        return j.where(F.col("sha") != "__sentinel__").select("sha", "continent", "ts", "geo_ts")
-    return _append(spark, sf, "j3", build, geo=True)
+    from commitlens.streaming import runner
+    j = S.geo_join(_commits(spark, sf).select("sha", "ts"), _geo(spark, sf))
+    j = j.where(F.col("sha") != runner.SENTINEL_SHA).select("sha", "continent", "ts", "geo_ts")
+    return runner.run_append(spark, [j], "j3")
 
 
 @register("stream_weekly_java_continent", SQL_WEEKLY)
 def stream_weekly_java_continent(spark, sf):
-    """T6 exact form (D-18): the join runs as one stream writing Parquet; a second stream re-reads it with its
-    own watermark on the join's output time (the later of the two times) and sums weekly."""
-    from commitlens.streaming import runner
+    """T6 exact form (D-18): the join runs as one stream writing Parquet; a second stream reads that table with its
+    own watermark on the join's output time (the later of the two times) and sums weekly. A one-row table follows as
+    the second stream's further input and closes its last weeks."""
     from commitlens.session import scratch_path
+    from commitlens.streaming import runner
+    rows = S.geo_join(S.file_changes(_commits(spark, sf)), _geo(spark, sf)).select("event_ts", "continent", "changes")
+    joined = runner.append_table(spark, [rows], "t6-join")
+    tail = scratch_path(spark, "t6-tail")
+    spark.range(1).select(F.to_timestamp(F.lit(runner.SENTINEL_TS)).alias("event_ts"),
+                          F.lit(runner.SENTINEL_SHA).alias("continent"),
+                          F.lit(0).cast("long").alias("changes")).write.parquet(tail)
 
-    def join_build(commits, geo):
-        return S.geo_join(_wm(commits), _geo_stream(geo)).drop("ts")
-    joined = _append(spark, sf, "t6-join", join_build, geo=True)
-    folder = scratch_path(spark, "t6-joined-feed")
-    # The joined rows are re-landed as a feed, sentinel included (it carries the far-future event time).
-    sentinel = (runner.sentinel_commit(spark)
-                .select("*", F.lit(runner.SENTINEL_SHA).alias("continent"),
-                        F.to_timestamp(F.lit(runner.SENTINEL_TS)).alias("geo_ts"),
-                        F.to_timestamp(F.lit(runner.SENTINEL_TS)).alias("event_ts")))
-    sentinel = sentinel.select(*[F.col(c) if c in sentinel.columns else F.lit(None).cast(joined.schema[c].dataType).alias(c)
-                                 for c in joined.columns])
-    runner.land(joined, folder, 4, "event_ts", sentinel, FILES_PER_TRIGGER)
+    # A joined row is as late as the feeds are, plus the width of the join's interval.
+    delay = f"{2 * max(_feed(spark, sf, k).delay_us for k in ('commits', 'geo')) + 7_200_000_000} microseconds"
 
-    def week_build(joined):
-        return S.weekly_java_changes(joined.withWatermark("event_ts", WATERMARK_DELAY))
-    return runner.run_append(spark, week_build, {"joined": (folder, joined.schema)}, FILES_PER_TRIGGER, "t6-week")
+    def weekly(path):
+        stream = spark.readStream.schema(rows.schema).option("maxBytesPerTrigger", str(1 << 30)).parquet(path)
+        return S.weekly_changes(stream.withWatermark("event_ts", delay))
+    return runner.run_append(spark, [weekly(joined), weekly(tail)], "t6-week")
 
 
 @register("stream_added_removed", SQL_ADDED_REMOVED)
 def stream_added_removed(spark, sf):
+    from commitlens.streaming import runner
     from commitlens.streaming.patterns import added_then_removed_stream
-    return _append(spark, sf, "t7", lambda commits: added_then_removed_stream(_wm(commits)))
+    return runner.run_append(spark, [added_then_removed_stream(_commits(spark, sf))], "t7")
 
 
 @register("twin_ext_changelog", W + f"""

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from commitlens.functions.partitions import spread
 from commitlens.session import ensure_utc
@@ -181,7 +182,7 @@ ge AS (
 """
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+VIEW_TABLES = ["lineitem", "orders", "customer"]
 
 
 def landed_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,28 +190,21 @@ def landed_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Like the reference's commit dump, questions then read a stored nested table: Parquet prunes nested columns
     (``explode(arrays_zip(files.a, files.b))`` reads only ``a`` and ``b``) and the write cuts the view's lineage.
+    ``owner_key`` and ``repo_key`` are stored beside the record, so a question about one repository filters the scan.
     Files are sorted by committer date inside each task so row-group statistics serve date-range filters.
     """
-    from commitlens.schemas import COMMIT
-    from commitlens.session import path_exists, scratch_path
+    from commitlens.operators.commits import with_repo_keys
+    from commitlens.schemas import COMMIT, REPO_KEYS
+    from commitlens.session import landed_view
     ensure_utc(spark)
-    key = (spark.sparkContext.applicationId, sf_dir)
-    path = _LANDED.get(key)
-    if path is None or not path_exists(spark, path):
-        path = scratch_path(spark, "testbed-commits")
-        view = commits(spark, sf_dir)
-        view.sortWithinPartitions("commit.committer.date").write.mode("overwrite").parquet(path)
-        _LANDED[key] = path
-    return spark.read.schema(COMMIT).parquet(path)
+    path = landed_view(spark, "testbed-commits", sf_dir, VIEW_TABLES, lambda p: with_repo_keys(
+        commits(spark, sf_dir)).sortWithinPartitions("commit.committer.date").write.parquet(p))
+    return spark.read.schema(T.StructType([*COMMIT.fields, *REPO_KEYS])).parquet(path)
 
 
 def landed_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     from commitlens.schemas import GEO
-    from commitlens.session import path_exists, scratch_path
-    key = (spark.sparkContext.applicationId, "geo:" + sf_dir)
-    path = _LANDED.get(key)
-    if path is None or not path_exists(spark, path):
-        path = scratch_path(spark, "testbed-geo")
-        geo_events(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _LANDED[key] = path
+    from commitlens.session import landed_view
+    path = landed_view(spark, "testbed-geo", sf_dir, ["orders", "customer", "nation", "region"],
+                       lambda p: geo_events(spark, sf_dir).write.parquet(p))
     return spark.read.schema(GEO).parquet(path)

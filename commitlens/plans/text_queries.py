@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-
 from commitlens.operators import logs as L
+from commitlens.operators.ordered import global_row_number
 from commitlens.operators import text as X
 from commitlens.plans.logview import ACCESS_LOG_CTE, ERROR_LOG_CTE, access_log, error_log
 from commitlens.plans.registry import register
 from commitlens.plans.testbed import table
+from commitlens.session import landed_view, scratch_path
+from commitlens.sources.sinks import write_csv
+from commitlens.sources.text import read_lines
 
 WA = "WITH " + ACCESS_LOG_CTE
 # f(n): the n-th space-separated field of an access-log line, '' when absent (1-based).
@@ -65,6 +68,41 @@ def log_first_gets(spark, sf):
     return L.first_requests(access_log(spark, sf)).drop("file")
 
 
+def _log_files(spark, sf, view, name):
+    """The rendered lines as text files in line order, read back through S4 (``read_lines``)."""
+    path = landed_view(spark, name, sf, ["events"], lambda p: view(spark, sf).repartitionByRange("line")
+                       .sortWithinPartitions("line").select("value").write.text(p))
+    return read_lines(spark, path)
+
+
+@register("log_file_csv", WA + f"""
+SELECT {f(1)} AS client, substr({f(4)}, 2) AS time, substr({f(6)}, 2) AS method, {f(7)} AS path, {f(9)} AS status,
+       {f(10)} AS size FROM al""")
+def log_file_csv(spark, sf):
+    """Log files read line by line, converted, written as CSV and read again."""
+    rows = L.to_csv_columns(_log_files(spark, sf, access_log, "access-log")).drop("file", "line")
+    path = scratch_path(spark, "log-csv")
+    write_csv(rows, path)
+    return spark.read.schema(rows.schema).option("emptyValue", "").option("nullValue", "\x00").csv(path)
+
+
+@register("log_file_first_gets", WA + """
+SELECT row_number() OVER (ORDER BY line) AS n, regexp_extract(value, '"([^"]*)"', 1) AS request FROM al
+WHERE contains(value, 'GET') ORDER BY line LIMIT 3""")
+def log_file_first_gets(spark, sf):
+    """P18 in the order of files and lines."""
+    first = L.first_requests(_log_files(spark, sf, access_log, "access-log"))
+    return global_row_number(first, ["file", "line"], "n").select("n", "request")
+
+
+@register("log_file_missing_lines", "WITH " + ERROR_LOG_CTE + """
+SELECT row_number() OVER (ORDER BY line) AS n, value FROM el WHERE contains(value, 'File does not exist')""")
+def log_file_missing_lines(spark, sf):
+    """P17 over error-log files (S5), numbered in the order of files and lines."""
+    found = L.lines_containing(_log_files(spark, sf, error_log, "error-log"), "File does not exist")
+    return global_row_number(found, ["file", "line"], "n").select("n", "value")
+
+
 # ---------------------------------------------------------------- text over documents / conversations
 
 _PUNCT_DUCK = "[!-/:-@\\[-`{-~]"
@@ -93,6 +131,15 @@ def text_first_sentences(spark, sf):
     return X.first_sentences(table(spark, sf, "documents"))
 
 
+@register("text_first_sentences_cat", """
+WITH s AS (SELECT u.pos, trim(u.sentence) AS sentence FROM (SELECT string_agg(text, '' ORDER BY doc_id) AS t FROM documents),
+           unnest(regexp_split_to_array(t, '[.\\n]+')) WITH ORDINALITY AS u(sentence, pos))
+SELECT row_number() OVER (ORDER BY pos) AS pos, sentence FROM s WHERE sentence <> '' ORDER BY 1 LIMIT 7""")
+def text_first_sentences_cat(spark, sf):
+    """F7 with `cat` semantics: sentences may run on from one document into the next."""
+    return X.first_sentences(table(spark, sf, "documents"), join_files=True)
+
+
 @register("text_fix_i", """
 SELECT doc_id, replace(replace(text, ' i ', ' I '), '"i ', '"I ') AS text FROM documents""")
 def text_fix_i(spark, sf):

@@ -66,17 +66,5 @@ GEO = T.StructType([
     T.StructField("continent", T.StringType()),
 ])
 
-ACCESS_LOG = T.StructType([
-    T.StructField("client", T.StringType()),
-    T.StructField("time", T.StringType()),
-    T.StructField("method", T.StringType()),
-    T.StructField("path", T.StringType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("size", T.StringType()),
-])
-
-SEQUENCE = T.StructType([
-    T.StructField("seq_id", T.LongType()),
-    T.StructField("pos", T.LongType()),
-    T.StructField("value", T.LongType()),
-])
+#: Columns stored beside a landed commit record (see ``operators.commits.with_repo_keys``).
+REPO_KEYS = [T.StructField("owner_key", T.StringType()), T.StructField("repo_key", T.StringType())]

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
-    """CSV without header, as the log conversion prints it (one part file per task)."""
-    df.write.mode("overwrite").option("header", header).csv(path)
+def write_csv(df: DataFrame, path: str, header: bool = False, mode: str = "errorifexists") -> None:
+    """CSV without header, as the log conversion prints it (one part file per task). An existing folder is an
+    error unless ``mode`` says otherwise."""
+    df.write.mode(mode).option("header", header).csv(path)
 
 
 def console(df: DataFrame, truncate: bool = False, output_mode: str = "append", available_now: bool = False,

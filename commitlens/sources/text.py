@@ -22,14 +22,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_files_in_order(spark: SparkSession, path: str) -> DataFrame:
-    """Many text files read in name order (``cat *.txt``): one row per file, ``file`` sorts like the glob.
+    """Many text files read in name order (``cat *.txt``): one row per file, ``file`` is
+    the full path, unique across folders, and sorts like the glob.
 
     One row holds one whole file (a chapter), which is what tells whether a file ends with a newline (needed for the
     ``cat`` gluing of ``join_files=True``). For large files use :func:`read_lines`: it is splittable, and word and
     sentence questions give the same per-line results on it, since neither words nor sentences cross a newline.
     """
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+    return df.select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
 
 
 def list_files(spark: SparkSession, path: str, name_glob: str | None = None) -> DataFrame:

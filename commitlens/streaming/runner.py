@@ -1,26 +1,33 @@
 """Run a stream question to completion over a folder of JSON-lines files and read the result back.
 
-Sources (S2, S3): ``readStream.schema(...).json(dir)`` - one JSON record per line, as a commit feed delivers them.
+Sources (S2, S3): ``stream_commits`` / ``stream_geo`` - one JSON record per line, as a commit feed delivers them.
 Sink: Parquet in append mode (or ``foreachBatch`` upserts for update-mode totals), trigger ``availableNow`` so
 a finite input is drained in bounded micro-batches; state lives in the RocksDB state store when the session
 configures it. All folders are under the shared checkpoint folder (``spark.checkpoint.dir``).
 
+A finite table is replayed as a feed in time slices: files are read in order of their modification time, so slices are
+written one after the other, each by as many tasks as its bytes ask for. A micro-batch takes as many files as the
+largest slice has; it may hold the end of one slice and the start of the next, so the feed is out of order by at most
+two slices, and that is its watermark delay.
+
 Closing the last windows on finite input (D-21): event-time windows and timers only fire once the watermark
-passes them, and nothing follows the last real row. ``land`` therefore appends a far-future *sentinel* record
-(its own key) in more later files than one micro-batch takes; the first moves the watermark past all real data,
-a later batch runs with that watermark and emits every remaining window/timer, and the sentinel's own window
-is never complete, so it never reaches the output.
+passes them, and nothing follows the last real row. A feed therefore ends with a far-future *sentinel* record (its own
+key); it moves the watermark past all real data, the trailing no-data batch emits every remaining window and timer, and
+the sentinel's own window is never complete, so it never reaches the output.
 """
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
-from commitlens.schemas import COMMIT, GEO
-from commitlens.session import checkpoint_root, path_exists, scratch_path
+from commitlens.session import checkpoint_root, files_under, path_exists, scratch_path
+from commitlens.sources.commits import stream_commits, stream_geo
 
 SENTINEL_SHA = "__sentinel__"
 SENTINEL_TS = "2999-01-01 00:00:00"
@@ -46,87 +53,142 @@ def sentinel_commit(spark: SparkSession) -> DataFrame:
     return row
 
 
-def land(df: DataFrame, folder: str, n_slices: int, time_col: str, sentinel: DataFrame | None,
-         files_per_slice: int = 1) -> int:
-    """Replay ``df`` as a feed: ``n_slices`` equal-width event-time slices, written one after another (a file source
-    replays files by modification time; one job writing every slice at once would give them random times).
+def sentinel_geo(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(F.lit(SENTINEL_SHA).alias("sha"), F.to_timestamp(F.lit(SENTINEL_TS)).alias("createdAt"),
+                                 F.lit(SENTINEL_SHA).alias("continent"))
+
+
+@dataclass(frozen=True)
+class Feed:
+    """A landed feed: its folder, the files a micro-batch takes, and how far it is out of order."""
+
+    folder: str
+    files_per_trigger: int
+    delay_us: int
 
-    Each slice is written by ``files_per_slice`` tasks; read it with ``maxFilesPerTrigger = files_per_slice`` so a
-    micro-batch is one slice (order inside a batch does not matter). Equal timestamps always share a slice. The
-    sentinel follows in two later files (see module doc). Returns the number of files per slice.
+    @property
+    def delay(self) -> str:
+        return f"{self.delay_us} microseconds"
+
+
+def land(df: DataFrame, folder: str, n_slices: int, time_col: str, sentinel: DataFrame | None) -> Feed:
+    """Replay ``df`` as a feed: ``n_slices`` equal-width event-time slices, written one after another.
+
+    A slice is a range of ``time_col``, which a stored table's statistics serve, so the table is read about once. The
+    rows of a slice are rebalanced, so its number of files follows its bytes. Equal timestamps always share a slice.
     """
     t = F.unix_micros(F.col(time_col))
     lo, hi = df.agg(F.min(t), F.max(t)).first()
     if lo is None:
         lo, hi = 0, 0
     width = max((hi - lo) // n_slices + 1, 1)
-    sliced = df.withColumn("_slice", F.least(F.lit(n_slices - 1), F.floor((t - F.lit(lo)) / F.lit(width))))
+    spark = df.sparkSession
+    most = done = 1
     for i in range(n_slices):
-        part = sliced.where(F.col("_slice") == i).drop("_slice")
-        part = part.repartition(files_per_slice) if files_per_slice > 1 else part.coalesce(1)
-        part.sortWithinPartitions(F.col(time_col)).write.mode("append").json(folder)
+        start, stop = (F.timestamp_micros(F.lit(lo + width * k)) for k in (i, i + 1))
+        part = df.where((F.col(time_col) >= start) & (F.col(time_col) < stop))
+        part.hint("rebalance").write.mode("append").json(folder)
+        now = len(files_under(spark, folder))
+        most, done = max(most, now - done), now
     if sentinel is not None:
-        # In files_per_slice + 1 later files: a micro-batch takes at most files_per_slice files, so at least one
-        # batch runs after the one that moved the watermark past all real data (availableNow need not run a
-        # trailing no-data batch).
-        for _ in range(files_per_slice + 1):
-            sentinel.coalesce(1).write.mode("append").json(folder)
-    return files_per_slice
+        sentinel.coalesce(1).write.mode("append").json(folder)
+    return Feed(folder, most, 2 * width)
+
+
+class LateRows(StreamingQueryListener):
+    """Rows dropped as late (behind the watermark), summed over every progress event of every query, by run.
+
+    ``recentProgress`` keeps only the latest events; a listener sees all of them.
+    """
+
+    def __init__(self):
+        self.rows: dict[str, int] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def _end(self, run: str) -> threading.Event:
+        return self.ended.setdefault(run, threading.Event())
+
+    def onQueryStarted(self, event):
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        run = str(p.runId)
+        self.rows[run] = self.rows.get(run, 0) + sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self._end(str(event.runId)).set()
+
+    def total(self, query, timeout: float = 60.0) -> int:
+        """Late rows of a finished query, once its last event has been seen."""
+        if not self._end(str(query.runId)).wait(timeout):
+            raise TimeoutError("the query's end was not reported")
+        return self.rows.get(str(query.runId), 0)
 
 
-def late_rows(query) -> int:
-    """Rows dropped as late (behind the watermark) by the stateful operators of a finished or running query."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []) if isinstance(p, dict) else []:
-            total += int(op.get("numRowsDroppedByWatermark", 0))
-    return total
+_LISTENERS: dict[str, LateRows] = {}
+
+
+def late_row_listener(spark: SparkSession) -> LateRows:
+    """The application's listener, registered on first use."""
+    app = spark.sparkContext.applicationId
+    if app not in _LISTENERS:
+        _LISTENERS[app] = LateRows()
+        spark.streams.addListener(_LISTENERS[app])
+    return _LISTENERS[app]
 
 
 LAST_QUERY: dict[str, object] = {}
 
 
-def run_append(spark: SparkSession, build: Callable[..., DataFrame], inputs: dict[str, tuple[str, object]],
-               files_per_trigger: int, name: str) -> DataFrame:
-    """Start ``build(**streams)`` in append mode to Parquet with ``availableNow``; return the result as a batch DF.
+def late_rows(spark: SparkSession, name: str) -> int:
+    """Rows that the finished query ``name`` dropped as late."""
+    return late_row_listener(spark).total(LAST_QUERY[name])
 
-    ``inputs``: argument name -> (folder, schema). Each becomes ``readStream.schema(schema).json(folder)``.
-    The finished query is kept in ``LAST_QUERY[name]`` (progress, late-row counts via :func:`late_rows`).
-    """
-    checkpoint_root(spark)
-    streams = {k: spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(folder)
-               for k, (folder, schema) in inputs.items()}
-    out = build(**streams)
-    path = scratch_path(spark, f"{name}-out")
-    q = (out.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt"))
-         .trigger(availableNow=True).start(path))
+
+def _finish(spark: SparkSession, writer, name: str, path: str | None = None) -> None:
+    q = writer.trigger(availableNow=True).start(path) if path else writer.trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     LAST_QUERY[name] = q
-    return spark.read.schema(out.schema).parquet(path)
 
 
-def run_update(spark: SparkSession, build: Callable[..., DataFrame], inputs: dict[str, tuple[str, object]],
-               keys: list[str], files_per_trigger: int, name: str) -> DataFrame:
+def append_table(spark: SparkSession, steps: list[DataFrame], name: str) -> str:
+    """Run a streaming DataFrame in append mode to Parquet with ``availableNow``; return the table's path.
+
+    ``steps`` are the same question over further input (usually one): they run one after the other on one checkpoint,
+    so the state goes on. The last finished query is kept in ``LAST_QUERY[name]``.
+    """
+    late_row_listener(spark)
+    checkpoint_root(spark)
+    path, checkpoint = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+    for out in steps:
+        _finish(spark, out.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint),
+                name, path)
+    return path
+
+
+def run_append(spark: SparkSession, steps: list[DataFrame], name: str) -> DataFrame:
+    """:func:`append_table`, read as a batch DataFrame."""
+    return spark.read.schema(steps[0].schema).parquet(append_table(spark, steps, name))
+
+
+def run_update(spark: SparkSession, out: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Update-mode totals (keyed running reduce, D-2): every micro-batch's changed rows are appended with their
     batch id; the final total per key is its row from the latest batch (a max_by per key, no driver work)."""
+    late_row_listener(spark)
     checkpoint_root(spark)
-    streams = {k: spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(folder)
-               for k, (folder, schema) in inputs.items()}
-    out = build(**streams)
     path = scratch_path(spark, f"{name}-changes")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(path)
 
-    q = (out.writeStream.outputMode("update").foreachBatch(sink)
-         .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt"))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    _finish(spark, out.writeStream.outputMode("update").foreachBatch(sink)
+            .option("checkpointLocation", scratch_path(spark, f"{name}-ckpt")), name)
     values = [c for c in out.columns if c not in keys]
     if not path_exists(spark, path):  # no micro-batch produced a change: empty result with the right columns
         return spark.createDataFrame([], out.schema)
@@ -135,20 +197,20 @@ def run_update(spark: SparkSession, build: Callable[..., DataFrame], inputs: dic
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def landed_commit_feed(spark: SparkSession, commits: DataFrame, n_slices: int = 4, files_per_slice: int = 1) -> str:
-    """Land the commit view as a JSON-lines feed (plus sentinel) and return the folder."""
-    folder = scratch_path(spark, "commit-feed")
-    land(commits, folder, n_slices, "commit.committer.date", sentinel_commit(spark), files_per_slice)
-    return folder
+def commit_stream(spark: SparkSession, feed: Feed) -> DataFrame:
+    """S2 over a landed feed."""
+    return stream_commits(spark, feed.folder, feed.files_per_trigger)
 
 
-def landed_geo_feed(spark: SparkSession, geo: DataFrame, n_slices: int = 4, files_per_slice: int = 1) -> str:
-    folder = scratch_path(spark, "geo-feed")
-    sent = spark.range(1).select(F.lit(SENTINEL_SHA).alias("sha"), F.to_timestamp(F.lit(SENTINEL_TS)).alias("createdAt"),
-                                 F.lit(SENTINEL_SHA).alias("continent"))
-    land(geo, folder, n_slices, "createdAt", sent, files_per_slice)
-    return folder
+def geo_stream(spark: SparkSession, feed: Feed) -> DataFrame:
+    """S3 over a landed feed, with its watermark."""
+    return stream_geo(spark, feed.folder, feed.files_per_trigger).withWatermark("createdAt", feed.delay)
+
+
+def landed_commit_feed(spark: SparkSession, commits: DataFrame, n_slices: int = 4) -> Feed:
+    """Land the commit view as a JSON-lines feed (plus sentinel)."""
+    return land(commits, scratch_path(spark, "commit-feed"), n_slices, "commit.committer.date", sentinel_commit(spark))
 
 
-COMMIT_SCHEMA = COMMIT
-GEO_SCHEMA = GEO
+def landed_geo_feed(spark: SparkSession, geo: DataFrame, n_slices: int = 4) -> Feed:
+    return land(geo, scratch_path(spark, "geo-feed"), n_slices, "createdAt", sentinel_geo(spark))

@@ -23,3 +23,11 @@ def test_cli_run_writes_result(tmp_path):
     assert out.returncode == 0, out.stderr[-2000:]
     assert "ext" in out.stdout
     assert any(p.suffix == ".csv" for p in (tmp_path / "res").iterdir())
+
+
+def test_cli_refuses_to_overwrite(tmp_path):
+    args = ("run", "commit_count", "--sf", "/root/testdata/sf0.001", "--master", "local[2]", "--out", str(tmp_path / "o"))
+    assert _run(*args).returncode == 0
+    again = _run(*args)
+    assert again.returncode != 0 and "PATH_ALREADY_EXISTS" in again.stderr
+    assert _run(*args, "--overwrite").returncode == 0

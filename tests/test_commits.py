@@ -159,3 +159,11 @@ def test_schema_check_and_multiline_source(spark, tmp_path):
 def test_avg_additions_empty_is_null_under_ansi(spark):
     df = commits_df(spark, [commit("n1", stats=None)])
     assert rows(Q.avg_additions(df)) == [(None,)]
+
+
+def test_a_parent_listed_twice_counts_twice(spark):
+    """D-22: every listed parent counts, as the questions' own code does."""
+    from commitlens.operators import lineage
+    df = commits_df(spark, [commit("p", repo="a"), commit("c", repo="b", parents=["p", "p"])])
+    assert rows(lineage.branch_points(df)) == [("p", 2)]
+    assert rows(lineage.forks(df), "parent_sha", "child_sha") == [("p", "c"), ("p", "c")]

@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as E
 import oracle
+from commitlens.plans.bindings import ORACLE, QUERIES
 
 SF = os.environ.get("COMMITLENS_TEST_SF", "/root/testdata/sf0.001")
-KEYS = sorted(E.queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -17,14 +18,14 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    missing = [k for k in KEYS if k not in E.oracle_sql()]
+    missing = [k for k in KEYS if k not in ORACLE]
     assert missing == []
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = E.queries()[key](spark, SF)
-    ok, msg = oracle.compare(df, E.oracle_sql()[key], SF, con)
+    df = QUERIES[key](spark, SF)
+    ok, msg = oracle.compare(df, ORACLE[key], SF, con)
     assert ok, msg
 
 

@@ -1,4 +1,4 @@
-"""The skew-safe window helpers equal plain windows, on the range path (forced) and the measured-small path."""
+"""The bucketed window helpers equal plain windows, with one hot key, null keys and null orders."""
 
 import random
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from commitlens.operators.ordered import global_row_number, largest_group, row_number_within, shift_within
+from commitlens.operators.ordered import global_row_number, global_running_sum, row_number_within, shift_within
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +16,7 @@ def skewed(spark):
     for i in range(3000):
         r = random.random()
         k = "hot" if r < 0.4 else (None if r < 0.45 else f"k{random.randint(0, 40)}")
-        data.append((k, random.randint(0, 50000), i))
+        data.append((k, None if r > 0.99 else random.randint(0, 50000), i))
     return spark.createDataFrame(data, "k string, t long, i long")
 
 
@@ -24,23 +24,40 @@ def _same(a, b, cols):
     return sorted(map(tuple, a.select(*cols).collect()), key=repr) == sorted(map(tuple, b.select(*cols).collect()), key=repr)
 
 
-@pytest.mark.parametrize("limit", [100, None])
-def test_helpers_equal_plain_windows(spark, skewed, limit):
+@pytest.mark.parametrize("width", [100, 5000, 10 ** 9])
+def test_helpers_equal_plain_windows(spark, skewed, width):
+    bucket = F.floor(F.col("t") / width)
     w = Window.partitionBy("k").orderBy("t", "i")
     ref = (skewed.withColumn("rn", F.row_number().over(w)).withColumn("t_prev", F.lag("t").over(w))
            .withColumn("t_next", F.lead("t").over(w)))
-    assert largest_group(skewed, ["k"]) > 1000
-    assert _same(row_number_within(skewed, ["k"], ["t", "i"], n_partitions=16, max_group_rows=limit), ref, ["i", "rn"])
-    assert _same(shift_within(skewed, ["k"], ["t", "i"], ["t"], -1, n_partitions=16, max_group_rows=limit), ref,
-                 ["i", "t_prev"])
-    assert _same(shift_within(skewed, ["k"], ["t", "i"], ["t"], 1, n_partitions=16, max_group_rows=limit), ref,
-                 ["i", "t_next"])
-    g = skewed.withColumn("rn", F.row_number().over(Window.orderBy("t", "i")))
-    assert _same(global_row_number(skewed, ["t", "i"], n_partitions=16, max_group_rows=limit), g, ["i", "rn"])
-
-
-def test_range_path_has_no_single_key_task(spark, skewed):
-    # on the range path the hot key is spread over several range partitions
-    from commitlens.operators.ordered import _split
-    r = _split(skewed, ["k"], ["t", "i"], 8)
-    assert r.where(F.col("k") == "hot").select("_pid").distinct().count() >= 3
+    assert _same(row_number_within(skewed, ["k"], ["t", "i"], bucket), ref, ["i", "rn"])
+    assert _same(shift_within(skewed, ["k"], ["t", "i"], ["t"], bucket, -1), ref, ["i", "t_prev"])
+    assert _same(shift_within(skewed, ["k"], ["t", "i"], ["t"], bucket, 1), ref, ["i", "t_next"])
+
+
+def test_global_order(spark, skewed):
+    w = Window.orderBy("t", "i")
+    g = skewed.withColumn("rn", F.row_number().over(w)).withColumn("s", F.sum(F.col("i") % 7).over(w))
+    assert _same(global_row_number(skewed, ["t", "i"]), g, ["i", "rn"])
+    assert _same(global_running_sum(skewed, ["t", "i"], F.col("i") % 7, "s"), g, ["i", "s"])
+
+
+def test_a_hot_key_is_many_tasks(spark, skewed):
+    """40 % of the rows have one key: its rows meet in several partitions, and nothing runs while the plan is built."""
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan only", "no job")
+    try:
+        df = row_number_within(skewed, ["k"], ["t", "i"], F.floor(F.col("t") / 1000))
+        assert not tracker.getJobIdsForGroup("plan only")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = row_number_within(skewed, ["k"], ["t", "i"], F.floor(F.col("t") / 1000))
+        tasks = df.where("k = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert tasks >= 4
+    assert "SinglePartition" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan

@@ -65,13 +65,35 @@ def test_passing_students_d11(spark):
     assert rows(L.passing_students(grades)) == [(2,)]
 
 
-def test_affine_fold_equals_generic_fold_on_both_paths(spark):
+def test_affine_fold_equals_generic_fold(spark):
     import random
+
+    import pytest
     random.seed(3)
-    seqs = {1: [random.randint(0, 100) for _ in range(500)], 2: [5, 6, 7], 3: []}
+    seqs = {1: [random.randint(-100, 100) for _ in range(500)], 2: [-5, 3, -9], 3: [], 4: [0] * 80, 5: [1, -1, 0, 0, 7]}
     s, k = _df(spark, seqs)
-    gen_l = dict(rows(L.fold_left(s, k, F.lit(7).cast("long"), lambda acc, x: (acc * 31 + x) % 1000003)))
-    gen_r = dict(rows(L.fold_right(s, k, F.lit(0).cast("long"), lambda x, acc: x - acc)))
-    for limit in (None, 10):
-        assert dict(rows(L.fold_affine(s, k, 7, 31, 1000003, n_partitions=8, max_group_rows=limit))) == gen_l
-        assert dict(rows(L.fold_affine(s, k, 0, -1, from_right=True, n_partitions=8, max_group_rows=limit))) == gen_r
+    for init in (7, -7, 0, -10 ** 9):
+        start = F.lit(init).cast("long")
+        left = dict(rows(L.fold_left(s, k, start, lambda acc, x: (acc * 31 + x) % 1003)))
+        right = dict(rows(L.fold_right(s, k, start, lambda x, acc: (acc * -3 + x) % 1003)))
+        minus = dict(rows(L.fold_right(s, k, start, lambda x, acc: x - acc)))
+        for block in (1, 3, 64, L.BLOCK):
+            assert dict(rows(L.fold_affine(s, k, init, 31, 1003, block=block))) == left
+            assert dict(rows(L.fold_affine(s, k, init, -3, 1003, from_right=True, block=block))) == right
+            assert dict(rows(L.fold_affine(s, k, init, -1, from_right=True, block=block))) == minus
+    with pytest.raises(ValueError):
+        L.fold_affine(s, k, 0, 3)
+    with pytest.raises(ValueError):
+        L.fold_affine(s, k, 0, 1 << 40, 1 << 30)
+
+
+def test_flatten_depths_and_long_ranges(spark):
+    deep = spark.createDataFrame([(1, [[[1], [2, 3]], [], [[], [4]]])], "seq_id long, items array<array<array<long>>>")
+    assert rows(L.flatten_nested(deep, depth=3), "pos", "value") == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    levels = spark.createDataFrame([(1, 0, 0, 5, 9), (1, 0, 1, 0, 8), (1, 2, 0, 0, 7), (2, 0, 0, 0, 1)],
+                                   "seq_id long, a long, b long, c long, value long")
+    flat = L.flatten_levels(levels, ["a", "b", "c"], F.col("a"))
+    assert rows(flat) == [(1, 0, 9), (1, 1, 8), (1, 2, 7), (2, 0, 1)]
+    r = L.int_range(spark.createDataFrame([(1, -3, 200_000)], "id long, a long, b long"), "a", "b")
+    assert r.agg(F.count("value"), F.min("value"), F.max("value"), F.countDistinct("value")).first()[:] == (
+        200_004, -3, 200_000, 200_004)

@@ -4,27 +4,27 @@ import json
 
 from pyspark.sql import functions as F
 
-from commitlens.schemas import COMMIT, GEO
+from commitlens.schemas import COMMIT
 from commitlens.session import scratch_path
+from commitlens.sources.commits import stream_commits
 from commitlens.streaming import questions as S
 from commitlens.streaming import runner
 from commitlens.streaming.patterns import added_then_removed_stream
 from fixtures import commit, commits_df, rows
 
 
-def _stream(spark, records, build, delay="0 seconds", files=3, geo=None):
-    df = commits_df(spark, records)
-    folder = scratch_path(spark, "fx-feed")
-    runner.land(df, folder, files, "commit.committer.date", runner.sentinel_commit(spark))
-    inputs = {"commits": (folder, COMMIT)}
+def _stream(spark, records, build, files=3, geo=None):
+    feed = runner.land(commits_df(spark, records), scratch_path(spark, "fx-feed"), files, "commit.committer.date",
+                       runner.sentinel_commit(spark))
+    streams = [_wm(runner.commit_stream(spark, feed), feed.delay)]
     if geo is not None:
-        gfolder = scratch_path(spark, "fx-geo")
-        sent = spark.range(1).select(F.lit(runner.SENTINEL_SHA).alias("sha"),
-                                     F.to_timestamp(F.lit(runner.SENTINEL_TS)).alias("createdAt"),
-                                     F.lit("x").alias("continent"))
-        runner.land(geo, gfolder, files, "createdAt", sent)
-        inputs["geo"] = (gfolder, GEO)
-    return runner.run_append(spark, build, inputs, 1, "fx")
+        streams.append(runner.geo_stream(spark, runner.land(geo, scratch_path(spark, "fx-geo"), files, "createdAt",
+                                                            runner.sentinel_geo(spark))))
+    return runner.run_append(spark, [build(*streams)], "fx")
+
+
+def _read(spark, folder, delay="0 seconds"):
+    return _wm(stream_commits(spark, folder, 1), delay)
 
 
 def _wm(c, delay="0 seconds"):
@@ -51,7 +51,7 @@ def test_t5_daily_summary_batch_and_stream(spark):
     expected = [("own/r1", "01-05-2019", 22, 2, 44, "a,b"), ("own/r4", "01-05-2019", 21, 1, 63, "d")]
     twin = S.repo_daily_summary(S.with_event_time(commits_df(spark, recs)))
     assert rows(twin) == expected
-    assert rows(_stream(spark, recs, lambda commits: S.repo_daily_summary(_wm(commits)))) == expected
+    assert rows(_stream(spark, recs, S.repo_daily_summary)) == expected
 
 
 def _t7_records():
@@ -71,7 +71,7 @@ def test_t7_added_then_removed(spark):
     expected = [("own/repo", "f1"), ("own/repo", "f3"), ("own/repo", "f4")]
     twin = S.added_then_removed(S.with_event_time(commits_df(spark, _t7_records())))
     assert rows(twin) == expected
-    got = _stream(spark, _t7_records(), lambda commits: added_then_removed_stream(_wm(commits)))
+    got = _stream(spark, _t7_records(), added_then_removed_stream)
     assert rows(got) == expected
 
 
@@ -84,8 +84,7 @@ def test_t7_stream_out_of_order_files(spark):
         spark.read.schema(COMMIT).json(spark.sparkContext.parallelize([json.dumps(r)], 1)).write.mode("append").json(folder)
     for _ in range(2):
         runner.sentinel_commit(spark).write.mode("append").json(folder)
-    got = runner.run_append(spark, lambda commits: added_then_removed_stream(_wm(commits, "1 day")),
-                            {"commits": (folder, COMMIT)}, 1, "ooo")
+    got = runner.run_append(spark, [added_then_removed_stream(_read(spark, folder, "1 day"))], "ooo")
     assert rows(got) == [("own/repo", "g")]
 
 
@@ -101,7 +100,7 @@ def test_j3_interval_bounds(spark):
         F.lit("EUROPE").alias("continent"))
     twin = S.geo_join(S.with_event_time(commits_df(spark, recs)), geo)
     assert rows(twin, "sha") == [("c0",), ("c2",)]
-    got = _stream(spark, recs, lambda commits, geo: S.geo_join(_wm(commits), geo.withWatermark("createdAt", "0 seconds"))
+    got = _stream(spark, recs, lambda commits, geo: S.geo_join(commits, geo)
                   .where(F.col("sha") != runner.SENTINEL_SHA).select("sha"), geo=geo)
     assert rows(got) == [("c0",), ("c2",)]
 
@@ -115,8 +114,8 @@ def test_windows_edges_stream_equals_twin(spark):
     assert rows(S.daily_commits(df)) == [("01-01-2019", 1), ("02-01-2019", 2), ("05-01-2019", 1)]
     twin4 = rows(S.size_windows(df))
     assert sum(r[3] for r in twin4) == 12  # three commits with stats x four windows each
-    assert rows(_stream(spark, recs, lambda commits: S.daily_commits(_wm(commits)))) == rows(S.daily_commits(df))
-    assert rows(_stream(spark, recs, lambda commits: S.size_windows(_wm(commits)))) == twin4
+    assert rows(_stream(spark, recs, S.daily_commits)) == rows(S.daily_commits(df))
+    assert rows(_stream(spark, recs, S.size_windows)) == twin4
 
 
 def test_update_mode_totals_equal_twin(spark):
@@ -126,7 +125,7 @@ def test_update_mode_totals_equal_twin(spark):
     df = commits_df(spark, recs)
     folder = scratch_path(spark, "fx-upd")
     runner.land(df, folder, 3, "commit.committer.date", None)
-    got = runner.run_update(spark, lambda commits: S.ext_counts(commits), {"commits": (folder, COMMIT)}, ["ext"], 1, "u")
+    got = runner.run_update(spark, S.ext_counts(_read(spark, folder)), ["ext"], "u")
     assert rows(got) == rows(S.ext_counts(df)) == [("java", 5), ("scala", 5)]
     log = S.ext_changelog(S.with_event_time(df))
     assert sorted(r.n for r in log.where(F.col("ext") == "java").collect()) == [1, 2, 3, 4, 5]
@@ -142,17 +141,36 @@ def test_t8_late_rows_are_dropped_and_counted(spark):
         spark.read.schema(COMMIT).json(spark.sparkContext.parallelize([json.dumps(r)], 1)).write.mode("append").json(folder)
     for _ in range(2):
         runner.sentinel_commit(spark).write.mode("append").json(folder)
-    got = runner.run_append(spark, lambda commits: S.daily_commits(_wm(commits)), {"commits": (folder, COMMIT)}, 1,
-                            "late")
+    got = runner.run_append(spark, [S.daily_commits(_read(spark, folder))], "late")
     assert rows(got) == [("05-01-2019", 2)]
-    assert runner.late_rows(runner.LAST_QUERY["late"]) >= 1
+    assert runner.late_rows(spark, "late") == 1
+
+
+def test_t8_counts_late_rows_of_every_micro_batch(spark):
+    """More micro-batches than a query keeps progress of: the listener has seen them all."""
+    folder = scratch_path(spark, "fx-many")
+    late = [commit(f"m{i}", date="2019-01-01T00:00:00Z") for i in range(109)]
+    recs = [commit("first", date="2019-02-05T00:00:00Z"), commit("second", date="2019-02-05T01:00:00Z"), *late]
+    import os
+    import time
+    path = folder.removeprefix("file:")
+    os.makedirs(path)
+    now = time.time() - 1000
+    for i, r in enumerate(recs):
+        with open(f"{path}/{i:04d}.json", "w") as out:
+            out.write(json.dumps(r) + "\n")
+        os.utime(f"{path}/{i:04d}.json", (now + i, now + i))
+    q = S.daily_commits(_read(spark, folder))
+    runner.run_append(spark, [q], "many")
+    assert len(runner.LAST_QUERY["many"].recentProgress) <= 100
+    assert runner.late_rows(spark, "many") == len(late)
 
 
 def test_update_mode_without_matches_is_empty(spark):
     recs = [commit("e1", files=[("a.txt", "added", 1, 0)])]
     folder = scratch_path(spark, "fx-empty")
     runner.land(commits_df(spark, recs), folder, 1, "commit.committer.date", None)
-    got = runner.run_update(spark, lambda commits: S.ext_counts(commits), {"commits": (folder, COMMIT)}, ["ext"], 1, "e")
+    got = runner.run_update(spark, S.ext_counts(_read(spark, folder)), ["ext"], "e")
     assert got.columns == ["ext", "n"] and got.count() == 0
 
 
