@@ -57,7 +57,7 @@ def flat_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return words, bounds
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
+def word_hashes(words: list[bytes] | list[str]) -> np.ndarray:
     """64-bit hash per word, the same in every process."""
     if not words:
         return np.zeros(0, np.uint64)

@@ -10,27 +10,36 @@ is shorter) must agree in at least ``percent`` of its positions.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import (binary_texts, byte_chunks, flat_words, landed, mix, odd_constants, stream_groups,
+from commitlens.llm.common import (binary_texts, byte_chunks, landed, mix, odd_constants, stream_groups,
                                    word_hashes)
 
-#: Masks of weight 8 over windows of 12 words (1: compared). Each pair of them shares few ignored positions.
-MASKS = ("110110101011", "111010011101", "101111001101", "110101110110")
+WORD = re.compile(r"\w+")
+#: Masks of weight 8 over windows of 12 words (1: compared), with different ignored positions.
+MASKS = ("110110101011", "111010011101", "101111001101", "110101110110", "111100110011", "110011101101",
+         "101101110011", "111111110000")
 SPAN = 12
 #: Items shorter than a window are sought as a whole, if they have this many words.
-LEAST_WORDS = 5
-OVERLAP, PERCENT = 24, 80
+LEAST_WORDS = 8
+OVERLAP, PERCENT = 20, 65
 FILTER_BITS = 26
 
 
 def _normal(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of texts, and each text's offsets. Punctuation at a word's ends does not count."""
-    words, bounds = flat_words(texts)
-    return word_hashes([w.strip(b".,;:!?\"'()[]{}|*#$%&") for w in words]), bounds
+    """Hashes of the texts' words (runs of letters, digits and underscores, case folded), and each text's offsets.
+    Punctuation, symbols and the case of any script make no difference."""
+    words: list[str] = []
+    bounds = np.zeros(len(texts) + 1, np.int64)
+    for i, t in enumerate(texts):
+        words += WORD.findall(t.decode().casefold())
+        bounds[i + 1] = len(words)
+    return word_hashes(words), bounds
 
 
 def _seeds(h: np.ndarray, mask: str, number: int) -> np.ndarray:

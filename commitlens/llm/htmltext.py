@@ -6,7 +6,8 @@ text, and a few shapes (length, share of link text, punctuation, place), and say
 text. Scripts, styles, comments and other markup never become blocks.
 
 No page comes with labels. The model is trained on a bounded sample (``SAMPLE_PAGES``) of the pages at hand: blocks
-under article or main elements are article text unless a boilerplate element holds them. Each training page is also
+under article or main elements are article text unless a boilerplate element holds them (a page without such elements is
+labelled by its prose). Each training page is also
 shown with other container names and with boilerplate blocks put in (also inside the article), so that the model learns
 paths and neighbours that the sample itself lacks.
 """
@@ -136,10 +137,14 @@ def path_words(path: tuple[str, ...]) -> list[list[str]]:
         r"([a-z])([A-Z])", r"\1 \2", name).lower())] if w] for step in path]
 
 
-def weak_label(path: tuple[str, ...]) -> bool:
-    """Training label: article text unless a boilerplate element holds it."""
-    words = {w for step in path_words(path) for w in step}
-    return bool(words & ARTICLE_WORDS - {"body", "text"}) and not words & OTHER_WORDS
+def weak_labels(blocks: list[tuple[tuple[str, ...], str, float]]) -> list[bool]:
+    """Training labels of a page's blocks: text under an article-like element and no boilerplate element. A page
+    without any such element is labelled by its prose: ten words or more, few of them links."""
+    words = [{w for step in path_words(path) for w in step} for path, _, _ in blocks]
+    held = [bool(w & (ARTICLE_WORDS - {"body", "text"})) and not w & OTHER_WORDS for w in words]
+    if any(held):
+        return held
+    return [not w & OTHER_WORDS and len(text.split()) >= 10 and link < 0.3 for w, (_, text, link) in zip(words, blocks)]
 
 
 @lru_cache(maxsize=1 << 14)
@@ -291,7 +296,7 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = SEED) -> dict[str,
     spare = [b[1] for page in parsed for b in page]
     data = []
     for blocks in parsed:
-        labels = [weak_label(b[0]) for b in blocks]
+        labels = weak_labels(blocks)
         data.append((page_vectors(blocks), np.array(labels, np.float32)))
         for _ in range(VARIANTS):
             rows, good = _varied(blocks, labels, rng, spare)

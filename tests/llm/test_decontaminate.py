@@ -10,7 +10,7 @@ ITEMS = "item_id long, text string"
 
 def planted(seed=3):
     rng = random.Random(seed)
-    items = [(i, brute.prose(n, 1000 + i, 3000)) for i, n in enumerate([12, 16, 24, 40, 60, 300, 7, 5, 4, 1])]
+    items = [(i, brute.prose(n, 1000 + i, 3000)) for i, n in enumerate([12, 16, 24, 40, 60, 300, 9, 8, 7, 1])]
     docs, truth = [], set()
     for d in range(120):
         body = brute.prose(rng.randrange(20, 400), 5000 + d, 3000).split()
@@ -44,8 +44,8 @@ def test_verified_window(spark):
     words[20] = "other"
     df = spark.createDataFrame([(1, "x y z " + " ".join(words)), (2, " ".join(words[::-1]))], "doc_id long, text string")
     r = decontaminate.leaks(df, spark.createDataFrame([(9, item)], ITEMS)).collect()
-    assert [(x.doc_id, x.item_id, x.doc_at - x.item_at, x.n_window) for x in r] == [(1, 9, 3, 24)]
-    assert r[0].n_equal >= 23
+    assert [(x.doc_id, x.item_id, x.doc_at - x.item_at, x.n_window) for x in r] == [(1, 9, 3, 20)]
+    assert r[0].n_equal >= 19
 
 
 def test_odd_input(spark):
@@ -57,3 +57,11 @@ def test_odd_input(spark):
     assert sorted(map(repr, clash.collect())) == plain and len(plain) == 8
     assert decontaminate.leaks(brute.frame(spark, []), bench).count() == 0
     assert decontaminate.leaks(brute.frame(spark, odd), bench.limit(0)).count() == 0
+
+
+def test_case_and_punctuation_do_not_hide_a_leak(spark):
+    item = "Éai éonleeau pour an éonqueê aivi ai, éenaitreoiaux. Straße èenreré le oueuxoi les laèèleré ouantre eauréon"
+    df = spark.createDataFrame([(1, "x. " + "!! ".join(item.upper().split()) + " y"), (2, " | ".join(item.split()))],
+                               "doc_id long, text string")
+    got = decontaminate.leaks(df, spark.createDataFrame([(3, item)], ITEMS)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 3), (2, 3)]
