@@ -14,7 +14,8 @@ splits into a part that only the trie of ``w`` knows (``c(v,w)``, ``c(w)``) and
    is looked up by successor search inside its word's range; sums per document go back to the block.
 4. The sums of a block meet, and each document gets its row.
 
-Words are 64-bit hashes of their bytes; the start of a text is the context of its first token.
+Words are 64-bit hashes of their bytes; the start of a text is the context of its first token. One (word, context) pair
+is never split over shards: it is at most one entry per document.
 """
 
 from __future__ import annotations

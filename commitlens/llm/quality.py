@@ -25,22 +25,25 @@ HOST_LIMIT = 0.2
 MAX_STRENGTH = 1e6
 
 
-def figures(docs: DataFrame, host_col: str = "source") -> DataFrame:
-    """``(doc_id, text_key, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed)``.
+def figures(docs: DataFrame, host_col: str = "source", carry: bool = False) -> DataFrame:
+    """``(doc_id, host, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base_failed)`` per row of
+    ``docs``, with the whole input row as the struct ``row`` where ``carry`` asks for it.
 
     Windows are compared as strings. A text whose windows are all different (most texts) needs one hash pass; others
     sort (window, position) and mark positions whose neighbour in that order has the same window, which is
     O(n log n) for the longest text too.
     """
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                       F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"))
+                       F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
+                       *([F.struct(*docs.columns).alias("row")] if carry else []))
+    kept = ["doc_id", "host", *(["row"] if carry else [])]
     rows = rows.select(
-        "doc_id", "host", F.xxhash64("text").alias("text_key"),
+        *kept,
         F.filter(F.split("text", r"[\x20\x09-\x0D]+", -1), lambda w: w != "").alias("w"),
         (F.size(F.split("text", r"[#*$%&|<>]", -1)) - 1).cast("long").alias("n_symbols"),
         F.filter(F.split("text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("l"))
     rows = rows.select(
-        "doc_id", "host", "text_key", "n_symbols", F.size("w").cast("long").alias("n_words"),
+        *kept, "n_symbols", F.size("w").cast("long").alias("n_words"),
         F.length(F.array_join("w", "")).cast("long").alias("word_chars"),
         F.size("l").cast("long").alias("n_lines"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
@@ -87,22 +90,25 @@ def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
         F.max(F.when(F.col("rule") == name, F.col("bad"))).alias(f"bad_{name}") for name in SOFT_RULES])
 
 
+def _judged(rows: DataFrame, limit: float) -> DataFrame:
+    """``figures`` with ``host_rejected`` and ``kept``."""
+    rows = landed(rows, "quality")
+    hosts = landed(host_verdicts(rows, limit), "hosts")
+    failed = " or ".join(f"(bad_{name} and ({rule}))" for name, rule in SOFT_RULES.items())
+    return (rows.join(hosts, "host").withColumn("host_rejected", F.expr(failed))
+            .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected")))
+
+
 def quality_verdicts(docs: DataFrame, host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
     """Per input row the figures, ``host_rejected`` and ``kept``.
 
     Null or empty text: no words, base_failed. A null host counts as the empty host. Repeated rows and ids are judged
     row by row; ties cannot occur (no ranking). An empty table gives an empty result. Other columns are ignored.
     """
-    rows = landed(figures(docs, host_col), "quality")
-    hosts = landed(host_verdicts(rows, limit), "hosts")
-    failed = " or ".join(f"(bad_{name} and ({rule}))" for name, rule in SOFT_RULES.items())
-    return (rows.join(hosts, "host").withColumn("host_rejected", F.expr(failed))
-            .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected")))
+    return _judged(figures(docs, host_col), limit)
 
 
 def drop_rejected(docs: DataFrame, host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
-    """The rows of ``docs`` that pass, unchanged. Rows are told apart by id and a hash of the text (null-safe)."""
-    gone = landed(quality_verdicts(docs, host_col, limit).where(~F.col("kept"))
-                  .select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct(), "rejected")
-    key = F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit("")))
-    return docs.join(gone, (key == gone["gone_key"]) & docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    """The rows of ``docs`` that pass, unchanged. The input rows are landed with their figures, so the host verdicts
+    come back to them without a shuffle of texts (unless the table of hosts is itself too large to broadcast)."""
+    return _judged(figures(docs, host_col, carry=True), limit).where("kept").select("row.*")
