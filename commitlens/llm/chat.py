@@ -35,27 +35,30 @@ def unescape(c: Column) -> Column:
     return c
 
 
-def _jumps(nodes: DataFrame) -> list[DataFrame]:
-    """``nodes(tree, node, parent, score)`` -> tables ``(tree, node, anc, dist, total)``: level k jumps up 2^k messages
-    (``anc`` null beyond the root; ``dist`` and ``total`` then cover the whole path). Messages on a cycle never reach a
-    root; the doubling stops when a jump is longer than the table, and they are left without a path."""
+def _jumps(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """``nodes(tree, node, parent, score)`` -> jumps and whole paths, both ``(tree, node, anc, dist, total)``.
+
+    Jump table k leads 2^k messages up, for messages at least that deep. A message is done once its jump passes the
+    root: ``dist`` and ``total`` then cover its whole path, and only the others are joined again, so a few deep trees
+    do not make all the rest travel. Messages on a cycle never reach a root; the doubling stops when a jump is longer
+    than the table, and they are left without a path.
+    """
     start = nodes.select("tree", "node", F.col("parent").alias("anc"), F.lit(1).cast("long").alias("dist"),
                          F.col("score").cast("double").alias("total"))
     known = nodes.select("tree", F.col("node").alias("anc"), F.lit(True).alias("known"))
-    start = start.join(known, ["tree", "anc"], "left").select(
-        "tree", "node", F.when(F.col("known"), F.col("anc")).alias("anc"), "dist", "total")
-    levels = [landed(start, "jumps")]
-    size = levels[0].count()
-    while (1 << len(levels)) <= 2 * size and not levels[-1].where("anc is not null").isEmpty():
-        low = levels[-1].alias("a")
-        high = levels[-1].select("tree", F.col("node").alias("anc"), F.col("anc").alias("next"),
-                                 F.col("dist").alias("more"), F.col("total").alias("plus"))
-        step = low.join(high, ["tree", "anc"], "left").select(
-            "tree", "node", F.col("next").alias("anc"),
-            (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"),
-            (F.col("total") + F.coalesce("plus", F.lit(0.0))).alias("total"))
-        levels.append(landed(step, "jumps"))
-    return levels
+    start = landed(start.join(known, ["tree", "anc"], "left").select(
+        "tree", "node", F.when(F.col("known"), F.col("anc")).alias("anc"), "dist", "total"), "jumps")
+    size = start.count()
+    done, levels = start.where("anc is null"), [start.where("anc is not null")]
+    while (1 << len(levels)) <= 2 * size and not levels[-1].isEmpty():
+        high = done.union(levels[-1]).select("tree", F.col("node").alias("anc"), F.col("anc").alias("next"),
+                                             F.col("dist").alias("more"), F.col("total").alias("plus"))
+        step = landed(levels[-1].join(high, ["tree", "anc"]).select(
+            "tree", "node", F.col("next").alias("anc"), (F.col("dist") + F.col("more")).alias("dist"),
+            (F.col("total") + F.col("plus")).alias("total")), "jumps")
+        done = done.union(step.where("anc is null"))
+        levels.append(step.where("anc is not null"))
+    return levels, done
 
 
 def chosen_paths(nodes: DataFrame, top_k: int = 1) -> DataFrame:
@@ -64,16 +67,17 @@ def chosen_paths(nodes: DataFrame, top_k: int = 1) -> DataFrame:
     A path's score is the sum of its messages' scores; equal scores rank by leaf. A parent that does not exist makes a
     message a root.
     """
-    levels = _jumps(nodes)
-    full = levels[-1].where("anc is null").select("tree", "node", "dist", "total")
-    parents = levels[0].where("anc is not null").select("tree", F.col("anc").alias("node")).distinct()
+    levels, done = _jumps(nodes)
+    full = done.select("tree", "node", "dist", "total")
+    parents = levels[0].select("tree", F.col("anc").alias("node")).distinct()
     order = Window.partitionBy("tree").orderBy(F.col("total").desc(), F.col("node"))
     marked = (full.join(parents, ["tree", "node"], "left_anti").withColumn("rank", F.row_number().over(order))
               .where(F.col("rank") <= top_k).select("tree", F.col("node").alias("leaf"), "rank", "total", "node"))
+    marked = landed(marked, "paths")
     for level in reversed(levels):
-        up = level.where("anc is not null").select("tree", "node", "anc")
-        marked = landed(marked.union(marked.join(up, ["tree", "node"]).select("tree", "leaf", "rank", "total", "anc")),
-                        "paths")
+        up = marked.join(level.select("tree", "node", "anc"), ["tree", "node"]).select(
+            "tree", "leaf", "rank", "total", F.col("anc").alias("node"))
+        marked = marked.union(landed(up, "paths"))
     return marked.join(full.select("tree", "node", F.col("dist").alias("depth")), ["tree", "node"])
 
 
