@@ -327,10 +327,13 @@ def train(pages: list[str], epochs: int = EPOCHS, seed: int = SEED) -> dict[str,
 
 
 def fit_labeller(pages: DataFrame, sample: int = SAMPLE_PAGES) -> dict[str, np.ndarray]:
-    """Train on the ``sample`` pages with the smallest hashes of their html: the same ones on any layout."""
-    rows = (pages.select(F.col("html").cast("string")).where("html is not null and html <> ''")
-            .orderBy(F.xxhash64("html"), "html").limit(sample).collect())
-    return train([r["html"] for r in rows])
+    """Train on the ``sample`` pages with the smallest hashes of id and url: the same ones on any layout. The hashes are
+    ranked first (8 bytes a page), so a task sends no pages but the chosen ones."""
+    keyed = pages.where("html is not null and html <> ''").select(
+        F.xxhash64(F.col("page_id").cast("long"), F.col("url").cast("string")).alias("key"), F.col("html").cast("string"))
+    last = keyed.select("key").orderBy("key").limit(sample).agg(F.max("key")).first()[0]
+    rows = keyed.where(F.col("key") <= F.lit(last)).limit(sample).collect() if last is not None else []
+    return train(sorted(r["html"] for r in rows))
 
 
 def main_text(pages: DataFrame, model: dict[str, np.ndarray] | None = None) -> DataFrame:
