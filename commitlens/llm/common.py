@@ -9,7 +9,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from commitlens.session import scratch_path
+from commitlens.session import landed
+
+__all__ = ["binary_texts", "byte_chunks", "flat_words", "landed", "mix", "odd_constants", "stream_groups", "table",
+           "word_hashes"]
 
 #: Texts are tokenized in chunks of about this many bytes, so a task's memory does not grow with its batch.
 CHUNK_BYTES = 2 << 20
@@ -19,14 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def landed(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh table in the shared checkpoint folder and read it back: a lineage cut that survives
-    lost executors, computed once, whose file sizes let Spark choose (size-checked) join strategies."""
-    path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def binary_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
