@@ -11,9 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from commitlens.session import landed
 
-__all__ = ["binary_texts", "byte_chunks", "flat_words", "landed", "mix", "odd_constants", "stream_groups", "table",
-           "word_hashes"]
+__all__ = ["arrow_map", "binary_texts", "byte_chunks", "flat_words", "landed", "mix", "odd_constants", "stream_groups",
+           "table", "word_hashes"]
 
+#: Bytes of an Arrow batch where the session sets none.
+BATCH_CONF, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 6 << 20
 #: Texts are tokenized in chunks of about this many bytes, so a task's memory does not grow with its batch.
 CHUNK_BYTES = 2 << 20
 
@@ -22,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` over batches bounded in bytes: texts differ widely in length, and the default of 64 MB a batch is
+    held several times over by the task and its Python worker. A limit that the session sets itself stands."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_CONF, None) is None:
+        conf.set(BATCH_CONF, str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def binary_texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of a string column; null is an empty text."""
     if isinstance(column, pa.ChunkedArray):

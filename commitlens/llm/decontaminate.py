@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import (binary_texts, byte_chunks, landed, mix, odd_constants, stream_groups,
-                                   word_hashes)
+from commitlens.llm.common import (arrow_map, binary_texts, byte_chunks, landed, mix, odd_constants,
+                                   stream_groups, word_hashes)
 
 WORD = re.compile(r"\w+")
 #: Masks of weight 8 over windows of 12 words (1: compared), with different ignored positions.
@@ -74,7 +74,7 @@ def benchmark_seeds(items: DataFrame, lengths: list[int]) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(s), pa.array([item] * len(s), pa.int64()), pa.array(np.arange(len(s)), pa.int64())],
                         names=["hash", "item_id", "at"])
-    return items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return arrow_map(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")),
         run, "hash long, item_id long, at long")
 
 
@@ -86,7 +86,7 @@ def _item_words(items: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(h) for h in each], pa.int64()),
                  pa.array([h.tobytes() for h in each], pa.binary())], names=["item_id", "n_words", "words"])
-    return items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return arrow_map(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")),
         run, "item_id long, n_words long, words binary")
 
 
@@ -152,7 +152,7 @@ def stretches(docs: DataFrame, lengths: list[int], bloom: bytes, bits: int, reac
                      pa.array(hits, pa.list_(pa.struct([("hash", pa.int64()), ("at", pa.int64())])))],
                     names=["doc_id", "begin", "words", "hits"])
 
-    found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    found = arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
         run, "doc_id long, begin long, words binary, hits array<struct<hash:long,at:long>>")
     return found.select(F.monotonically_increasing_id().alias("row"), "*")
 
@@ -203,7 +203,7 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: int = OVERLAP, percent: in
              .select("row", "doc_id", "begin", "words", "item_id", "diagonal", "item_words")
              .repartition("row", "item_id").sortWithinPartitions("row", "item_id"))
     fields = "doc_id long, item_id long, doc_at long, item_at long, n_window long, n_equal long, n_diagonal long"
-    checked = pairs.mapInArrow(lambda batches: stream_groups(
+    checked = arrow_map(pairs, lambda batches: stream_groups(
         batches, ["row", "item_id"], lambda _, g: _verify(g, overlap, percent)), fields)
     best = checked.groupBy("doc_id", "item_id").agg(F.min(F.struct(
         (-F.col("n_equal")).alias("k"), "doc_at", "item_at", "n_window", "n_equal", "n_diagonal")).alias("b"))

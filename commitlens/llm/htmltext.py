@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import byte_chunks, flat_words, word_hashes
+from commitlens.llm.common import arrow_map, byte_chunks, flat_words, word_hashes
 
 SAMPLE_PAGES = 192
 TRAIN_BLOCKS = 96
@@ -354,5 +354,5 @@ def main_text(pages: DataFrame, model: dict[str, np.ndarray] | None = None) -> D
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(texts, pa.string()),
                      pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
-    return pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string")
-                        ).mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    read = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
+    return arrow_map(read, run, "page_id long, url string, text string, n_chars long")

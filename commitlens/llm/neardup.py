@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import (binary_texts, byte_chunks, flat_words, landed, mix, odd_constants, stream_groups,
-                                   word_hashes)
+from commitlens.llm.common import (arrow_map, binary_texts, byte_chunks, flat_words, landed, mix, odd_constants,
+                                   stream_groups, word_hashes)
 from commitlens.llm.components import connected_components
 
 SHINGLE = 5
@@ -98,7 +98,7 @@ def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "bands"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
         run, "doc_id long, n_shingles long, node binary, bands array<long>")
 
 
@@ -171,9 +171,9 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shin
                 "shingles": pa.array([sets[i].tobytes() for i in keep], pa.binary())}).to_batches()
 
     # A sort-merge join at every size: the members grow with the documents, so broadcasting a few would not carry over.
-    sets = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(placed.hint("merge"), "doc_id")
-            .select("cluster", "blocks", "node", "text")
-            .mapInArrow(run, "cluster long, blocks int, node binary, shingles binary"))
+    texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+             .join(placed.hint("merge"), "doc_id").select("cluster", "blocks", "node", "text"))
+    sets = arrow_map(texts, run, "cluster long, blocks int, node binary, shingles binary")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pairs = F.when(F.col("blocks") <= 1, F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("q")))).otherwise(
         F.transform(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("mine")),
@@ -181,7 +181,7 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shin
     dealt = (sets.withColumn("mine", mine).select("cluster", F.explode(pairs).alias("b"), "node", "shingles")
              .select("cluster", "b.p", "b.q", "node", "shingles")
              .repartition("cluster", "p", "q").sortWithinPartitions("cluster", "p", "q"))
-    return dealt.mapInArrow(
+    return arrow_map(dealt,
         lambda batches: stream_groups(batches, ["cluster", "p", "q"], lambda _, g: _linked(g, percent)),
         "u binary, v binary")
 

@@ -27,10 +27,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import binary_texts, byte_chunks, flat_words, landed, mix, stream_groups, word_hashes
+from commitlens.llm.common import (arrow_map, binary_texts, byte_chunks, flat_words, landed, mix, stream_groups,
+                                   word_hashes)
 from commitlens.llm.eliasfano import EliasFano, Quantised
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 12 << 20
 SHARD_TOKENS = 2_000_000
 MU = 100.0
 #: No word holds a line break, so these two stand for the end and the start of a text.
@@ -80,7 +81,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 codes, words = pd.factorize(_tokens(texts[a:b])[0])
                 yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(np.bincount(codes))],
                                                  names=["word", "n"])
-    return (_with_split(docs).mapInArrow(run, "word long, n long")
+    return (arrow_map(_with_split(docs), run, "word long, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -144,7 +145,7 @@ def _blocks(docs: DataFrame, shards: int, hot: list[tuple[int, int]]) -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(shard, pa.int32()), pa.array(block, pa.int64()), pa.array(parts, pa.list_(pa.binary()))],
                     names=["shard", "block", "parts"])
-    return _with_split(docs).mapInArrow(run, "shard int, block long, parts array<binary>")
+    return arrow_map(_with_split(docs), run, "shard int, block long, parts array<binary>")
 
 
 class Trie:
@@ -252,10 +253,10 @@ def language_scores(docs: DataFrame, mu: float = MU, shard_tokens: int = SHARD_T
     parts = [(w, min(shards, -(-n * 2 // shard_tokens))) for w, n in hot]
     hot_counts = dict(hot)
     dealt = _blocks(docs, shards, parts).repartitionById(shards, "shard").sortWithinPartitions("shard", "block")
-    sums = dealt.mapInArrow(lambda batches: stream_groups(
+    sums = arrow_map(dealt, lambda batches: stream_groups(
         batches, ["shard"], lambda _, g: _score_shard(g, n_tokens, n_words, hot_counts, mu)),
         "block long, parts array<binary>")
-    rows = sums.repartition("block").sortWithinPartitions("block").mapInArrow(lambda batches: stream_groups(
+    rows = arrow_map(sums.repartition("block").sortWithinPartitions("block"), lambda batches: stream_groups(
         batches, ["block"], lambda _, g: _finish_block(g, n_tokens)),
         "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     text_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import byte_chunks
+from commitlens.llm.common import arrow_map, byte_chunks
 
 SPACE = "▁"
 #: Stands for a U+2581 of the text while it is encoded; no text that Spark holds has a lone surrogate.
@@ -136,7 +136,7 @@ def encode_pieces(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([len(p) // 4 for p in packed], pa.int64()),
                      pa.ListArray.from_arrays(sizes, flat)], names=["doc_id", "n_pieces", "ids"])
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")),
         run, "doc_id long, n_pieces long, ids array<int>")
 
 
@@ -149,7 +149,7 @@ def decode_pieces(coded: DataFrame, model_path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([c.decode(array.array("i", x or []).tobytes()).decode() for x in ids],
                                            pa.string())], names=["doc_id", "text"])
-    return coded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(run, "doc_id long, text string")
+    return arrow_map(coded.select(F.col("doc_id").cast("long"), "ids"), run, "doc_id long, text string")
 
 
 def round_trips(docs: DataFrame, model_path: str) -> DataFrame:
@@ -172,7 +172,7 @@ def round_trips(docs: DataFrame, model_path: str) -> DataFrame:
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(raw, pa.int64()), pa.array(ids_sha, pa.string()),
                  pa.array(text_sha, pa.string()), pa.array(same, pa.bool_())],
                 names=["doc_id", "n_pieces", "n_byte_pieces", "ids_sha256", "text_sha256", "round_trip"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
         run, "doc_id long, n_pieces long, n_byte_pieces long, ids_sha256 string, text_sha256 string, "
              "round_trip boolean")
 

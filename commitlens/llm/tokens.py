@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import binary_texts, byte_chunks
+from commitlens.llm.common import arrow_map, binary_texts, byte_chunks
 
 BATCH_BYTES = 1 << 16
 MEMO_WORDS = 1 << 18
@@ -72,5 +72,5 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048) -> Dat
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(t) for t in texts], pa.int64()), pa.array(n, pa.int64()),
                  pa.array([x > limit for x in n], pa.bool_())], names=["doc_id", "n_bytes", "n_tokens", "over_limit"])
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
         run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
