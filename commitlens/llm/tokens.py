@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from commitlens.llm.common import arrow_map, binary_texts, byte_chunks
 
 BATCH_BYTES = 1 << 16
-MEMO_WORDS = 1 << 18
+MEMO_WORDS = 1 << 19
 MEMO_BYTES = 64
 
 
@@ -51,14 +51,14 @@ def count_tokens(texts: list[bytes], path: str) -> list[int]:
     memo, counts = _memo(path), []
     for a, b in byte_chunks(texts):
         split = [t.split() for t in texts[a:b]]
-        new = list({w for words in split for w in words if w not in memo})
-        lengths = dict(zip(new, piece_lengths(new, path)))
-        look = lengths.get
-        for words in split:
-            counts.append(sum([memo[w] if w in memo else look(w) for w in words]))
-        if len(memo) + len(new) > MEMO_WORDS:
+        new = list(set().union(*split).difference(memo))
+        memo.update(zip(new, piece_lengths(new, path)))
+        counts += [sum(map(memo.__getitem__, words)) for words in split]
+        for w in new:
+            if len(w) > MEMO_BYTES:
+                del memo[w]
+        if len(memo) > MEMO_WORDS:
             memo.clear()
-        memo.update((w, n) for w, n in lengths.items() if len(w) <= MEMO_BYTES)
     return counts
 
 
