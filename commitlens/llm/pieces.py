@@ -17,6 +17,7 @@ import hashlib
 import re
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,7 +27,7 @@ from commitlens.llm.common import arrow_map, byte_chunks
 SPACE = "▁"
 #: Stands for a U+2581 of the text while it is encoded; no text that Spark holds has a lone surrogate.
 LITERAL = "\udc81"
-MEMO_WORDS = 1 << 17
+MEMO_WORDS = 1 << 18
 MEMO_LENGTH = 64
 
 
@@ -43,14 +44,14 @@ class PieceCodec:
         self.surface: list[bytes] = [b""] * size
         self.automaton = ahocorasick.Automaton()
         self.single: set[str] = set()
-        self.is_byte = set()
+        self.is_byte = np.zeros(size, bool)
         lowest, crossing = 0.0, False
         for i in range(size):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
                 value = int(piece[1:-1], 16)
                 self.byte_ids[value], self.surface[i] = i, bytes([value])
-                self.is_byte.add(i)
+                self.is_byte[i] = True
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.automaton.add_word(piece, (len(piece), model.get_score(i), i))
                 self.surface[i] = piece.replace(SPACE, " ").encode()
@@ -112,8 +113,7 @@ class PieceCodec:
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 text of packed ids, without the dummy prefix."""
-        surface = self.surface
-        text = b"".join([surface[i] for i in memoryview(ids).cast("i")])
+        text = b"".join(map(self.surface.__getitem__, memoryview(ids).cast("i")))
         return text[1:] if text[:1] == b" " else text
 
 
@@ -157,14 +157,13 @@ def round_trips(docs: DataFrame, model_path: str) -> DataFrame:
     ``ids_sha256`` is over the packed ids, ``text_sha256`` over the decoded text; a null text counts as empty."""
     def run(batches):
         c = codec(model_path)
-        known = c.is_byte
         for batch in batches:
             texts = batch.column(1).to_pylist()
             rows = []
             for t in texts:
                 ids = c.encode(t or "")
                 back = c.decode(ids)
-                rows.append((len(ids) // 4, sum(1 for i in memoryview(ids).cast("i") if i in known),
+                rows.append((len(ids) // 4, int(c.is_byte[np.frombuffer(ids, np.int32)].sum()),
                              hashlib.sha256(ids).hexdigest(), hashlib.sha256(back).hexdigest(),
                              back == (t or "").encode()))
             n, raw, ids_sha, text_sha, same = zip(*rows) if rows else ((),) * 5
