@@ -32,7 +32,7 @@ from commitlens.llm.common import (arrow_map, binary_texts, byte_chunks, flat_wo
 from commitlens.llm.eliasfano import EliasFano, Quantised
 
 BLOCK_BYTES = 12 << 20
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 3_000_000
 MU = 100.0
 #: No word holds a line break, so these two stand for the end and the start of a text.
 END, START = word_hashes([b"\n", b"\n\n"])
