@@ -132,9 +132,9 @@ def text_first_sentences(spark, sf):
 
 
 @register("text_first_sentences_cat", """
-WITH s AS (SELECT u.pos, trim(u.sentence) AS sentence FROM (SELECT string_agg(text, '' ORDER BY doc_id) AS t FROM documents),
-           unnest(regexp_split_to_array(t, '[.\\n]+')) WITH ORDINALITY AS u(sentence, pos))
-SELECT row_number() OVER (ORDER BY pos) AS pos, sentence FROM s WHERE sentence <> '' ORDER BY 1 LIMIT 7""")
+WITH s AS (SELECT list_filter(list_transform(regexp_split_to_array(string_agg(text, '' ORDER BY doc_id), '[.\\n]+'),
+                  lambda x: trim(x)), lambda x: x <> '')[1:7] AS l FROM documents)
+SELECT unnest(range(1, len(l) + 1)) AS pos, unnest(l) AS sentence FROM s""")
 def text_first_sentences_cat(spark, sf):
     """F7 with `cat` semantics: sentences may run on from one document into the next."""
     return X.first_sentences(table(spark, sf, "documents"), join_files=True)
