@@ -50,3 +50,19 @@ def test_odd_rows_pass_through_every_stage(spark):
             if name != "encode":
                 assert out.columns == docs.columns
         assert out.count() == n
+
+
+def test_near_copies_at_80_percent_go(spark):
+    import corpus_pipeline as P
+
+    words = brute.prose(200, 11, 10 ** 6).split()
+    docs = [(1, " ".join(words)), (2, " ".join([*words[:180], *(f"n{i}" for i in range(20))])),
+            (3, " ".join([*words[:172], *(f"m{i}" for i in range(28))]))]
+    share = [len(brute.shingles(docs[0][1]) & brute.shingles(t)) / len(brute.shingles(docs[0][1]) | brute.shingles(t))
+             for _, t in docs[1:]]
+    assert 0.8 <= share[0] < 0.85 and share[1] < 0.8
+    assert {r.doc_id for r in P.near_dedup(spark, spark.createDataFrame(docs, "doc_id long, text string"), SF)
+            .collect()} == {1, 3}
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    want = brute.components([(r.doc_id, r.text) for r in table.collect()], percent=80)
+    assert {r.doc_id for r in P.near_dedup(spark, table, SF).collect()} == {i for i, x in want.items() if x[2]}
