@@ -4,8 +4,9 @@ A mask selects some positions of a window of words and ignores the others, so a
 hashes alike under a mask that ignores them. All benchmark windows are hashed under every mask. A Bloom filter over
 these hashes, of a fixed size whatever the benchmark's, tells each document's windows that may match; only those leave
 the scan, with the stretch of word hashes around them. They are joined to the benchmark hashes exactly, hits are grouped
-by (stretch, item, diagonal), and each diagonal is verified: the best window of ``overlap`` words (the whole item if it
-is shorter) must agree in at least ``percent`` of its positions.
+by (stretch, item, diagonal), and each diagonal is verified: the best window of ``overlap`` words (the whole item or the
+whole document if that is shorter) must agree in at least ``percent`` of its positions. A window may hang over the
+document's start or end; the words that are cut off count as different.
 """
 
 from __future__ import annotations
@@ -166,14 +167,17 @@ def _verify(group: pa.Table, overlap: int, percent: int) -> pa.RecordBatch | Non
         words = np.frombuffer(raw, np.uint64)
         shift = diagonal - begin
         a, b = max(0, -shift), min(len(words), len(doc) - shift)
-        need = min(overlap, len(words))
-        if b - a < need:
+        # A stretch shorter than the window is a whole document.
+        need = min(overlap, len(words), len(doc))
+        if need < min(overlap, LEAST_WORDS) or b <= a:
             continue
         same = np.concatenate([[0], np.cumsum(words[a:b] == doc[a + shift:b + shift])])
-        runs = same[need:] - same[:-need]
+        # Cut short by the document's start or end, the window's missing words count as different.
+        width = min(need, b - a)
+        runs = same[width:] - same[:-width]
         best = int(runs.argmax())
         if 100 * runs[best] >= percent * need:
-            out.append((doc_id, item, begin + shift + a + best, a + best, need, int(runs[best]), int(same[-1])))
+            out.append((doc_id, item, begin + shift + a + best, a + best, width, int(runs[best]), int(same[-1])))
     if not out:
         return None
     names = ["doc_id", "item_id", "doc_at", "item_at", "n_window", "n_equal", "n_diagonal"]
@@ -185,7 +189,8 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: int = OVERLAP, percent: in
     """``(doc_id, item_id, doc_at, item_at, n_window, n_equal, n_diagonal)``: one row per document and item it leaks.
 
     The row is the best verified window (ties: earliest in the document, then in the item), positions in words.
-    ``n_diagonal`` counts equal words on its diagonal near the hit. Null or empty texts leak nothing; an item of fewer
+    ``n_window`` counts the window's words that lie in the document, ``n_diagonal`` equal words on its diagonal near the
+    hit. Null or empty texts leak nothing; an item of fewer
     than ``LEAST_WORDS`` words is not sought, a shorter item than a window is sought whole. Repeated document rows give
     one result; a null ``doc_id`` is kept as such, a null ``item_id`` is ignored. Other columns are ignored.
     """

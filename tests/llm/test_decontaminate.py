@@ -65,3 +65,16 @@ def test_case_and_punctuation_do_not_hide_a_leak(spark):
                                "doc_id long, text string")
     got = decontaminate.leaks(df, spark.createDataFrame([(3, item)], ITEMS)).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(1, 3), (2, 3)]
+
+
+def test_passages_cut_off_by_the_document(spark):
+    item = [f"i{n}" for n in range(40)]
+    other = [f"o{n}" for n in range(60)]
+    docs = [other + item[:19], item[-19:] + other, other + item[:13], item[-13:] + other,
+            other[:5] + item[:13], item[10:29], item[10:22], item[3:16], other + item[:12], item[-12:] + other,
+            other[:7] + item[:12], other[:30]]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    got = {r.doc_id: (r.doc_at, r.item_at, r.n_window, r.n_equal)
+           for r in decontaminate.leaks(df, spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()}
+    assert got == {0: (60, 0, 19, 19), 1: (0, 21, 19, 19), 2: (60, 0, 13, 13), 3: (0, 27, 13, 13), 4: (5, 0, 13, 13),
+                   5: (0, 10, 19, 19), 6: (0, 10, 12, 12), 7: (0, 3, 13, 13)}
