@@ -12,24 +12,27 @@ document's start or end; the words that are cut off count as different.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import (arrow_map, binary_texts, byte_chunks, landed, mix, odd_constants,
+from commitlens.llm.common import (arrow_map, binary_texts, byte_chunks, landed, odd_constants,
                                    stream_groups, word_hashes)
 
 WORD = re.compile(r"\w+")
-#: Masks of weight 8 over windows of 12 words (1: compared), with different ignored positions.
-MASKS = ("110110101011", "111010011101", "101111001101", "110101110110", "111100110011", "110011101101",
-         "101101110011", "111111110000")
-SPAN = 12
-#: Items shorter than a window are sought as a whole, if they have this many words.
+#: Masks of weight 5 (1: compared), found by a greedy search; tests go through every pattern that they must fit.
+MASKS = ("111011", "11001011", "1101000101", "10000100111", "11111", "110100101", "110111", "11010101", "11100011",
+         "101111", "110010011", "101001101", "101100011", "111101", "110001101", "1100001011", "101010101", "100011011")
+SPAN = max(map(len, MASKS))
+#: Items and documents shorter than a window are compared as a whole, if they have this many words.
 LEAST_WORDS = 8
 OVERLAP, PERCENT = 20, 65
 FILTER_BITS = 26
+#: Windows hashed at once; their products stay in the processor's cache.
+BLOCK_WORDS = 1 << 14
 
 
 def _normal(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -43,37 +46,36 @@ def _normal(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return word_hashes(words), bounds
 
 
-def _seeds(h: np.ndarray, mask: str, number: int) -> np.ndarray:
-    """Hashes of all windows of ``h`` under a mask."""
-    n = len(h) - len(mask) + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    mult = odd_constants(len(mask), 100 + number)
-    total = np.full(n, number + 1, np.uint64)
-    for j, c in enumerate(mask):
-        if c == "1":
-            total += h[j:j + n] * mult[j]
-    return mix(total)
-
-
-def _masks(lengths: list[int]) -> list[str]:
-    return [*MASKS, *("1" * n for n in lengths)]
-
-
-def benchmark_seeds(items: DataFrame, lengths: list[int]) -> DataFrame:
-    """``(hash, item_id, at, words)``: every window of every item under every mask it can carry."""
+def _seeds(h: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``(at, span, hashes)`` of all windows of ``h`` under every mask, in blocks: hash ``i`` is of the window at
+    ``at + i``. Sums of products with odd constants; word hashes are mixed already."""
+    mult, marks = odd_constants(SPAN, 100), odd_constants(len(MASKS), 101)
+    for at in range(0, len(h), BLOCK_WORDS):
+        part = h[at:at + BLOCK_WORDS + SPAN - 1]
+        each = [part * m for m in mult]
+        for mask, mark in zip(MASKS, marks):
+            n = min(BLOCK_WORDS, len(part) - len(mask) + 1)
+            if n > 0:
+                total = np.full(n, mark, np.uint64)
+                for j, c in enumerate(mask):
+                    if c == "1":
+                        total += each[j][j:j + n]
+                yield at, len(mask), total
+
+
+def benchmark_seeds(items: DataFrame) -> DataFrame:
+    """``(hash, item_id, at)``: every window of every item under every mask it can carry."""
     def run(batches):
-        masks = _masks(lengths)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), binary_texts(batch.column(1))
             for item, text in zip(ids, texts):
                 h, _ = _normal([text])
-                use = [(k, m) for k, m in enumerate(masks) if (k < len(MASKS) and len(h) >= SPAN) or
-                       (k >= len(MASKS) and len(m) == len(h))]
-                for k, m in use:
-                    s = _seeds(h, m, k).view(np.int64)
+                each = [(at, s) for at, _, s in _seeds(h)] if len(h) >= LEAST_WORDS else []
+                if each:
+                    s = np.concatenate([s for _, s in each]).view(np.int64)
+                    spots = np.concatenate([np.arange(at, at + len(s)) for at, s in each])
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(s), pa.array([item] * len(s), pa.int64()), pa.array(np.arange(len(s)), pa.int64())],
+                        [pa.array(s), pa.array([item] * len(s), pa.int64()), pa.array(spots)],
                         names=["hash", "item_id", "at"])
     return arrow_map(items.select(F.col("item_id").cast("long"), F.col("text").cast("string")),
         run, "hash long, item_id long, at long")
@@ -111,25 +113,26 @@ def _maybe(hashes: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
     return hit[bit(hashes[hit] & np.uint64((1 << bits) - 1)) == 1]
 
 
-def stretches(docs: DataFrame, lengths: list[int], bloom: bytes, bits: int, reach: int) -> DataFrame:
+def stretches(docs: DataFrame, bloom: bytes, bits: int, reach: int) -> DataFrame:
     """``(row, doc_id, begin, words, hits)`` for the parts of documents where windows pass the filter; hits are
     ``(hash, at)`` with ``at`` the position in the document. Overlapping surroundings of hits are one stretch."""
     shared = docs.sparkSession.sparkContext.broadcast(bloom)
 
     def run(batches):
-        table, masks = np.frombuffer(shared.value, np.uint64), _masks(lengths)
+        table = np.frombuffer(shared.value, np.uint64)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), binary_texts(batch.column(1))
             rows = []
             for a, b in byte_chunks(texts):
                 h, bounds = _normal(texts[a:b])
-                at, seed, span = [], [], []
-                for k, m in enumerate(masks):
-                    s = _seeds(h, m, k)
+                if not len(h):
+                    continue
+                at, seed, span = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                for first, width, s in _seeds(h):
                     hit = _maybe(s, table, bits)
-                    at.append(hit)
+                    at.append(first + hit)
                     seed.append(s[hit])
-                    span.append(np.full(len(hit), len(m)))
+                    span.append(np.full(len(hit), width))
                 at, seed, span = np.concatenate(at), np.concatenate(seed), np.concatenate(span)
                 doc = np.searchsorted(bounds, at, "right") - 1
                 inside = at + span <= bounds[doc + 1]
@@ -190,16 +193,14 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: int = OVERLAP, percent: in
 
     The row is the best verified window (ties: earliest in the document, then in the item), positions in words.
     ``n_window`` counts the window's words that lie in the document, ``n_diagonal`` equal words on its diagonal near the
-    hit. Null or empty texts leak nothing; an item of fewer
-    than ``LEAST_WORDS`` words is not sought, a shorter item than a window is sought whole. Repeated document rows give
-    one result; a null ``doc_id`` is kept as such, a null ``item_id`` is ignored. Other columns are ignored.
+    hit. Null or empty texts leak nothing; an item or a document of fewer than ``LEAST_WORDS`` words is not compared, a
+    shorter one than a window is compared whole. Repeated document rows give one result; a null ``doc_id`` is kept as
+    such, a null ``item_id`` is ignored. Other columns are ignored.
     """
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null")
     words = landed(_item_words(items), "items")
-    lengths = sorted(r["n_words"] for r in words.select("n_words").where(
-        (F.col("n_words") >= LEAST_WORDS) & (F.col("n_words") < SPAN)).distinct().collect())
-    seeds = landed(benchmark_seeds(items, lengths), "seeds")
-    found = landed(stretches(docs, lengths, bloom_bytes(seeds, bits), bits, overlap), "stretches")
+    seeds = landed(benchmark_seeds(items), "seeds")
+    found = landed(stretches(docs, bloom_bytes(seeds, bits), bits, overlap), "stretches")
     hits = found.select("row", F.explode("hits").alias("h")).select("row", "h.hash", F.col("h.at").alias("doc_at"))
     lines = (hits.join(seeds, "hash").select("row", "item_id", (F.col("doc_at") - F.col("at")).alias("diagonal"))
              .distinct())

@@ -1,5 +1,6 @@
 """Benchmark leaks: planted passages with substitutions are found, clean documents are left alone."""
 
+import itertools
 import random
 
 import brute
@@ -78,3 +79,26 @@ def test_passages_cut_off_by_the_document(spark):
            for r in decontaminate.leaks(df, spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()}
     assert got == {0: (60, 0, 19, 19), 1: (0, 21, 19, 19), 2: (60, 0, 13, 13), 3: (0, 27, 13, 13), 4: (5, 0, 13, 13),
                    5: (0, 10, 19, 19), 6: (0, 10, 12, 12), 7: (0, 3, 13, 13)}
+
+
+def test_every_pattern_that_verification_accepts_holds_a_seed():
+    masks = [(int(m, 2), len(m)) for m in decontaminate.MASKS]
+    for n in range(decontaminate.LEAST_WORDS, decontaminate.OVERLAP + 1):
+        fits = [m << at for m, span in masks for at in range(n - span + 1)]
+        for equal in itertools.combinations(range(n), -(-n * decontaminate.PERCENT // 100)):
+            pattern = sum(1 << i for i in equal)
+            assert any(pattern & m == m for m in fits), (n, equal)
+
+
+def test_passages_at_the_threshold_are_found(spark):
+    rng = random.Random(8)
+    items, docs = [], []
+    for i, n in enumerate([8, 9, 10, 11, 12, 13, 15, 17, 19] * 4 + [20] * 60):
+        words = [f"i{i}x{j}" for j in range(n)]
+        items.append((i, " ".join(words)))
+        for at in rng.sample(range(n), n - -(-n * decontaminate.PERCENT // 100)):
+            words[at] = f"s{i}x{at}"
+        docs.append((i, " ".join([f"a{i}x{j}" for j in range(30)] + words + [f"b{i}x{j}" for j in range(30)])))
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                              spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i, _ in docs]
