@@ -85,21 +85,28 @@ def _digest(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
+def _found_again(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text, spare)``."""
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return docs.withColumn("spare", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+
+
 def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """``(doc_id, n_shingles, node, bands)`` per row; node and bands are null for an empty set."""
+    """``(doc_id, spare, n_shingles, node, bands)`` per row; node and bands are null for an empty set. ``spare`` is a
+    hash of the text where ``doc_id`` is null: it finds such a row again."""
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), binary_texts(batch.column(1))
+            ids, texts, spare = batch.column(0), binary_texts(batch.column(1)), batch.column(2)
             n, node, keys = [], [], []
             for s in shingle_sets(texts):
                 n.append(len(s))
                 node.append(_digest(s))
                 keys.append(band_keys(sketch(s, rows * bands), rows, bands) if len(s) else None)
             yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(node, pa.binary()),
-                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "node", "bands"])
-    return arrow_map(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-        run, "doc_id long, n_shingles long, node binary, bands array<long>")
+                [ids.cast(pa.int64()), spare, pa.array(n, pa.int64()), pa.array(node, pa.binary()),
+                 pa.array(keys, pa.list_(pa.int64()))], names=["doc_id", "spare", "n_shingles", "node", "bands"])
+    return arrow_map(_found_again(docs),
+        run, "doc_id long, spare long, n_shingles long, node binary, bands array<long>")
 
 
 def candidate_clusters(classes: DataFrame) -> DataFrame:
@@ -154,10 +161,11 @@ def _linked(group: pa.Table, percent: int) -> pa.RecordBatch | None:
 
 
 def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shingles: int) -> DataFrame:
-    """``members(node, rep, cluster, n_shingles)`` -> links ``(u, v)`` that connect what is linked in each cluster."""
+    """``members(node, rep, spare, cluster, n_shingles)`` -> links ``(u, v)`` that connect what is linked in each
+    cluster."""
     weight = members.groupBy("cluster").agg(F.sum("n_shingles").alias("weight"))
     placed = members.join(weight, "cluster").select(
-        "node", F.col("rep").alias("doc_id"), "cluster",
+        "node", F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", "spare").alias("key"), "cluster",
         F.ceil(F.col("weight") * 2 / F.lit(block_shingles)).cast("int").alias("blocks"))
 
     def run(batches):
@@ -171,8 +179,10 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shin
                 "shingles": pa.array([sets[i].tobytes() for i in keep], pa.binary())}).to_batches()
 
     # A sort-merge join at every size: the members grow with the documents, so broadcasting a few would not carry over.
-    texts = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-             .join(placed.hint("merge"), "doc_id").select("cluster", "blocks", "node", "text"))
+    # A class without any id is found by its text's hash.
+    texts = _found_again(docs).select(F.col("doc_id").isNull().alias("unnamed"),
+                                      F.coalesce("doc_id", "spare").alias("key"), "text")
+    texts = texts.join(placed.hint("merge"), ["key", "unnamed"]).select("cluster", "blocks", "node", "text")
     sets = arrow_map(texts, run, "cluster long, blocks int, node binary, shingles binary")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pairs = F.when(F.col("blocks") <= 1, F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("q")))).otherwise(
@@ -196,11 +206,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     """
     drawn = landed(signatures(docs, rows, bands), "sketches")
     classes = drawn.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+        F.min("doc_id").alias("rep"), F.min("spare").alias("spare"),
+        F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
     classes = landed(classes, "classes")
     spots = candidate_clusters(classes)
-    members = landed(classes.select("node", "rep", "n_shingles", F.xxhash64("node").alias("spot"))
-                     .join(spots, "spot").select("node", "rep", "n_shingles", "cluster"), "members")
+    members = landed(classes.select("node", "rep", "spare", "n_shingles", F.xxhash64("node").alias("spot"))
+                     .join(spots, "spot").select("node", "rep", "spare", "n_shingles", "cluster"), "members")
     links = connected_components(verified_links(docs, members, percent, block_shingles))
     ids = classes.select("node", "rep")
     linked = ids.join(links, "node")

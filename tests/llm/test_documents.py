@@ -56,6 +56,19 @@ def test_near_duplicates(spark, block):
     assert 20 < len({c for _, c, _ in want.values()}) < len(docs)
 
 
+def test_null_id_bridges_near_copies(spark):
+    w = brute.prose(200, 21, 10 ** 6).split()
+    first, bridge, last = w[:190], w, w[12:]
+    docs = [(1, " ".join(first)), (None, " ".join(bridge)), (None, " ".join(bridge)), (2, " ".join(last)),
+            (None, brute.prose(50, 22, 10 ** 6))]
+    sets = [brute.shingles(" ".join(x)) for x in (first, bridge, last)]
+    assert [100 * len(a & b) >= 92 * len(a | b) for a, b in ((sets[0], sets[1]), (sets[1], sets[2]),
+                                                             (sets[0], sets[2]))] == [True, True, False]
+    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), percent=92).collect()
+    assert sorted(((r.doc_id, r.component_id, r.kept) for r in got), key=str) == sorted(
+        [(1, 1, True), (2, 1, False), (None, 1, False), (None, 1, False), (None, None, True)], key=str)
+
+
 def test_sketch_fills_and_estimates():
     import numpy as np
     rng = np.random.default_rng(5)
