@@ -25,13 +25,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: the one with the smallest ``doc_id``. Rows that repeat one
-    ``doc_id`` share its verdict; rows without an id stay. The ids that go grow with the documents, so the join is a
-    sort-merge join at every size."""
-    copies = near_duplicates(docs, percent=NEAR_PERCENT).where("not kept")
-    gone = copies.select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = landed(gone.where("gone_id is not null"), "copies")
-    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["gone_id"], "left_anti")
+    """One row of each near-duplicate group stays: the first by ``doc_id``, rows without an id last, then by row. Rows
+    are numbered in a landed table and judged one by one, so rows that repeat an id, or have none, are documents of
+    their own; rows without words all stay. The rows that stay grow with the documents, so the join is a sort-merge join
+    at every size, and its keys are unique."""
+    rows = landed(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "rows")
+    groups = near_duplicates(rows.select(F.col("row").alias("doc_id"), "doc.text"), percent=NEAR_PERCENT)
+    named = groups.select(F.col("doc_id").alias("row"), "component_id").join(
+        rows.select("row", "doc.doc_id").hint("merge"), "row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))["row"]
+    stays = landed(named.groupBy("component_id").agg(first.alias("row")).select("row"), "stays")
+    return rows.join(stays.hint("merge"), "row", "left_semi").select("doc.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,3 +66,14 @@ def test_near_copies_at_80_percent_go(spark):
     table = spark.read.parquet(f"{SF}/documents.parquet")
     want = brute.components([(r.doc_id, r.text) for r in table.collect()], percent=80)
     assert {r.doc_id for r in P.near_dedup(spark, table, SF).collect()} == {i for i, x in want.items() if x[2]}
+
+
+def test_one_row_of_each_group_stays(spark):
+    import corpus_pipeline as P
+
+    copy, alone, other = (brute.prose(60, s, 10 ** 6) for s in (31, 32, 33))
+    docs = [(4, copy, "first"), (4, copy, "again"), (None, copy, "x"), (9, copy, "x"), (9, alone, "own text"),
+            (None, other, "p"), (None, other, "p"), (None, None, "empty"), (None, "", "empty")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, row string")
+    got = [(r.doc_id, r.text, r.row) for r in P.near_dedup(spark, df.coalesce(1), SF).collect()]
+    assert sorted(got, key=str) == sorted([docs[0], docs[4], docs[5], docs[7], docs[8]], key=str)
