@@ -25,7 +25,7 @@ def test_stages(spark):
             assert steps[-1].columns == docs.columns
     texts = [{r.doc_id: r.text for r in s.select("doc_id", "text").collect()} for s in steps[:-1]]
     assert texts[1] == {i: t for i, t in texts[0].items() if not brute.quality(t)[5]}
-    copies = brute.components(list(texts[1].items()))
+    copies = brute.components(list(texts[1].items()), percent=P.NEAR_PERCENT)
     assert texts[2] == {i: t for i, t in texts[1].items() if copies[i][2]}
     leaked = {r.doc_id for r in decontaminate.leaks(steps[2], spark.read.parquet(f"{SF}/benchmark.parquet")).collect()}
     assert leaked and texts[3] == {i: t for i, t in texts[2].items() if i not in leaked}
