@@ -19,6 +19,7 @@ from commitlens.llm.pieces import round_trips
 from commitlens.llm.pii import personal_spans
 from commitlens.llm.quality import quality_verdicts
 from commitlens.llm.secrets import secret_spans
+from commitlens.llm.sharding import shard_rows
 from commitlens.llm.tokens import token_counts
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -69,6 +70,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_decontaminate, op3_html_text, op4_chat, op5_token_counts, op6_pii, op7_lm_score,
-    op8_sentencepiece, op9_quality, op10_minhash)}
+    op8_sentencepiece, op9_quality, op10_minhash, op13_sharding)}

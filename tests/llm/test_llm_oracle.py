@@ -21,10 +21,10 @@ def test_oracle(spark, key):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == [*range(1, 11), 13]
 
 
 def test_native_operators_run_no_python(spark):
-    for key in ("op1_secret_scan", "op4_chat", "op6_pii", "op9_quality"):
+    for key in ("op1_secret_scan", "op4_chat", "op6_pii", "op9_quality", "op13_sharding"):
         plan = QUERIES[key](spark, SF)._jdf.queryExecution().toString()
         assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
