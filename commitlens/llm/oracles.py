@@ -107,4 +107,62 @@ c AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept FROM s JOIN c USING (doc_id)
 """
 
-ORACLE: dict[str, str] = {"op1_secret_scan": OP1, "op4_chat": OP4, "op9_quality": OP9, "op10_minhash": OP10}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11 = rf"""
+WITH RECURSIVE c AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+           lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc),
+r AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc,
+             {_LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+'))")} AS run
+      FROM documents),
+b AS (SELECT run, flatten(list_transform(string_split(doc || ':' || run, ''), lambda ch: CASE WHEN ord(ch) < 128
+               THEN [ord(ch)::BIGINT] ELSE [192::BIGINT + (ord(ch) >> 6), 128::BIGINT + (ord(ch) & 63)] END)) AS bytes
+      FROM r WHERE length(run) >= 7),
+h AS (SELECT run, xor(list_reduce(list_concat([4294967295::BIGINT], bytes),
+               lambda x, y: xor(x >> 8, crc[1 + (xor(x, y) & 255)])), 4294967295::BIGINT) AS h FROM b, c),
+v AS (SELECT word, count(*) AS n FROM (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END
+               AS word FROM h) WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+x AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT x.word, y.word AS near FROM x JOIN x y ON x.i = y.i AND x.cut = y.cut AND x.word <> y.word
+      UNION SELECT x.word, v.word FROM x JOIN v ON v.word = x.cut
+      UNION SELECT v.word, x.word FROM x JOIN v ON v.word = x.cut),
+k AS (SELECT p.word, v.word AS near, v.n, count(*) OVER (PARTITION BY p.word) AS n_near,
+             row_number() OVER (PARTITION BY p.word ORDER BY v.n DESC, v.word) AS place FROM p JOIN v ON v.word = near),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN k.n >= 10 * v.n THEN near END AS form,
+             CASE WHEN k.n >= 10 * v.n THEN k.n END AS form_n FROM v LEFT JOIN k ON k.word = v.word AND place = 1),
+t(word, root, depth) AS (SELECT word, word, 0 FROM f
+                         UNION ALL SELECT t.word, f.form, depth + 1 FROM t JOIN f ON f.word = t.root AND form IS NOT NULL),
+o AS (SELECT word, arg_max(root, depth) AS root FROM t GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN o USING (word)
+"""
+
+OP12 = rf"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang,
+                  unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?
+-
+]')) AS piece
+           FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM t),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))
+             AS phrase FROM w, (VALUES (1), (2), (3)) AS s(k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT *, string_split(phrase, ' ') AS s FROM f WHERE k > 1 AND a >= 10),
+m AS (SELECT lang, sub, max(a) AS a FROM (
+        SELECT lang, a, unnest([s[1] || ' ' || s[2], s[2] || ' ' || s[3]]) AS sub FROM c WHERE k = 3) GROUP BY ALL),
+d AS (SELECT lang, phrase, a, unnest(range(1, k)) AS cut, s FROM c),
+e AS (SELECT d.lang, d.phrase, d.a, cut, x.a AS l, y.a AS r,
+             CAST((1000000::HUGEINT * d.a * d.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+      FROM d JOIN f x ON x.lang = d.lang AND x.phrase = array_to_string(s[:cut], ' ')
+             JOIN f y ON y.lang = d.lang AND y.phrase = array_to_string(s[cut + 1:], ' ')),
+q AS (SELECT e.* FROM e LEFT JOIN m ON m.lang = e.lang AND sub = phrase WHERE m.a IS NULL OR 100 * m.a < 50 * e.a
+      QUALIFY row_number() OVER (PARTITION BY e.lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM q JOIN n USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE: dict[str, str] = {"op1_secret_scan": OP1, "op4_chat": OP4, "op9_quality": OP9, "op10_minhash": OP10,
+                          "op11_spelling_variants": OP11, "op12_collocations": OP12}

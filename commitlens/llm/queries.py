@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from commitlens.llm.chat import formatted_conversations
+from commitlens.llm.collocations import collocations
 from commitlens.llm.common import table
 from commitlens.llm.decontaminate import leaks
 from commitlens.llm.htmltext import main_text
@@ -20,6 +21,7 @@ from commitlens.llm.pii import personal_spans
 from commitlens.llm.quality import quality_verdicts
 from commitlens.llm.secrets import secret_spans
 from commitlens.llm.sharding import shard_rows
+from commitlens.llm.spelling import spelling_variants
 from commitlens.llm.tokens import token_counts
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -70,10 +72,19 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_rows(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_decontaminate, op3_html_text, op4_chat, op5_token_counts, op6_pii, op7_lm_score,
-    op8_sentencepiece, op9_quality, op10_minhash, op13_sharding)}
+    op8_sentencepiece, op9_quality, op10_minhash, op11_spelling_variants,
+    op12_collocations, op13_sharding)}

@@ -135,3 +135,68 @@ def bigram_scores(docs, mu):
         score = sum(math.log10((two[(v, w)] + mu * x) / (context[v] + mu)) for v, w, x in zip(["\n\n", *t], t, q))
         out.append(((h, len(t), sum(one[w] > 0 for w in t), total), sum(map(math.log10, q)), score))
     return out
+
+
+def variant_words(docs, least=7):
+    """Counted words of (doc_id, text) pairs, errors included."""
+    counts = Counter()
+    for i, t in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", t or ""):
+            run = lower(run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= least and n >= 2}
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return any(b[:k] + b[k + 1:] == a for k in range(len(b)))
+
+
+def variants(counts):
+    """word -> (form, root, n, n_near, form_n), all pairs compared."""
+    form, near = {}, Counter()
+    for w in counts:
+        around = [x for x in counts if one_edit(w, x)]
+        near[w] = len(around)
+        best = min(around, key=lambda x: (-counts[x], x), default=None)
+        if best is not None and counts[best] >= 10 * counts[w]:
+            form[w] = best
+    out = {}
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (form.get(w), root, n, near[w], counts[form[w]] if w in form else None)
+    return out
+
+
+def collocations(docs, least=10, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) rows of (lang, text) pairs."""
+    counts, totals = {}, Counter()
+    for lang, text in docs:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0A-\x0D]", lower(text or "")):
+            w = re.findall("[^\x20\x09]+", piece)
+            totals[lang] += len(w)
+            for k in (1, 2, 3):
+                counts.setdefault(lang, Counter()).update(tuple(w[i:i + k]) for i in range(len(w) - k + 1))
+    out = []
+    for lang, f in counts.items():
+        good = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        rows = []
+        for p, a in good.items():
+            if any(100 * b >= 50 * a for q, b in good.items() if len(q) > len(p)
+                   and any(q[i:i + len(p)] == p for i in range(len(q)))):
+                continue
+            score, k = min((1000000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        out += [(lang, i, p.decode(), -a, l, r, totals[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top], 1)]
+    return out
