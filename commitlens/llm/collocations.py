@@ -32,10 +32,12 @@ from commitlens.llm import quotient
 from commitlens.llm.common import arrow_map, binary_texts, landed
 
 LEAST, TOP = 10, 2000
+#: Parts of a language that are ranked by themselves first, so that its last ranking sees ``TOP`` rows of each at most.
+PARTS = 32
 #: Bytes of text in a block, and in all unfinished blocks of a task.
-BLOCK_BYTES, HELD_BYTES = 8 << 20, 24 << 20
+BLOCK_BYTES, HELD_BYTES = 4 << 20, 12 << 20
 #: n-gram occurrences that the merge of a range stands for.
-RANGE_GRAMS = 1 << 22
+RANGE_GRAMS = 1 << 21
 #: Phrase ends become a byte that UTF-8 never uses, so that it can be a word of its own.
 END = b"\xff"
 MARKS = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", END * 10 + b" ")
@@ -224,7 +226,9 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     ranges = max(-(-2 * everything // RANGE_GRAMS) - 1, 0).bit_length()
     layout = quotient.Layout(width, min(ranges, -(-3 * width // 2)))
     grams = landed(frequent_grams(ngram_filters(blocks, words, layout), layout, least), "grams")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored(grams, words).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    ranked = scored(grams, words).withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    for keys in (["lang", "part"], ["lang"]):
+        best = Window.partitionBy(*keys).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        ranked = ranked.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r",
                                               "n", "score")
