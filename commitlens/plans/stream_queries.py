@@ -214,12 +214,65 @@ def stream_added_removed(spark, sf):
     return runner.run_append(spark, [added_then_removed_stream(_commits(spark, sf))], "t7")
 
 
-@register("twin_ext_changelog", W + f"""
+SQL_REWORKED = W + f"""
+, e AS (SELECT cm.owner_repo AS repo, fl.filename, fl.status, fl.changes, cm.committer_ts AS ts,
+               row_number() OVER (PARTITION BY cm.owner_repo, fl.filename
+                                  ORDER BY cm.committer_ts, cm.sha, fl.file_sha, fl.status, fl.changes) AS rn
+        FROM fl JOIN cm ON fl.k = cm.k WHERE fl.filename IS NOT NULL),
+m AS (SELECT a.repo, a.filename, a.ts AS started, min(b.rn) AS at
+      FROM e a JOIN e b ON b.repo = a.repo AND b.filename = a.filename AND b.rn > a.rn
+      WHERE a.status = 'added' AND b.status = 'modified' AND b.changes > 60 GROUP BY a.repo, a.filename, a.ts, a.rn)
+SELECT m.repo, m.filename, {ts_sql('m.started')} AS started, {ts_sql('c.ts')} AS ended
+FROM m JOIN e c ON c.repo = m.repo AND c.filename = m.filename AND c.rn = m.at + 1
+WHERE c.status = 'removed' AND c.ts - m.started < INTERVAL 60 DAY"""
+
+
+@register("twin_reworked_files", SQL_REWORKED)
+def twin_reworked_files(spark, sf):
+    """A three-step pattern: added, followed by a large modification, directly followed by removed."""
+    from commitlens.streaming.patterns import reworked_files
+    return reworked_files(commits_ts(spark, sf))
+
+
+@register("stream_reworked_files", SQL_REWORKED)
+def stream_reworked_files(spark, sf):
+    from commitlens.streaming import runner
+    from commitlens.streaming.patterns import reworked_files_stream
+    return runner.run_append(spark, [reworked_files_stream(_commits(spark, sf))], "t7-three")
+
+
+SQL_EXT_CHANGELOG = W + f"""
 , x AS (SELECT cm.committer_ts AS ts, {ext_sql('fl.filename')} AS ext, cm.sha, fl.file_sha, fl.filename
         FROM fl JOIN cm ON fl.k = cm.k WHERE fl.filename IS NOT NULL)
 SELECT {ts_sql('ts')} AS ts, ext,
        row_number() OVER (PARTITION BY ext ORDER BY ts, sha, file_sha, filename) AS n
-FROM x WHERE ext IN ('java', 'scala')""")
+FROM x WHERE ext IN ('java', 'scala')"""
+
+SQL_EXT_STATUS_CHANGELOG = W + f"""
+, x AS (SELECT cm.committer_ts AS ts, {ext_sql('fl.filename')} AS ext, fl.status, cm.sha, fl.file_sha, fl.changes
+        FROM fl JOIN cm ON fl.k = cm.k WHERE fl.filename IS NOT NULL)
+SELECT {ts_sql('ts')} AS ts, ext, status,
+       CAST(sum(changes) OVER (PARTITION BY ext, status ORDER BY ts, sha, file_sha, changes
+                               ROWS UNBOUNDED PRECEDING) AS BIGINT) AS changes
+FROM x WHERE ext IN ('js', 'py')"""
+
+
+@register("twin_ext_changelog", SQL_EXT_CHANGELOG)
 def twin_ext_changelog(spark, sf):
     """T1 as the per-record changelog of a keyed running count (D-2): one row per matching file."""
     return S.ext_changelog(commits_ts(spark, sf))
+
+
+@register("stream_ext_changelog", SQL_EXT_CHANGELOG)
+def stream_ext_changelog(spark, sf):
+    from commitlens.streaming import runner
+    from commitlens.streaming.changelog import ext_changelog_stream
+    return runner.run_append(spark, [ext_changelog_stream(_commits(spark, sf))], "t1-log")
+
+
+@register("stream_ext_status_changelog", SQL_EXT_STATUS_CHANGELOG)
+def stream_ext_status_changelog(spark, sf):
+    """T2 record by record."""
+    from commitlens.streaming import runner
+    from commitlens.streaming.changelog import ext_status_changelog_stream
+    return runner.run_append(spark, [ext_status_changelog_stream(_commits(spark, sf))], "t2-log")

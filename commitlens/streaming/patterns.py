@@ -1,68 +1,164 @@
-"""T7 on a stream: ``added`` directly followed by ``removed`` within a day, per (repo, file).
-
-Analytic ``lead`` is refused on streams, so this is the one custom state function (``applyInPandasWithState``):
-per key it keeps the last processed event and the rows not yet covered by the watermark. Rows are processed in
-(ts, sha, file sha, status) order only once the watermark has passed them, so arrival order inside or across
-micro-batches does not matter; an event-time timer wakes the key when the watermark moves, and the state is
-dropped once no match can follow (last event not ``added``, or more than a day old). State per key is bounded by
-the rows of that key inside the watermark delay.
+"""Event patterns per key: a sequence of conditions with strict or relaxed contiguity and a time limit.
+
+A pattern is a list of steps. The first row that satisfies the first step starts a match; a step that is ``strict`` must be
+satisfied by the very next row of the key, any other by the next row that satisfies it, whatever lies between. A match is
+complete with its last step and counts if the last row is less than ``within`` after the first. Every row that satisfies
+the first step starts a match of its own, and matches may share rows. Rows are ordered by (time, ``order`` columns).
+
+Conditions are Column expressions that Spark evaluates into one bit a step, so both forms only see bits:
+
+* :func:`pattern_matches` (batch) follows a match from its end to its start with one window function a step. The windows run
+  inside (key, time block); a block is as long as ``within`` and sees the next block's rows too, so a hot key is spread
+  over its blocks and every match lies in the rows of the block that its first row belongs to.
+* :func:`pattern_stream` (streams) is an automaton on keyed state: the partial matches of a key, each its next step and the
+  times so far, advanced row by row in event-time order (:mod:`ordered`). A timer drops the ones that ran out of time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from commitlens.streaming.questions import added_removed_rows
-
-OUTPUT_SCHEMA = "repo string, filename string"
-STATE_SCHEMA = ("last_status string, last_us long, p_us array<long>, p_sha array<string>, "
-                "p_fsha array<string>, p_status array<string>")
-
-
-def _make_state_fn(within_us: int):
-    def step(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        repo, filename = key
-        if state.exists:
-            last_status, last_us, p_us, p_sha, p_fsha, p_status = state.get
-            pending = list(zip(list(p_us), list(p_sha), list(p_fsha), list(p_status)))
-        else:
-            last_status, last_us, pending = None, None, []
-        for pdf in pdfs:
-            pending.extend(zip(pdf["ts_us"].tolist(), pdf["sha"].tolist(), pdf["file_sha"].tolist(),
-                               pdf["status"].tolist()))
-        wm_us = state.getCurrentWatermarkMs() * 1000
-        pending.sort()
-        matches = []
-        rest = []
-        for row in pending:
-            if row[0] > wm_us:
-                rest.append(row)
+
+from commitlens.streaming.ordered import OrderedProcessor, ordered_rows
+from commitlens.streaming.questions import added_removed_rows, status_rows
+
+
+@dataclass(frozen=True)
+class Step:
+    """A condition; ``strict``: of the row right after the step before (ignored for the first step)."""
+
+    where: Column
+    strict: bool = False
+
+
+@dataclass(frozen=True)
+class Pattern:
+    steps: tuple[Step, ...]
+    within_seconds: int
+
+    def __post_init__(self):
+        if not 1 <= len(self.steps) <= 62 or self.within_seconds <= 0:
+            raise ValueError("a pattern has 1 to 62 steps and a positive time limit")
+
+    @property
+    def within_us(self) -> int:
+        return self.within_seconds * 1_000_000
+
+    def bits(self) -> Column:
+        """One bit for each step that the row satisfies; a null condition is not satisfied."""
+        bits = [F.when(s.where, F.lit(1 << k)).otherwise(F.lit(0)).cast("long") for k, s in enumerate(self.steps)]
+        total = bits[0]
+        for b in bits[1:]:
+            total = total + b
+        return total
+
+
+def followed(first: Column, *rest: Column, within_seconds: int) -> Pattern:
+    """``first``, then each of ``rest`` with anything between."""
+    return Pattern((Step(first), *(Step(c) for c in rest)), within_seconds)
+
+
+def pattern_matches(events: DataFrame, keys: list[str], time: str, order: list[str | Column], pattern: Pattern) -> DataFrame:
+    """Batch: ``(*keys, started, ended)`` of every match."""
+    rows = ordered_rows(events, keys, time, order, pattern.bits())
+    block = F.floor(F.col("us_") / F.lit(pattern.within_us))
+    rows = rows.withColumn("_block", F.explode(F.array(block, block - 1)))
+    at = Window.partitionBy(*keys, "_block").orderBy("us_", "order_")
+    after = at.rowsBetween(1, Window.unboundedFollowing)
+    last = len(pattern.steps) - 1
+    rows = rows.withColumn("_end", F.col("us_"))
+    for k in range(last, 0, -1):
+        # The end of a match whose step k is this row, wrapped so that "satisfied, but leads nowhere" is not null.
+        here = F.when(F.col("value_").bitwiseAND(F.lit(1 << k)) != 0, F.struct("_end"))
+        nxt = F.lead(here).over(at) if pattern.steps[k].strict else F.first(here, ignorenulls=True).over(after)
+        rows = rows.withColumn("_end", nxt["_end"])
+    starts = (F.col("value_").bitwiseAND(F.lit(1)) != 0) & (F.floor(F.col("us_") / F.lit(pattern.within_us)) == F.col("_block"))
+    return rows.where(starts & (F.col("_end") - F.col("us_") < pattern.within_us)).select(
+        *keys, F.col(time).alias("started"), F.timestamp_micros("_end").alias("ended"))
+
+
+class PatternProcessor(OrderedProcessor):
+    """State of a key: its partial matches, as the number of the step they wait for and their first row's time."""
+
+    def __init__(self, keys: list[str], strict: list[bool], within_us: int, bucket_us: int):
+        super().__init__(bucket_us)
+        self.columns = [*keys, "start_us", "end_us"]
+        self.strict, self.within_us = strict, within_us
+
+    def open(self, handle):
+        self.partial = handle.getListState("partial", "step int, us long")
+
+    def load(self, key):
+        return list(self.partial.get()) if self.partial.exists() else []
+
+    def step(self, key, state, us, order, value):
+        kept, done = [], []
+        for at, start in state:
+            if us - start >= self.within_us:
                 continue
-            ts, _, _, status = row
-            if last_status == "added" and status == "removed" and ts - last_us < within_us:
-                matches.append((repo, filename))
-            last_status, last_us = status, ts
-        if rest:
-            state.update((last_status, last_us, [r[0] for r in rest], [r[1] for r in rest],
-                          [r[2] for r in rest], [r[3] for r in rest]))
-            state.setTimeoutTimestamp(rest[0][0] // 1000 + 1)
-        elif last_status == "added" and last_us + within_us > wm_us:
-            state.update((last_status, last_us, [], [], [], []))
-            state.setTimeoutTimestamp((last_us + within_us) // 1000 + 1)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(matches, columns=["repo", "filename"])
-    return step
+            if value >> at & 1:
+                (done if at + 1 == len(self.strict) else kept).append((at + 1, start))
+            elif not self.strict[at]:
+                kept.append((at, start))
+        if value & 1:
+            (done if len(self.strict) == 1 else kept).append((1, us))
+        state[:] = kept
+        return [(start, us) for _, start in done]
+
+    def store(self, key, state, horizon_us):
+        state = [(int(at), int(start)) for at, start in state if start + self.within_us > horizon_us]
+        if state:
+            self.partial.put(state)
+            return min(start for _, start in state) + self.within_us
+        self.partial.clear()
+        return None
+
+
+def pattern_stream(events: DataFrame, keys: list[str], time: str, order: list[str | Column], pattern: Pattern,
+                   bucket_seconds: int | None = None) -> DataFrame:
+    """Stream: the same rows as :func:`pattern_matches`; ``time`` has a watermark. Key columns are text.
+
+    ``bucket_seconds`` is how finely waiting rows are grouped (the time limit, if not given).
+    """
+    bucket = (bucket_seconds or pattern.within_seconds) * 1_000_000
+    rows = ordered_rows(events, keys, time, order, pattern.bits())
+    processor = PatternProcessor(keys, [s.strict for s in pattern.steps], pattern.within_us, bucket)
+    schema = ", ".join(f"{k} string" for k in keys) + ", start_us long, end_us long"
+    out = rows.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", "eventTime")
+    return out.select(*keys, F.timestamp_micros("start_us").alias("started"), F.timestamp_micros("end_us").alias("ended"))
+
+
+FILE_KEYS, FILE_ORDER = ["repo", "filename"], ["sha", "file_sha", "status"]
+
+
+def added_removed_pattern(within_seconds: int = 86400) -> Pattern:
+    """``added``, directly followed by ``removed``, less than a day later."""
+    return Pattern((Step(F.col("status") == "added"), Step(F.col("status") == "removed", strict=True)), within_seconds)
 
 
 def added_then_removed_stream(commits: DataFrame, within_seconds: int = 86400) -> DataFrame:
     """T7 on a streaming commit DataFrame that has ``ts`` and a watermark on it."""
-    rows = added_removed_rows(commits).withColumn("ts_us", F.unix_micros("ts"))
-    return rows.groupBy("repo", "filename").applyInPandasWithState(
-        _make_state_fn(within_seconds * 1_000_000), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.EventTimeTimeout)
+    return pattern_stream(added_removed_rows(commits), FILE_KEYS, "ts", FILE_ORDER,
+                          added_removed_pattern(within_seconds)).select("repo", "filename")
+
+
+def reworked_pattern(least_changes: int = 60, within_seconds: int = 60 * 86400) -> Pattern:
+    """A file is added, some time later changed at large, and the change directly followed by its removal."""
+    large = (F.col("status") == "modified") & (F.col("changes") > least_changes)
+    return Pattern((Step(F.col("status") == "added"), Step(large), Step(F.col("status") == "removed", strict=True)),
+                   within_seconds)
+
+
+def _change_order() -> list[str | Column]:
+    """Rows that agree in everything else are ordered by their changes."""
+    return [*FILE_ORDER, F.lpad(F.col("changes").cast("string"), 20, "0")]
+
+
+def reworked_files(commits: DataFrame, **limits) -> DataFrame:
+    return pattern_matches(status_rows(commits), FILE_KEYS, "ts", _change_order(), reworked_pattern(**limits))
+
+
+def reworked_files_stream(commits: DataFrame, **limits) -> DataFrame:
+    return pattern_stream(status_rows(commits), FILE_KEYS, "ts", _change_order(), reworked_pattern(**limits))
