@@ -207,6 +207,14 @@ def stream_weekly_java_continent(spark, sf):
     return runner.run_append(spark, [weekly(joined), weekly(tail)], "t6-week")
 
 
+@register("stream_weekly_java_continent_chained", SQL_WEEKLY)
+def stream_weekly_java_continent_chained(spark, sf):
+    """T6 as one running query: interval join, event time of the join's output, weekly windows."""
+    from commitlens.streaming import runner
+    joined = S.geo_join(S.file_changes(_commits(spark, sf)), _geo(spark, sf))
+    return runner.run_append(spark, [S.weekly_changes_chained(joined)], "t6-chain")
+
+
 @register("stream_added_removed", SQL_ADDED_REMOVED)
 def stream_added_removed(spark, sf):
     from commitlens.streaming import runner

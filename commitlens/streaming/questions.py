@@ -140,3 +140,16 @@ def added_then_removed(commits: DataFrame, within_seconds: int = 86400) -> DataF
                       & (gap < F.lit(within_seconds * 1_000_000)))
             .select("repo", "filename"))
 
+
+
+def weekly_changes_chained(joined: DataFrame, delay_key: str = "sha") -> DataFrame:
+    """T6 / D-18 on a stream, in the same query as its join: weekly summed changes per continent by the time of the join's
+    output, the later of the two times.
+
+    A stream's event time cannot be redefined by a projection, so a keyed operator without state stands between join and
+    window: it passes its rows on and declares ``event_ts`` their event time (:class:`RestampProcessor`). Watermarks
+    propagate join -> restamp -> window. Rows are dealt by ``delay_key``, which no row has in common with many others.
+    """
+    from commitlens.streaming.restamp import restamped
+    rows = joined.select(F.col(delay_key), "event_ts", "continent", "changes")
+    return weekly_changes(restamped(rows, delay_key, "event_ts"))
