@@ -284,3 +284,92 @@ def stream_ext_status_changelog(spark, sf):
     from commitlens.streaming import runner
     from commitlens.streaming.changelog import ext_status_changelog_stream
     return runner.run_append(spark, [ext_status_changelog_stream(_commits(spark, sf))], "t2-log")
+
+
+# ---------------------------------------------------------------- late rows and messages that cannot be read
+
+# Fixed rules of the message feed: which commits arrive after all others, and which messages are cut off.
+HELD_EVERY, CUT_EVERY = 50, 17
+_ROUTED: dict[tuple, str] = {}
+_DELAY: dict[str, str] = {}
+
+_KINDS = W + f"""
+, u AS (SELECT *, epoch_us(committer_ts) AS us, k % {CUT_EVERY} = 0 AS cut, k % {HELD_EVERY} = 0 AS held FROM cm),
+w AS (SELECT 2 * ((max(us) - min(us)) // {SLICES} + 1) AS delay,
+             max(us) FILTER (NOT cut AND NOT held) AS high FROM u),
+kinds AS (SELECT u.*, CASE WHEN cut THEN 'bad' WHEN held AND us <= high - delay THEN 'late' ELSE 'good' END AS kind
+          FROM u, w)
+"""
+
+
+def _number(sha="sha"):
+    return F.substring(sha, 2, 18).cast("long")
+
+
+def _routed_root(spark, sf):
+    """The commit view as a message feed, routed once per application and view: the slices, then the held-back commits,
+    then the sentinel."""
+    from commitlens.schemas import COMMIT
+    from commitlens.session import path_exists, scratch_path
+    from commitlens.streaming import routing, runner
+    commits = landed_commits(spark, sf)
+    key = (spark.sparkContext.applicationId, *sorted(commits.inputFiles()))
+    if key not in _ROUTED or not path_exists(spark, _ROUTED[key]):
+        folder = scratch_path(spark, "message-feed")
+        held = F.col("held")
+        rows = runner.message_rows(commits.select(*COMMIT.names), _number() % CUT_EVERY == 0).withColumn(
+            "held", F.regexp_extract("value", '"sha":"c([0-9]+)"', 1).cast("long") % HELD_EVERY == 0)
+        write = lambda part: part.write.mode("append").text(folder)
+        feed = runner.land(rows, folder, SLICES, "date", None, lambda part: write(part.where(~held).select("value")))
+
+        def late():
+            write(rows.where(held).select("value"))
+            return routing.message_stream(spark, folder)
+
+        def end():
+            write(runner.sentinel_commit(spark).select(F.to_json(F.struct("*")).alias("value")))
+            return routing.message_stream(spark, folder)
+
+        _ROUTED[key] = runner.run_router(
+            spark, [lambda: routing.message_stream(spark, folder, feed.files_per_trigger), late, end],
+            F.col("record.commit.committer.date"), feed.delay_us, "route")
+        _DELAY[_ROUTED[key]] = feed.delay
+    return _ROUTED[key]
+
+
+@register("stream_message_kinds", _KINDS + "SELECT kind, sha FROM kinds")
+def stream_message_kinds(spark, sf):
+    """Every message is in exactly one table: good, late, or bad with its text."""
+    from commitlens.streaming import routing, runner
+    root = _routed_root(spark, sf)
+    parts = [routed.select(F.lit(kind).alias("kind"), sha.alias("sha")) for kind, routed, sha in (
+        ("good", routing.routed(spark, root, "good").where(F.col("sha") != runner.SENTINEL_SHA), F.col("sha")),
+        ("late", routing.routed(spark, root, "late"), F.col("sha")),
+        ("bad", routing.routed(spark, root, "bad"), F.regexp_extract(routing.RAW, '"sha":"(c[0-9]+)"', 1)))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@register("stream_late_rows", _KINDS + f"""
+SELECT strftime(committer_ts, '%d-%m-%Y') AS date, count(*) AS n, CAST(sum(total) AS BIGINT) AS changes
+FROM kinds WHERE kind = 'late' GROUP BY 1""")
+def stream_late_rows(spark, sf):
+    """The late rows, kept in a table of their own, by day."""
+    from commitlens.streaming import routing
+    late = S.with_event_time(routing.routed(spark, _routed_root(spark, sf), "late"))
+    return late.groupBy(F.date_format("ts", "dd-MM-yyyy").alias("date")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("stats.total").alias("changes"))
+
+
+@register("stream_daily_with_late", _KINDS + """
+SELECT strftime(committer_ts, '%d-%m-%Y') AS date, count(*) AS n, count(*) FILTER (kind = 'late') AS late
+FROM kinds WHERE kind <> 'bad' GROUP BY 1""")
+def stream_daily_with_late(spark, sf):
+    """T3 over the routed stream, corrected by the late rows: no commit is lost."""
+    from commitlens.streaming import routing, runner
+    root = _routed_root(spark, sf)
+    good = S.with_event_time(routing.routed_stream(spark, root)).withWatermark("ts", _DELAY[root])
+    timely = runner.run_append(spark, [S.daily_commits(good)], "routed-days")
+    late = S.with_event_time(routing.routed(spark, root, "late")).select(F.date_format("ts", "dd-MM-yyyy").alias("date"))
+    both = timely.withColumn("late", F.lit(0)).unionByName(
+        late.groupBy("date").agg(F.count(F.lit(1)).alias("n")).withColumn("late", F.col("n")))
+    return both.groupBy("date").agg(F.sum("n").alias("n"), F.sum("late").alias("late"))

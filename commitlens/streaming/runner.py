@@ -22,7 +22,7 @@ import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
@@ -71,9 +71,12 @@ class Feed:
         return f"{self.delay_us} microseconds"
 
 
-def land(df: DataFrame, folder: str, n_slices: int, time_col: str, sentinel: DataFrame | None) -> Feed:
+def land(df: DataFrame, folder: str, n_slices: int, time_col: str, sentinel: DataFrame | None,
+         write: Callable[[DataFrame], None] | None = None) -> Feed:
     """Replay ``df`` as a feed: ``n_slices`` equal-width event-time slices, written one after another.
 
+    ``write`` appends a slice to the folder (JSON lines, if not given).
+
     A slice is a range of ``time_col``, which a stored table's statistics serve, so the table is read about once. The
     rows of a slice are rebalanced, so its number of files follows its bytes. Equal timestamps always share a slice.
     """
@@ -87,7 +90,11 @@ def land(df: DataFrame, folder: str, n_slices: int, time_col: str, sentinel: Dat
     for i in range(n_slices):
         start, stop = (F.timestamp_micros(F.lit(lo + width * k)) for k in (i, i + 1))
         part = df.where((F.col(time_col) >= start) & (F.col(time_col) < stop))
-        part.hint("rebalance").write.mode("append").json(folder)
+        part = part.hint("rebalance")
+        if write is None:
+            part.write.mode("append").json(folder)
+        else:
+            write(part)
         now = len(files_under(spark, folder))
         most, done = max(most, now - done), now
     if sentinel is not None:
@@ -197,6 +204,30 @@ def run_update(spark: SparkSession, out: DataFrame, keys: list[str], name: str)
     return latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
+def run_router(spark: SparkSession, arrivals: list[Callable[[], DataFrame]], time: Column, delay_us: int,
+               name: str) -> str:
+    """Drain message streams into the tables of :mod:`commitlens.streaming.routing`; return their root folder.
+
+    ``arrivals`` are the same stream at several times: each call may bring further files before it returns the stream.
+    """
+    from commitlens.streaming import routing
+    late_row_listener(spark)
+    checkpoint_root(spark)
+    root, checkpoint = scratch_path(spark, f"{name}-routed"), scratch_path(spark, f"{name}-ckpt")
+    for arrive in arrivals:
+        _finish(spark, routing.parsed(arrive()).writeStream.foreachBatch(routing.router(root, time, delay_us))
+                .option("checkpointLocation", checkpoint), name)
+    return root
+
+
+def message_rows(commits: DataFrame, cut: Column) -> DataFrame:
+    """Commits as text messages ``(value, date)``; those that ``cut`` names are broken off in the middle."""
+    rows = commits.select(F.to_json(F.struct("*")).alias("value"), cut.alias("cut"),
+                          F.col("commit.committer.date").alias("date"))
+    half = F.expr("substring(value, 1, length(value) div 2)")
+    return rows.select(F.when(F.col("cut"), half).otherwise(F.col("value")).alias("value"), "date")
+
+
 def commit_stream(spark: SparkSession, feed: Feed) -> DataFrame:
     """S2 over a landed feed."""
     return stream_commits(spark, feed.folder, feed.files_per_trigger)
