@@ -8,7 +8,7 @@ from commitlens.operators import commits as Q
 from commitlens.operators import graph, lineage, stats
 from commitlens.operators.ordered import global_row_number
 from commitlens.plans.registry import ext_sql, md5_long_sql, register, ts_sql
-from commitlens.plans.testbed import ORACLE_CTE, landed_commits
+from commitlens.plans.testbed import ORACLE_CTE, VIEW_TABLES, landed_commits
 from commitlens.sources import commits as commit_source
 from commitlens.sources.text import read_lines
 
@@ -287,6 +287,37 @@ def commit_parsed_lines(spark, sf):
     return parsed.select("sha", "url", F.col("commit.committer.date").alias("date"))
 
 
+def _dump(spark, sf, drift):
+    """The commits as one JSON array in one file, written once per application and view; with ``drift``, another field and
+    another type in some records."""
+    from commitlens.schemas import COMMIT
+    from commitlens.session import landed_view
+    from commitlens.sources.dump import write_dump
+    rows = landed_commits(spark, sf).select(*COMMIT.names)
+    if drift:
+        odd = F.substring("sha", 2, 18).cast("long") % 97 == 0
+        rows = rows.withColumn("branch", F.when(odd, "main")).withColumn("node_id", F.length("node_id"))
+    return landed_view(spark, f"commit-dump-{drift}", sf, VIEW_TABLES, lambda path: write_dump(rows, path))
+
+
+@register("commit_dump_shas", W + f"SELECT sha, url, total, {ts_sql('committer_ts')} AS date FROM cm")
+def commit_dump_shas(spark, sf):
+    """A dump as one JSON array in one file, read by several tasks."""
+    from commitlens.sources.dump import read_dump
+    return read_dump(spark, _dump(spark, sf, False)).select(
+        "sha", "url", F.col("stats.total").alias("total"), F.col("commit.committer.date").alias("date"))
+
+
+@register("commit_dump_drift", """
+SELECT * FROM (VALUES ('branch', NULL, 'string', 'new'), ('node_id', 'string', 'bigint', 'type'),
+  ('commit.verification.signature', 'string', NULL, 'missing'), ('commit.verification.payload', 'string', NULL, 'missing'),
+  ('files[].patch', 'string', NULL, 'missing')) AS t(field, expected, found, drift)""")
+def commit_dump_drift(spark, sf):
+    """Where the schema of all records differs from the declared one."""
+    from commitlens.sources.dump import read_dump_records, schema_drift
+    return schema_drift(spark, read_dump_records(spark, _dump(spark, sf, True))).where("drift <> 'same'")
+
+
 def _json_lines(spark, sf, cut):
     """Path of the landed commits written as JSON text lines."""
     from commitlens.session import scratch_path
