@@ -5,19 +5,22 @@ an undefined item (the optional-number lists). Keys of all sequences, empty ones
 ``seq_id`` DataFrame where a question must answer for empty sequences too.
 
 The work is grouped aggregation, joins and windows; positional renumbering runs inside blocks of positions
-(:func:`row_number_within`), so one enormous sequence is not one task. Only the folds with an arbitrary function (L18)
-hold one sequence's values together (``collect_list``): nothing can be known of such a fold before its items are in
-order, so their size bound is the longest sequence. Affine folds hold one block of positions.
+(:func:`row_number_within`), so one enormous sequence is not one task. Folds whose steps can be combined (affine ones, and
+any others by :mod:`scan`) hold one block of positions. Only the folds with an arbitrary function (L18) hold one
+sequence's values together (``collect_list``): nothing can be known of such a fold before its items are in order, so
+their size bound is the longest sequence.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.operators.ordered import BLOCK, position_block, row_number_within
+from commitlens.operators.scan import fold_elements, scan_elements
+from commitlens.session import landed
 
 INT_MIN = -2147483648
 Pred = Callable[[Column], Column]
@@ -183,10 +186,10 @@ def fold_affine(seqs: DataFrame, keys: DataFrame, init: int, a: int, modulus: in
     ``%`` is the remainder with the sign of the dividend, as in :func:`fold_left`. A sequence is folded in blocks of
     ``block`` positions, each by itself, so no list is longer than a block:
 
-    1. a block is one map ``acc -> A * acc + B`` (mod m); the maps of the blocks before it give every block the residue
+    1. a block is one map ``acc -> A * acc + B`` (mod m); a scan of these maps (:mod:`scan`) gives every block the residue
        that it starts from;
     2. with a modulus that residue stands for two accumulators (``r`` and ``r - m``), so each block is folded from both
-       (the first from ``init``), and the results are chained over the blocks of a sequence.
+       (the first from ``init``); these pairs are combined over the blocks of a sequence.
 
     Without a modulus only ``a`` in -1, 0, 1 is taken: a larger power of ``a`` overflows although the result may not.
     """
@@ -203,33 +206,74 @@ def fold_affine(seqs: DataFrame, keys: DataFrame, init: int, a: int, modulus: in
         return F.aggregate(values, start, lambda acc, x: (acc * a + x) % modulus if modulus else acc * a + x)
 
     items = F.sort_array(F.collect_list(F.struct("pos", F.col("value").cast("long").alias("v"))), asc=not from_right)
-    blocks = seqs.groupBy("seq_id", F.floor(F.col("pos") / F.lit(block)).alias("_b")).agg(
+    blocks = seqs.groupBy("seq_id", F.expr(f"pos div {block}").alias("pos")).agg(
         F.transform(items, lambda s: s["v"]).alias("_vs"))
     map_of = F.aggregate("_vs", F.struct(one.alias("A"), zero.alias("B")), lambda st, x: F.struct(
         residue(st["A"] * a).alias("A"), residue(st["B"] * a + residue(x)).alias("B")))
+    blocks = landed(blocks.select("seq_id", "pos", "_vs", map_of.alias("e")), "fold-blocks")
+    maps = blocks.select("seq_id", "pos", "e")
+
+    def after(x: Column, y: Column) -> Column:
+        return F.struct(residue(x["A"] * y["A"]).alias("A"), residue(x["B"] * y["A"] + y["B"]).alias("B"))
+
+    start = F.lit(init).cast("long")
     if modulus is None:
-        chained = F.sort_array(F.collect_list(F.struct("_b", map_of.alias("m"))), asc=not from_right)
-        total = F.aggregate(chained, F.lit(init).cast("long"), lambda acc, c: c["m"]["A"] * acc + c["m"]["B"])
+        total = fold_elements(maps, after, block, from_right).select(
+            "seq_id", (F.col("e.A") * start + F.col("e.B")).alias("result"))
     else:
-        order = F.col("_b").desc() if from_right else F.col("_b").asc()
-        earlier = Window.partitionBy("seq_id").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        blocks = blocks.withColumn("m", map_of)
-        maps = blocks.select("seq_id", "_b", F.collect_list("m").over(earlier).alias("_before"))
-        starts = maps.select("seq_id", "_b", F.aggregate("_before", residue(F.lit(init).cast("long")), lambda acc, m: (
-            residue(m["A"] * acc + m["B"]))).alias("_r"), (F.size("_before") == 0).alias("_first"))
-        ends = blocks.join(starts, ["seq_id", "_b"]).select(
-            "seq_id", "_b", "_first", run(F.col("_vs"), F.when(F.col("_first"), F.lit(init)).otherwise(F.col("_r"))
-                                          .cast("long")).alias("_up"),
-            run(F.col("_vs"), F.when(F.col("_first"), F.lit(init)).otherwise(F.col("_r") - modulus).cast("long"))
-            .alias("_down"))
-        chained = F.sort_array(F.collect_list(F.struct("_b", "_up", "_down")), asc=not from_right)
-        # A negative accumulator is r - m, any other is r; zero is its own residue either way.
-        total = F.aggregate(chained, F.lit(init).cast("long"), lambda acc, c: F.when(
-            acc < 0, c["_down"]).otherwise(c["_up"]))
-        blocks = ends
-    per_seq = blocks.groupBy("seq_id").agg(total.alias("result"))
-    return keys.join(per_seq, "seq_id", "left").select(
-        "seq_id", F.coalesce("result", F.lit(init).cast("long")).alias("result"))
+        before = scan_elements(maps, after, block, from_right)
+        starts = before.select("seq_id", "pos", F.coalesce(
+            residue(F.col("before.A") * residue(start) + F.col("before.B")), residue(start)).alias("_r"),
+            F.col("before").isNull().alias("_first"))
+        # A negative accumulator is r - m, any other is r; a block is what it makes of either. The first block starts from
+        # ``init`` whichever it is called with.
+        up = run(F.col("_vs"), F.when(F.col("_first"), start).otherwise(F.col("_r")))
+        down = run(F.col("_vs"), F.when(F.col("_first"), start).otherwise(F.col("_r") - modulus))
+        ends = blocks.join(starts, ["seq_id", "pos"]).select("seq_id", "pos", F.struct(up.alias("up"), down.alias("down"))
+                                                            .alias("e"))
+
+        def then(x: Column, y: Column) -> Column:
+            return F.struct(*[F.when(x[k] < 0, y["down"]).otherwise(y["up"]).alias(k) for k in ("up", "down")])
+
+        total = fold_elements(landed(ends, "fold-ends"), then, block, from_right).select(
+            "seq_id", F.col("e.up").alias("result"))
+    return keys.join(total, "seq_id", "left").select("seq_id", F.coalesce("result", start).alias("result"))
+
+
+def reset_lift(value: Column, reset: Column) -> Column:
+    """A step of :func:`reset_after`: the largest value so far, or nothing where ``reset`` holds."""
+    return F.struct(F.coalesce(reset, F.lit(False)).alias("reset"),
+                    F.when(reset, F.lit(None)).otherwise(value).cast("long").alias("best"))
+
+
+def reset_after(x: Column, y: Column) -> Column:
+    """Maximum that starts anew at a reset: ``y`` alone where it holds one."""
+    return F.struct((x["reset"] | y["reset"]).alias("reset"),
+                    F.when(y["reset"], y["best"]).otherwise(F.greatest(x["best"], y["best"])).alias("best"))
+
+
+def flatten_any(nested: DataFrame, column: str = "items") -> DataFrame:
+    """L17 for lists of any depth: ``(seq_id, path, value)`` of a VARIANT column that holds lists of values and lists.
+
+    ``path`` is the position in each list from the outermost in; ordering by it is the flat order. Every round opens the
+    outermost lists that are left and writes them, until none is; a round reads only what is still a list. Empty lists
+    and a null column give no rows; JSON nulls and objects are values. ``value`` stays a VARIANT.
+    """
+    spark = nested.sparkSession
+    is_list = F.schema_of_variant("v").startswith("ARRAY")
+    rows = nested.where(F.col(column).isNotNull()).select(
+        "seq_id", F.array().cast("array<int>").alias("path"), F.col(column).alias("v"))
+    leaves = rows.where(~is_list)
+    lists = landed(rows.where(is_list), "nested-0")
+    level = 0
+    while not lists.isEmpty():
+        level += 1
+        opened = lists.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).toDF("at", "key", "inner"))
+        opened = landed(opened.select("seq_id", F.concat("path", F.array("at")).alias("path"), F.col("inner").alias("v")),
+                        f"nested-{level}")
+        leaves = leaves.unionByName(opened.where(~is_list))
+        lists = opened.where(is_list)
+    return leaves.select("seq_id", "path", F.col("v").alias("value"))
 
 
 def zip_sequences(xs: DataFrame, ys: DataFrame) -> DataFrame:

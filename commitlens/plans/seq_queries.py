@@ -188,6 +188,72 @@ def seq_fold_right_any(spark, sf):
     return L.fold_right(_signed(spark, sf), order_keys(spark, sf), F.lit(5).cast("long"), lambda x, acc: _step(acc, x))
 
 
+@register("seq_fold_max_reset", W + """
+, l AS (SELECT seq_id, list({'v': value, 'z': rf = 'R'} ORDER BY pos) AS vs FROM sq GROUP BY seq_id)
+SELECT ks.seq_id, coalesce(list_reduce(list_transform(l.vs, lambda s: CASE WHEN s.z THEN NULL ELSE s.v END),
+         lambda acc, x: CASE WHEN x IS NULL THEN 0 ELSE greatest(acc, x) END, 0), 0) AS result
+FROM ks LEFT JOIN l ON ks.seq_id = l.seq_id""")
+def seq_fold_max_reset(spark, sf):
+    """L18 by a step that forgets: the maximum since the last returned item, in blocks of two positions."""
+    from commitlens.operators.scan import fold_steps
+    from commitlens.operators.sequences import reset_after, reset_lift
+    return fold_steps(quantities(spark, sf), order_keys(spark, sf), lambda _: reset_lift(F.col("value"), F.col("rf") == "R"),
+                      reset_after, lambda e: F.greatest(e["best"], F.lit(0)), F.lit(0).cast("long"), block=2)
+
+
+@register("seq_fold_text_length", W + """
+, l AS (SELECT seq_id, list(value ORDER BY pos) AS vs FROM sq GROUP BY seq_id)
+SELECT ks.seq_id, coalesce(length(list_reduce(list_transform(l.vs, lambda x: CAST(x AS VARCHAR)),
+                                              lambda acc, x: acc || ',' || x, '')), 0) AS result
+FROM ks LEFT JOIN l ON ks.seq_id = l.seq_id""")
+def seq_fold_text_length(spark, sf):
+    """The length of the text that a fold would have built."""
+    from commitlens.operators.scan import fold_steps
+    return fold_steps(q(spark, sf), order_keys(spark, sf),
+                      lambda _: (F.length(F.col("value").cast("string")) + 1).cast("long"), lambda x, y: x + y,
+                      lambda e: e, F.lit(0).cast("long"), block=3)
+
+
+@register("seq_fold_one_sequence", W + """
+SELECT list_reduce(list(value ORDER BY seq_id, pos), lambda acc, x: (acc * 31 + x) % 1000003, 7) AS result FROM sq""")
+def seq_fold_one_sequence(spark, sf):
+    """L18 over all items as one sequence, spread over blocks."""
+    from commitlens.operators.ordered import global_row_number
+    rows = global_row_number(q(spark, sf).withColumnRenamed("seq_id", "s"), ["s", "pos"], "at")
+    one = rows.select(F.lit(0).alias("seq_id"), (F.col("at") - 1).alias("pos"), "value")
+    return L.fold_affine(one, spark.range(1).select(F.lit(0).alias("seq_id")), 7, 31, modulus=1000003, block=4096).select(
+        "result")
+
+
+# Items of the nested lists by (order + position) % 4, as text patterns with %s for the value.
+_NESTS = ["%s", "[%s,[%s]]", "[[[%s]],[]]", "[%s,[],[[%s,[%s]]]]"]
+_NEST_SQL = " ".join(f"WHEN {k} THEN replace('{x}', '%s', CAST(value AS VARCHAR))" for k, x in enumerate(_NESTS))
+
+
+@register("seq_flatten_any", "WITH RECURSIVE " + ORACLE_CTE + f"""
+, t AS (SELECT seq_id, '[' || string_agg(CASE (seq_id + pos) % 4 {_NEST_SQL} END, ',' ORDER BY pos) || ']' AS j
+        FROM sq GROUP BY seq_id),
+r(seq_id, path, v) AS (
+  SELECT seq_id, CAST([] AS BIGINT[]), CAST(j AS JSON) FROM t
+  UNION ALL
+  SELECT seq_id, list_append(path, i), json_extract(v, '$[' || i || ']')
+  FROM (SELECT *, unnest(range(json_array_length(v)::BIGINT)) AS i FROM r WHERE json_type(v) = 'ARRAY'))
+SELECT seq_id, row_number() OVER (PARTITION BY seq_id ORDER BY path) - 1 AS pos, CAST(v AS BIGINT) AS value
+FROM r WHERE json_type(v) <> 'ARRAY'""")
+def seq_flatten_any(spark, sf):
+    """L17 on lists of mixed depth."""
+    from commitlens.operators.ordered import row_number_within
+    kind = (F.col("seq_id") + F.col("pos")) % 4
+    item = F.coalesce(*[F.when(kind == k, F.replace(F.lit(x), F.lit("%s"), F.col("value").cast("string")))
+                        for k, x in enumerate(_NESTS)])
+    items = F.transform(F.array_sort(F.collect_list(F.struct("pos", item.alias("t")))), lambda s: s["t"])
+    lists = quantities(spark, sf).groupBy("seq_id").agg(
+        F.parse_json(F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))).alias("items"))
+    flat = L.flatten_any(lists)
+    numbered = row_number_within(flat, ["seq_id"], ["path"], F.expr("get(path, 0) div 65536"), name="rn")
+    return numbered.select("seq_id", (F.col("rn") - 1).alias("pos"), F.expr("variant_get(value, '$', 'bigint')").alias("value"))
+
+
 @register("seq_zip", W + """
 SELECT a.seq_id, a.pos, a.value AS left_value, b.value AS right_value FROM co a JOIN ev b
   ON a.seq_id = b.seq_id AND a.pos = b.pos""")

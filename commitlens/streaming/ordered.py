@@ -4,7 +4,7 @@ Rows of a key wait in RocksDB until the watermark has passed them, grouped by a
 it brings for a bucket is one new entry, and nothing that waits is read or written again. One timer a key wakes it when its
 earliest bucket is complete; then the complete buckets are read one after the other, sorted and handed on row by row. So
 memory holds one bucket of one key, the state holds the rows inside the watermark delay, and the arrival order inside or
-across micro-batches does not matter.
+across micro-batches does not matter. Rows reach Python by way of pandas, so their times lie in the years 1678 to 2261.
 
 Rows carry their order as text (``order_``), which makes equal times a total order, and a ``value_`` that the subclass
 understands; both are computed by Spark before.
