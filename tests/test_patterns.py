@@ -17,7 +17,9 @@ HOUR = 3600
 
 def _events(n, seed, keys=3, spread=40):
     rng = random.Random(seed)
-    return [(f"k{rng.randrange(keys)}", rng.randrange(spread) * HOUR, f"e{i:03d}", rng.choice("abcx")) for i in range(n)]
+    # Not from the epoch itself, where a stream's first watermark stands.
+    return [(f"k{rng.randrange(keys)}", (240 + rng.randrange(spread)) * HOUR, f"e{i:03d}", rng.choice("abcx"))
+            for i in range(n)]
 
 
 def _plain(events, steps, within):
@@ -73,7 +75,7 @@ def test_stream_patterns_out_of_order(spark, case, bucket):
     events = _events(120, 7)
     folder = scratch_path(spark, "events")
     rng = random.Random(3)
-    at = [min(e[1] // (10 * HOUR) + (rng.random() < 0.3), 3) for e in events]
+    at = [min(e[1] // (10 * HOUR) - 24 + (rng.random() < 0.3), 3) for e in events]
     for i in range(4):
         _frame(spark, [e for e, a in zip(events, at) if a == i]).coalesce(1).write.mode("append").parquet(folder)
     for _ in range(2):
