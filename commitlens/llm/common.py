@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from commitlens.session import landed
 
-__all__ = ["arrow_map", "binary_texts", "byte_chunks", "flat_words", "landed", "mix", "odd_constants", "stream_groups",
+__all__ = ["arrow_map", "binary_texts", "byte_chunks", "flat_words", "landed", "mix", "odd_constants", "quoted", "stream_groups",
            "table", "word_hashes"]
 
 #: Bytes of an Arrow batch where the session sets none.
@@ -24,6 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def quoted(name: str) -> str:
+    """A column's name as part of a path, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def arrow_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     """``mapInArrow`` over batches bounded in bytes: texts differ widely in length, and the default of 64 MB a batch is
     held several times over by the task and its Python worker. A limit that the session sets itself stands."""

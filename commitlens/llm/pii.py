@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import landed
-from commitlens.llm.spans import found, gaps, kind_count, match_ends, span_text
+from commitlens.llm.common import landed, quoted
+from commitlens.llm.spans import found, gaps, kind_count, match_ends, prefix_max, span_text
 
 #: Fixed patterns. A base match that fails its check is dropped, not retried. ``\G`` lets a match begin inside a run
 #: right after the match before; otherwise runs are entered at their first character only, which keeps scans linear.
@@ -122,9 +122,11 @@ def judged_matches(kind: str, match: Column, gap: Column, end: Column) -> Column
     return F.filter(F.transform(match, one), lambda s: s["ok"])
 
 
-def candidates(docs: DataFrame) -> DataFrame:
-    """One row per input row: ``(row_id, doc_id, base, added)``."""
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+def candidates(docs: DataFrame, carry: bool = False) -> DataFrame:
+    """One row per input row: ``(row_id, doc_id, base, added)``, with the whole input row as the struct ``doc`` where
+    ``carry`` asks for it."""
+    whole = [F.struct("*").alias("doc")] if carry else []
+    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *whole)
     rows = rows.select("*", *[found("text", p).alias(f"{k}_match") for k, p in PATTERNS.items()])
     rows = rows.select("*", *[gaps(F.col("text"), p, F.col(f"{k}_match")).alias(f"{k}_gap")
                               for k, p in PATTERNS.items()])
@@ -135,7 +137,7 @@ def candidates(docs: DataFrame) -> DataFrame:
                                    for k in kinds]))
 
     return rows.select(F.monotonically_increasing_id().alias("row_id"), "doc_id",
-                       spans(BASE).alias("base"), spans(ADDED).alias("added"))
+                       spans(BASE).alias("base"), spans(ADDED).alias("added"), *(["doc"] if carry else []))
 
 
 def reliabilities(patterns: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
@@ -232,41 +234,40 @@ def personal_spans(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
         F.coalesce("n_confirmed", F.lit(0)).cast("long").alias("n_confirmed"))
 
 
-#: Order in which redaction looks for the kinds: a kind that another could swallow comes first.
-REDACTION_ORDER = ["email", "obfuscated", "iban", "card", "ssn", "phone", "local_phone", "ip"]
+def without_spans(text: Column, spans: Column) -> Column:
+    """``text`` with the spans ``(start, end, no)`` replaced by their kinds. Of spans that overlap, the first one (by start,
+    then kind) names what is replaced, and all that any of them covers is replaced."""
+    order = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"], s["no"], s["end"])))
+    ends = prefix_max(F.transform(order, lambda s: s["end"]))
+    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+
+    def piece(s: Column, i: Column) -> Column:
+        before = F.when(i > 0, F.get(ends, i - 1)).otherwise(0)
+        kept = F.when(s["start"] > before, F.substring(text, before + 1, s["start"] - before)).otherwise("")
+        return F.concat(kept, F.when(s["start"] >= before, F.get(names, s["no"] - 1)).otherwise(""))
+
+    rest = F.substring(text, F.get(ends, F.size(ends) - 1) + 1, F.length(text))
+    return F.when(F.size(order) > 0, F.concat(F.array_join(F.transform(order, piece), ""), rest)).otherwise(text)
 
 
 def redacted(docs: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
     """``docs`` with every base match and every accepted wider match in ``text`` replaced by its kind (``[EMAIL]``).
 
-    The kinds are sought one after the other in what the earlier ones left, so overlapping matches are covered too.
-    Null texts stay null, other columns are untouched, rows are never dropped. What the classifier accepts is one array
-    of at most ``kinds * 3^4 * features`` codes, read as a scalar subquery.
+    The spans are those of :func:`personal_spans`, judged once on the text as it came. Null texts stay null, other columns
+    are untouched whatever their names, rows are never dropped or merged; an empty table gives an empty result. What the
+    classifier accepts is one array of at most ``kinds * 3^4 * features`` codes, read as a scalar subquery.
     """
-    each = candidates(docs).select(F.explode(F.concat("base", "added")).alias("s")).select("s.*")
-    accepted = landed(accepted_keys(landed(each.select("no", "votes", "features"), "spans"), iterations), "accepted")
-    code = F.concat_ws("/", F.col("no").cast("string"), "votes", "features")
-    known = accepted.where(F.col("no") > len(BASE)).agg(F.collect_set(code).alias("codes")).scalar()
-    free = next(n for n in (f"pii{i}" for i in range(len(docs.columns) + 1)) if not any(
-        c.startswith(n) for c in docs.columns))
-    match, gap, codes = f"{free}_match", f"{free}_gap", f"{free}_codes"
-    rows = docs.withColumn("text", F.col("text").cast("string")).withColumn(codes, known)
-
-    def replaced(kind: str) -> Column:
-        def piece(m, i):
-            before, after = F.right(F.get(gap, i), F.lit(CONTEXT)), F.left(F.get(gap, i + 1), F.lit(CONTEXT))
-            if kind in BASE:
-                good = valid(kind, m)
-            else:
-                voted = F.concat_ws(",", *[v.cast("string") for v in votes(kind, m, before, after)])
-                good = F.array_contains(F.col(codes), F.concat_ws(
-                    "/", F.lit(str(KINDS.index(kind) + 1)), voted, features(m, before, after)))
-            return F.concat(F.get(gap, i), F.when(good, F.lit(f"[{kind.upper()}]")).otherwise(m))
-        return F.array_join(F.transform(match, piece), "")
-
-    for kind in REDACTION_ORDER:
-        rows = rows.withColumn(match, found(F.col("text"), PATTERNS[kind]))
-        rows = rows.withColumn(gap, gaps(F.col("text"), PATTERNS[kind], F.col(match)))
-        rows = rows.withColumn("text", F.when(F.size(match) > 0, F.concat(
-            replaced(kind), F.get(gap, F.size(match)))).otherwise(F.col("text")))
-    return rows.select(*docs.columns)
+    rows = landed(candidates(docs, carry=True), "personal")
+    each = rows.select(F.explode(F.concat("base", "added")).alias("s")).select("s.*")
+    accepted = landed(accepted_keys(each, iterations), "accepted")
+
+    def code(no: Column, votes: Column, features: Column) -> Column:
+        return F.concat_ws("/", no.cast("string"), votes, features)
+
+    known = accepted.where(F.col("no") > len(BASE)).agg(F.collect_set(
+        code(F.col("no"), F.col("votes"), F.col("features"))).alias("codes")).scalar()
+    rows = rows.withColumn("codes", known)
+    more = F.filter("added", lambda s: F.array_contains(F.col("codes"), code(s["no"], s["votes"], s["features"])))
+    text = without_spans(F.col("doc.text").cast("string"), F.concat("base", more))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(f"doc.{quoted(c)}").alias(c)
+                         for c in docs.columns])

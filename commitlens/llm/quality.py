@@ -35,7 +35,7 @@ def figures(docs: DataFrame, host_col: str = "source", carry: bool = False) -> D
     """
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                        F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"),
-                       *([F.struct(*docs.columns).alias("row")] if carry else []))
+                       *([F.struct("*").alias("row")] if carry else []))
     kept = ["doc_id", "host", *(["row"] if carry else [])]
     rows = rows.select(
         *kept,

@@ -6,13 +6,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def prefix_sums(numbers: Column) -> Column:
-    """Running sums of an array by doubling: log2(n) passes, each O(n); a fold that appends would be O(n^2)."""
+def _prefixes(numbers: Column, join) -> Column:
+    """What each element and all before it join to, by doubling: log2(n) passes, each O(n); a fold that appends would be
+    O(n^2). ``join`` takes an element and an earlier one, null where there is none."""
     rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.greatest(F.size(numbers), F.lit(1)))).cast("int"))
     return F.reduce(
         rounds, numbers,
-        lambda acc, k: F.transform(
-            acc, lambda x, i: x + F.coalesce(F.get(acc, (i - F.pow(F.lit(2), k)).cast("int")), F.lit(0))))
+        lambda acc, k: F.transform(acc, lambda x, i: join(x, F.get(acc, (i - F.pow(F.lit(2), k)).cast("int")))))
+
+
+def prefix_sums(numbers: Column) -> Column:
+    """Running sums of an array."""
+    return _prefixes(numbers, lambda x, before: x + F.coalesce(before, F.lit(0)))
+
+
+def prefix_max(numbers: Column) -> Column:
+    """Running maxima of an array."""
+    return _prefixes(numbers, F.greatest)
 
 
 def found(text: Column, pattern: str, group: int = 0) -> Column:

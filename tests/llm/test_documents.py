@@ -6,6 +6,7 @@ import random
 import pytest
 
 import brute
+from pyspark.sql import functions as F
 from commitlens.llm import neardup, ngram, pieces, pii, quality, secrets, tokens
 
 pt = pytest.importorskip("public_tokenizers")
@@ -165,6 +166,33 @@ def test_redaction(spark):
     assert got[2].text is None and got[3].text == rows[2][1] and got[4].text == ""
 
 
+def covered(text, spans):
+    """The text with every stretch that spans ``kind:start:end`` cover replaced by the first one's kind."""
+    found = sorted((int(a), pii.KINDS.index(k), int(b)) for k, a, b in (x.split(":") for x in spans.split(",") if x))
+    out, at = [], 0
+    for a, k, b in found:
+        if a >= at:
+            out += [text[at:a], f"[{pii.KINDS[k].upper()}]"]
+        at = max(at, b)
+    return "".join(out) + text[at:]
+
+
+def test_redaction_covers_exactly_the_spans(spark):
+    """Wider kinds beside base kinds, overlaps, other scripts, and columns with awkward names."""
+    texts = [f"zzz a{i}@b.org 200-300-1{i:03d} qqq" for i in range(40)]
+    texts += [f"é漢 call 212-555-0{i:03d}, é x [at] y{i} dot com 4111 1111 1111 1111 1.2.3.4" for i in range(40)]
+    texts += [None, "", "1.2.3.4@5.6.7.8", "+1 (017) 555-7713 4111-1111-1111-1111 123-45-6789"]
+    rows = [(i if i % 3 else None, t, "v") for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` string").selectExpr("*", "'w' as `c``d`", "1 as doc")
+    spans = {r.text: r.spans for r in pii.personal_spans(df.withColumn("doc_id", F.col("text"))).withColumnRenamed(
+        "doc_id", "text").collect()}
+    assert sum("local_phone" in s for s in spans.values()) > 30
+    got = pii.redacted(df.withColumn("codes", F.col("text")))
+    assert got.columns == [*df.columns, "codes"]
+    for r in got.collect():
+        assert r.text == (None if r.codes is None else covered(r.codes, spans[r.codes])) and r["a.b"] == "v"
+
+
 def test_language_scores(spark):
     docs = [(i, brute.prose(5 + 13 * (i % 9), i // 2, 60) + (" The THE the" if i % 3 else "")) for i in range(160)]
     docs += [(None, "the w1 w2"), (900, None), (901, ""), (902, "never seen before")] + [docs[5], docs[5]]
