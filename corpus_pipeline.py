@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import landed, table
+from commitlens.llm.common import landed, quoted, table
 from commitlens.llm.decontaminate import leaks
 from commitlens.llm.neardup import near_duplicates
 from commitlens.llm.pieces import encode_pieces
@@ -39,20 +39,24 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that leak a benchmark item go; rows without an id are not judged and stay."""
-    gone = leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = landed(gone.where("gone_id is not null"), "leaks")
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    """Rows whose text leaks a benchmark item go. Rows are numbered in a landed table and judged one by one: a row without
+    an id goes if it leaks, a row that repeats a leaking row's id stays if it does not. Null and empty texts stay."""
+    rows = landed(docs.select(F.monotonically_increasing_id().alias("row"), F.struct("*").alias("doc")), "rows")
+    gone = leaks(rows.select(F.col("row").alias("doc_id"), "doc.text"), table(spark, sf_dir, "benchmark"))
+    gone = landed(gone.select(F.col("doc_id").alias("row")).distinct(), "leaks")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data in the texts is replaced by its kind; every document stays. ``n_chars`` follows the text."""
+    """Personal data in the texts is replaced by its kind; every document stays. ``n_chars`` follows the text (null where
+    there is none)."""
     rows = redacted(docs)
-    return rows.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    size = F.length("text").cast("long")
+    return rows.select(*[size.alias(c) if c == "n_chars" else F.col(quoted(c)) for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``(doc_id, n_pieces, ids)`` of every document."""
+    """``(doc_id, n_pieces, ids)`` of every row; a null or empty text has no pieces."""
     return encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
