@@ -77,3 +77,25 @@ def test_one_row_of_each_group_stays(spark):
     df = spark.createDataFrame(docs, "doc_id long, text string, row string")
     got = [(r.doc_id, r.text, r.row) for r in P.near_dedup(spark, df.coalesce(1), SF).collect()]
     assert sorted(got, key=str) == sorted([docs[0], docs[4], docs[5], docs[7], docs[8]], key=str)
+
+
+def test_leaks_are_judged_by_row(spark):
+    """Null and repeated ids: a leaking row goes, a clean row of the same id stays."""
+    import corpus_pipeline as P
+
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").limit(2).collect()
+    clean = brute.prose(60, 41, 10 ** 6)
+    docs = [(None, f"before {items[0].text} after", "leak"), (7, items[1].text, "leak"), (7, clean, "clean"),
+            (None, clean, "clean"), (8, None, "clean"), (8, "", "clean")]
+    df = spark.createDataFrame(docs, "doc_id long, text string, `ro.w` string")
+    got = [tuple(r) for r in P.decontaminate(spark, df, SF).collect()]
+    assert sorted(got, key=str) == sorted((d for d in docs if d[2] == "clean"), key=str)
+
+
+def test_awkward_column_names_pass(spark):
+    import corpus_pipeline as P
+
+    docs = brute.frame(spark, brute.odd_documents()).selectExpr("*", "'x' as `a.b`", "'y' as `row.text`", "'z' as `c``d`")
+    for name, stage in P.STAGES[:-1]:
+        out = P.landed(stage(spark, docs, SF), name)
+        assert out.columns == docs.columns and {r["a.b"] for r in out.collect()} <= {"x"}
