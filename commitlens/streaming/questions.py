@@ -110,19 +110,19 @@ def weekly_changes(joined: DataFrame, time_col: str = "event_ts") -> DataFrame:
     return g.select(F.col("window.start").alias("window_start"), "continent", "amount")
 
 
-def status_rows(commits: DataFrame) -> DataFrame:
-    """Pattern input: (repo, filename, status, changes, ts, sha, file_sha) of every named file."""
-    files = explode_files(commits, ["sha", "filename", "status", "changes"],
+def status_rows(commits: DataFrame, more: tuple[str, ...] = ("changes",)) -> DataFrame:
+    """Pattern input: (repo, filename, status, ts, sha, file_sha, *more) of every named file; ``more`` are file fields."""
+    files = explode_files(commits, ["sha", "filename", "status", *more],
                           keep=["ts", F.col("sha").alias("commit_sha"), owner_repo().alias("repo")], prefix="f_")
     return (files.where(F.col("f_filename").isNotNull())
-            .select("repo", F.col("f_filename").alias("filename"), F.col("f_status").alias("status"),
-                    F.col("f_changes").alias("changes"), "ts", F.col("commit_sha").alias("sha"),
-                    F.col("f_sha").alias("file_sha")))
+            .select("repo", F.col("f_filename").alias("filename"), F.col("f_status").alias("status"), "ts",
+                    F.col("commit_sha").alias("sha"), F.col("f_sha").alias("file_sha"),
+                    *[F.col(f"f_{c}").alias(c) for c in more]))
 
 
 def added_removed_rows(commits: DataFrame) -> DataFrame:
     """T7 input: (repo, filename, status, ts, sha, file_sha) for named files with status added/removed only."""
-    return status_rows(commits).where(F.col("status").isin("added", "removed")).drop("changes")
+    return status_rows(commits, ()).where(F.col("status").isin("added", "removed"))
 
 
 def added_then_removed(commits: DataFrame, within_seconds: int = 86400) -> DataFrame:
