@@ -88,13 +88,12 @@ class EliasFano:
 
 
 class Quantised:
-    """Real values as ``bits``-bit codes between the least and the greatest."""
+    """Real values as 16-bit codes on a grid from ``low`` to ``top``; the caller names it, so that every shard rounds a value
+    alike, to half a step at most."""
 
-    def __init__(self, values: np.ndarray, bits: int = 12):
-        self.low = float(values.min()) if len(values) else 0.0
-        top = float(values.max()) if len(values) else 0.0
-        self.step = (top - self.low) / ((1 << bits) - 1) or 1.0
-        self.codes = mapped(np.rint((values - self.low) / self.step).astype(np.uint16))
+    def __init__(self, values: np.ndarray, low: float, top: float):
+        self.low, self.step = low, max(top - low, 1e-9) / 0xFFFF
+        self.codes = mapped(np.rint((values - low) / self.step).astype(np.uint16))
 
     def take(self, index: np.ndarray) -> np.ndarray:
         return self.low + np.asarray(self.codes[index]) * self.step

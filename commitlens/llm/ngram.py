@@ -151,8 +151,9 @@ def _blocks(docs: DataFrame, shards: int, hot: list[tuple[int, int]]) -> DataFra
 class Trie:
     """A shard's trie: words on level 1, their contexts on level 2, quantised log10 numerators."""
 
-    def __init__(self, word: np.ndarray, context: np.ndarray, count: np.ndarray, prior: np.ndarray):
-        """Training pairs in order of (word, context), as indexes; ``prior[word]`` is ``mu * q(word)``."""
+    def __init__(self, word: np.ndarray, context: np.ndarray, count: np.ndarray, prior: np.ndarray, top: float):
+        """Training pairs in order of (word, context), as indexes; ``prior[word]`` is ``mu * q(word)``. Numerators lie
+        between 0 (a pair seen once) and ``top``, the same for all shards."""
         starts = _runs(word)
         self.words = word[starts]
         ends = np.append(starts[1:], len(word))
@@ -160,7 +161,7 @@ class Trie:
         base = np.append(0, np.cumsum(last + 1)[:-1]) if len(word) else last
         self.pointers = EliasFano(np.append(starts, len(word)))
         self.contexts = EliasFano(context + np.repeat(base, ends - starts))
-        self.values = Quantised(np.log10(count + prior[word]))
+        self.values = Quantised(np.log10(count + prior[word]), 0.0, top)
 
     def look_up(self, word: np.ndarray, context: np.ndarray) -> np.ndarray:
         """Log10 numerators of pairs in order of (word, context); NaN where the pair was not seen in training."""
@@ -206,7 +207,7 @@ def _score_shard(group: pa.Table, n_tokens: int, n_words: int, hot: dict[int, in
         count[i] = hot.get(w, count[i])
     q = (count + 0.5) / (n_tokens + 0.5 * (n_words + 1))
     seen = trained > 0
-    trie = Trie(word[seen], context[seen], trained[seen], mu * q)
+    trie = Trie(word[seen], context[seen], trained[seen], mu * q, float(np.log10(n_tokens + mu)))
     numerator = trie.look_up(word, context)
     numerator = np.where(np.isnan(numerator), np.log10(mu * q)[word], numerator)
     gain = (numerator - np.log10(count + mu)[word])[pair_of]
@@ -216,7 +217,7 @@ def _score_shard(group: pa.Table, n_tokens: int, n_words: int, hot: dict[int, in
         mine = np.repeat(np.arange(at, at + len(contexts_i)), entries)
         at += len(contexts_i)
         base, score, hits = (np.bincount(doc, times * x[mine], n_docs) for x in (plain, gain, known))
-        out_parts.append([base.tobytes(), score.astype(np.float32).tobytes(), pack(hits.astype(np.int64)),
+        out_parts.append([base.tobytes(), score.tobytes(), pack(hits.astype(np.int64)),
                           parts[i][8], parts[i][9]])
     return pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(out_parts, pa.list_(pa.binary()))],
                                       names=["block", "parts"])
@@ -226,7 +227,7 @@ def _finish_block(group: pa.Table, n_tokens: int) -> pa.RecordBatch:
     base, score, known = 0.0, 0.0, 0
     for plain, gain, hits, head, tokens in group.column("parts").to_pylist():
         base, known = base + np.frombuffer(plain), known + unpack(hits).astype(np.int64)
-        score = score + np.frombuffer(gain, np.float32).astype(np.float64)
+        score = score + np.frombuffer(gain)
         if tokens:
             sizes = unpack(tokens)
             ids = np.frombuffer(head, np.int64, len(sizes))

@@ -198,13 +198,17 @@ def test_language_scores(spark):
     docs += [(None, "the w1 w2"), (900, None), (901, ""), (902, "never seen before")] + [docs[5], docs[5]]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
     want = sorted(zip([repr(i) for i, _ in docs], brute.bigram_scores(docs, ngram.MU)))
+    scores = []
     for limit in (ngram.SHARD_TOKENS, 300):
         rows = ngram.language_scores(df, shard_tokens=limit).collect()
         got = sorted((repr(r.doc_id), ((r.held_out, r.n_tokens, r.n_known, r.train_tokens), r.base_score, r.score))
                      for r in rows)
         assert [(i, x[0]) for i, x in got] == [(i, x[0]) for i, x in want]
         for (_, a), (_, b) in zip(got, want):
-            assert abs(a[1] - b[1]) < 1e-8 and abs(a[2] - b[2]) < 2e-3 * b[0][1]
+            # Half a step of the grid a token: log10(N + mu) / 65535 / 2.
+            assert abs(a[1] - b[1]) < 1e-8 and abs(a[2] - b[2]) < 1e-4 * b[0][1]
+        scores.append([(i, round(x[2], 9)) for i, x in got])
+    assert all(i == j and abs(a - b) < 2e-9 for (i, a), (j, b) in zip(*scores))
     assert ngram.language_scores(df.where("doc_id = 902")).count() == 1
 
 
