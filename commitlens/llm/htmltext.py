@@ -5,7 +5,8 @@ whole page in order, a vector of each block's tag path (hashed tag, class and id
 text, and a few shapes (length, share of link text, punctuation, place), and says for every block whether it is article
 text. Scripts, styles, comments and other markup never become blocks.
 
-No page comes with labels. The model is trained on a bounded sample (``SAMPLE_PAGES``) of the pages at hand: blocks
+No page comes with labels. The model is trained on a bounded sample (``SAMPLE_PAGES`` pages, a run of at most
+``TRAIN_BLOCKS`` blocks of each) of the pages at hand: blocks
 under article or main elements are article text unless a boilerplate element holds them (a page without such elements is
 labelled by its prose). Each training page is also
 shown with other container names and with boilerplate blocks put in (also inside the article), so that the model learns
@@ -17,6 +18,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -30,6 +32,10 @@ SAMPLE_PAGES = 192
 TRAIN_BLOCKS = 96
 PATH_DIM, WORD_DIM, SHAPE_DIM, HIDDEN = 64, 24, 6, 20
 VARIANTS, EPOCHS, RATE, SEED = 8, 12, 0.01, 7
+#: Depth beyond which browsers too make nested elements siblings.
+MAX_DEPTH = 512
+#: Blocks (padding included) labelled at once, and steps whose inputs are held at once; a longer page is a batch alone.
+BATCH_BLOCKS, SEGMENT = 1 << 14, 1 << 11
 
 #: Element names of HTML.
 BLOCK_TAGS = frozenset(
@@ -57,14 +63,32 @@ OTHER_WORDS = frozenset(
     "fieldset legend gdpr signup tags recommended disqus dialog".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
-                   r"<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+                   r"<(/?)([A-Za-z][^\s/>]*)", re.S)
+TAG_STOP = re.compile(r">|=\s*([\"'])")
 NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
+def tag_end(page: str, at: int) -> int:
+    """Where the tag whose name ends at ``at`` ends, ``>`` included. Quoted values may hold ``>``; a quote that nothing
+    closes ends at the next ``>``. Nothing scanned is scanned again, so a page takes linear time."""
+    while stop := TAG_STOP.search(page, at):
+        at = stop.end()
+        if not stop[1]:
+            return at
+        close = page.find(stop[1], at)
+        if close < 0:
+            return page.find(">", at) + 1 or len(page)
+        at = close + 1
+    return len(page)
+
+
 def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
-    """``(path, text, share of link text)`` of each block with text, in page order."""
+    """``(path, text, share of link text)`` of each block with text, in page order. Elements nested deeper than
+    ``MAX_DEPTH`` become siblings at that depth, as in browsers; equal paths are one object."""
     blocks: list[tuple[tuple[str, ...], str, float]] = []
     stack: list[tuple[str, str]] = []
+    opened: Counter[str] = Counter()
+    paths: dict[tuple[str, ...], tuple[str, ...]] = {}
     parts: list[str] = []
     links = [0, 0]
 
@@ -73,7 +97,7 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
                 path = tuple(label for tag, label in stack if tag != "a")
-                blocks.append((path, text, min(1.0, links[1] / max(1, links[0]))))
+                blocks.append((paths.setdefault(path, path), text, min(1.0, links[1] / max(1, links[0]))))
             parts.clear()
             links[:] = [0, 0]
 
@@ -84,11 +108,22 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             links[0] += n
             links[1] += n if any(tag == "a" for tag, _ in stack[-6:]) else 0
 
+    def drop() -> str:
+        tag = stack.pop()[0]
+        opened[tag] -= 1
+        return tag
+
+    def push(tag: str, label: str):
+        if len(stack) >= MAX_DEPTH:
+            drop()
+        stack.append((tag, label))
+        opened[tag] += 1
+
     def close(tag: str):
-        if any(t == tag for t, _ in stack):
+        if opened[tag] > 0:
             if tag in BLOCK_TAGS:
                 flush()
-            while stack.pop()[0] != tag:
+            while drop() != tag:
                 pass
 
     at, end = 0, len(page)
@@ -104,10 +139,12 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
         if not m[3]:
             continue
         tag = m[3].lower()
+        at = tag_end(page, at)
+        rest = page[m.end():at].removesuffix(">")
         if m[2]:
             close(tag)
         elif tag in RAW_TAGS:
-            if not m[4].rstrip().endswith("/"):
+            if not rest.rstrip().endswith("/"):
                 stop = re.compile(rf"</{re.escape(tag)}\s*>?", re.I).search(page, at)
                 at = stop.end() if stop else end
                 if stop and page[at - 1] != ">":
@@ -121,12 +158,12 @@ def page_blocks(page: str) -> list[tuple[tuple[str, ...], str, float]]:
             if tag in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == tag:
                 close(tag)
             if tag == "a":
-                stack.append((tag, tag))
+                push(tag, tag)
                 continue
             flush()
             if tag not in VOID_TAGS:
-                names = ["." + w for k in NAMES.findall(m[4]) for w in (k[1] or k[2] or k[3]).split()]
-                stack.append((tag, tag + "".join(names)))
+                names = ["." + w for k in NAMES.findall(rest) for w in (k[1] or k[2] or k[3]).split()]
+                push(tag, tag + "".join(names))
     flush()
     return blocks
 
@@ -159,24 +196,26 @@ def path_vector(path: tuple[str, ...]) -> bytes:
     return v.tobytes()
 
 
-def page_vectors(blocks: list[tuple[tuple[str, ...], str, float]]) -> np.ndarray:
-    """One row per block: path, hashed words, shapes."""
-    n = len(blocks)
-    out = np.zeros((n, PATH_DIM + WORD_DIM + SHAPE_DIM), np.float32)
-    if not n:
-        return out
-    out[:, :PATH_DIM] = np.frombuffer(b"".join(path_vector(b[0]) for b in blocks), np.float32).reshape(n, PATH_DIM)
-    texts = [b[1].encode() for b in blocks]
-    words, bounds = flat_words(texts)
-    sizes = np.diff(bounds)
-    h = word_hashes(words)
-    bags = np.bincount(np.repeat(np.arange(n), sizes) * WORD_DIM + (h % np.uint64(WORD_DIM)).astype(np.int64),
-                       minlength=n * WORD_DIM).reshape(n, WORD_DIM)
-    out[:, PATH_DIM:PATH_DIM + WORD_DIM] = bags / np.sqrt(1.0 + sizes)[:, None]
-    marks = np.array([t.count(b".") + t.count(b",") for t in texts])
-    out[:, -SHAPE_DIM:] = np.stack([
-        np.log1p(sizes) / 3, [b[2] for b in blocks], marks / (1.0 + sizes), np.linspace(0, 1, n),
-        np.minimum(sizes, 8) / 8, [b[1][-1:] in ".!?" for b in blocks]], axis=1)
+def page_vectors(blocks: list[tuple[tuple[str, ...], str, float]], step: int = 1 << 13) -> np.ndarray:
+    """One row per block: path, hashed words, shapes. Filled ``step`` blocks at a time."""
+    out = np.zeros((len(blocks), PATH_DIM + WORD_DIM + SHAPE_DIM), np.float32)
+    place = np.linspace(0, 1, len(blocks))
+    for a in range(0, len(blocks), step):
+        part = blocks[a:a + step]
+        n = len(part)
+        rows = out[a:a + n]
+        rows[:, :PATH_DIM] = np.frombuffer(b"".join(path_vector(b[0]) for b in part), np.float32).reshape(n, PATH_DIM)
+        texts = [b[1].encode() for b in part]
+        words, bounds = flat_words(texts)
+        sizes = np.diff(bounds)
+        h = word_hashes(words)
+        bags = np.bincount(np.repeat(np.arange(n), sizes) * WORD_DIM + (h % np.uint64(WORD_DIM)).astype(np.int64),
+                           minlength=n * WORD_DIM).reshape(n, WORD_DIM)
+        rows[:, PATH_DIM:PATH_DIM + WORD_DIM] = bags / np.sqrt(1.0 + sizes)[:, None]
+        marks = np.array([t.count(b".") + t.count(b",") for t in texts])
+        rows[:, -SHAPE_DIM:] = np.stack([
+            np.log1p(sizes) / 3, [b[2] for b in part], marks / (1.0 + sizes), place[a:a + n],
+            np.minimum(sizes, 8) / 8, [b[1][-1:] in ".!?" for b in part]], axis=1)
     return out
 
 
@@ -247,16 +286,59 @@ def _forward(model, x, mask):
     return (both @ model["out"] + x @ model["skip"] + model["bias"])[..., 0], both, kf, kb
 
 
+def _scores(model, pages: list[np.ndarray]) -> list[np.ndarray]:
+    """Scores of every block of every page. Both directions run in one loop, each page from its own start or end, so
+    padding comes last and needs no mask. Nothing is kept but the two states and a score a block and direction; inputs
+    are laid out ``SEGMENT`` steps at a time."""
+    gate = np.where(np.arange(4 * HIDDEN) < 3 * HIDDEN, 0.5, 1).astype(np.float32)
+    w, u, b = (np.stack([model[k + "f"], model[k + "b"]]) for k in "WUb")
+    b[:, HIDDEN:2 * HIDDEN] += 1
+    w, u, b = w * gate, u * gate, (b * gate)[:, None]
+    out = model["out"].reshape(2, HIDDEN, 1)
+    steps, dim, wide = max(len(p) for p in pages), pages[0].shape[1], (2, len(pages), HIDDEN)
+    h, c, z = np.zeros(wide, np.float32), np.zeros(wide, np.float32), np.zeros((*wide[:2], 4 * HIDDEN), np.float32)
+    gates, new = z[..., :3 * HIDDEN], z[..., 3 * HIDDEN:]
+    put, forget, show = (gates[..., k * HIDDEN:(k + 1) * HIDDEN] for k in range(3))
+    told = np.zeros((2, steps, len(pages)), np.float32)
+    for a in range(0, steps, SEGMENT):
+        n = min(SEGMENT, steps - a)
+        x = np.zeros((2, n, len(pages), dim), np.float32)
+        for j, p in enumerate(pages):
+            for way, rows in enumerate((p[a:a + n], p[::-1][a:a + n])):
+                x[way, :len(rows), j] = rows
+        xw = x.reshape(2, -1, dim) @ w + b
+        xw = np.ascontiguousarray(xw.reshape(2, n, len(pages), 4 * HIDDEN).swapaxes(0, 1))
+        hs = np.zeros((n, *wide), np.float32)
+        for t in range(n):
+            # A logistic gate is (tanh(z / 2) + 1) / 2, so one tanh serves all four parts.
+            np.matmul(h, u, out=z)
+            z += xw[t]
+            np.tanh(z, out=z)
+            gates += 1
+            gates *= 0.5
+            c *= forget
+            new *= put
+            c += new
+            h = hs[t]
+            np.tanh(c, out=h)
+            h *= show
+        told[:, a:a + n] = (hs @ out)[..., 0].swapaxes(0, 1)
+    return [told[0, :len(p), j] + told[1, :len(p), j][::-1] + (p @ model["skip"])[:, 0] + model["bias"]
+            for j, p in enumerate(pages)]
+
+
 def label_pages(model: dict[str, np.ndarray], pages: list[np.ndarray], batch: int = 64) -> list[np.ndarray]:
-    """Whether each block of each page is article text; pages of like length share a batch."""
+    """Whether each block of each page is article text; pages of like length share a batch of at most ``batch`` pages and
+    ``BATCH_BLOCKS`` blocks, padding included."""
     out: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
     order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
-    for a in range(0, len(order), batch):
-        part = order[a:a + batch]
-        x, mask = _padded([pages[i] for i in part])
-        score = _forward(model, x, mask)[0]
-        for j, i in enumerate(part):
-            out[i] = score[:len(pages[i]), j] > 0
+    while order:
+        n = 1
+        while n < min(batch, len(order)) and (n + 1) * len(pages[order[n]]) <= BATCH_BLOCKS:
+            n += 1
+        part, order = order[:n], order[n:]
+        for i, score in zip(part, _scores(model, [pages[i] for i in part])):
+            out[i] = score > 0
     return out
 
 
@@ -287,16 +369,21 @@ def _varied(blocks, labels, rng, spare):
 
 
 def train(pages: list[str], epochs: int = EPOCHS, seed: int = SEED) -> dict[str, np.ndarray]:
-    """Fit the labeller on weakly labelled pages (Adam on the mean cross-entropy of all blocks)."""
+    """Fit the labeller on weakly labelled pages (Adam on the mean cross-entropy of all blocks). A page of more than
+    ``TRAIN_BLOCKS`` blocks is labelled whole and gives one run of so many blocks, at a seeded place."""
     rng = np.random.default_rng(seed)
-    parsed = [b for b in (page_blocks(p)[:TRAIN_BLOCKS] for p in pages) if b]
+    parsed = []
+    for blocks in map(page_blocks, pages):
+        labels = weak_labels(blocks)
+        at = int(rng.integers(0, len(blocks) - TRAIN_BLOCKS + 1)) if len(blocks) > TRAIN_BLOCKS else 0
+        if blocks:
+            parsed.append((blocks[at:at + TRAIN_BLOCKS], labels[at:at + TRAIN_BLOCKS]))
     model = new_model(seed)
     if not parsed:
         return model
-    spare = [b[1] for page in parsed for b in page]
+    spare = [b[1] for page, _ in parsed for b in page]
     data = []
-    for blocks in parsed:
-        labels = weak_labels(blocks)
+    for blocks, labels in parsed:
         data.append((page_vectors(blocks), np.array(labels, np.float32)))
         for _ in range(VARIANTS):
             rows, good = _varied(blocks, labels, rng, spare)
@@ -340,7 +427,8 @@ def main_text(pages: DataFrame, model: dict[str, np.ndarray] | None = None) -> D
     """``(page_id, url, text, n_chars)``, one row per input row: the article's blocks joined by line breaks.
 
     Null or empty html, or a page without article blocks: empty text. Repeated rows are labelled one by one; null ids
-    and urls are kept; other columns are ignored. Whole pages are read, whatever their length.
+    and urls are kept; other columns are ignored. An empty table gives an empty result. Whole pages are read, whatever
+    their length: reading is linear in it, labelling holds one vector a block of the pages of a chunk.
     """
     shared = pages.sparkSession.sparkContext.broadcast(model or fit_labeller(pages))
 

@@ -1,6 +1,9 @@
 """The recurrent block labeller: parsing, gradients, held-out accuracy, other templates."""
 
+import pathlib
 import random
+import subprocess
+import sys
 
 import numpy as np
 
@@ -91,3 +94,54 @@ def test_odd_input(spark):
     assert len(got) == len(rows) and got.count((1, want)) == 2 and (None, want) in got
     assert (2, "") in got and (3, "") in got
     assert H.main_text(df.limit(0)).count() == 0
+
+
+def test_batches_agree_with_training_pass():
+    """The labelling pass (both directions at once, segments, nothing kept) gives the training pass's scores."""
+    rng = np.random.default_rng(3)
+    model = H.new_model(2)
+    pages = [rng.standard_normal((n, H.PATH_DIM + H.WORD_DIM + H.SHAPE_DIM)).astype(np.float32) for n in (1, 7, 2100, 30)]
+    x, mask = H._padded(pages)
+    want = H._forward(model, x, mask)[0]
+    for j, (p, score) in enumerate(zip(pages, H._scores(model, pages))):
+        assert np.abs(score - want[:len(p), j]).max() < 1e-4
+    alone = [H.label_pages(model, [p])[0] for p in pages]
+    assert all((a == b).all() for a, b in zip(alone, H.label_pages(model, pages)))
+
+
+def test_quotes_in_tags():
+    assert [t for _, t, _ in H.page_blocks("<p title='a > b'>c</p><p title=it's>d</p><p title=\"x>e</p>f")] == ["c", "d", "e", "f"]
+    assert [t for _, t, _ in H.page_blocks("<p a = \"1>2\" b>g<p a=>h</p x='>'>i")] == ["g", "h", "i"]
+
+
+def test_deep_page():
+    n = 20_000
+    blocks = H.page_blocks("<div>" * n + "x" + "</section>" * n + "</div>" * n + "<p>y")
+    assert [t for _, t, _ in blocks] == ["x", "y"] and len(blocks[0][0]) == H.MAX_DEPTH
+
+
+LONG = """
+import resource, time
+from commitlens.llm import htmltext as H
+model = H.new_model(1)
+base = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+for page in ({pages}):
+    start = time.monotonic()
+    blocks = H.page_blocks(page)
+    kept = H.label_pages(model, [H.page_vectors(blocks), *([H.page_vectors(blocks[:5])] * 63)])
+    print(len(blocks), round(time.monotonic() - start, 1), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - base) >> 10)
+    del blocks, kept
+"""
+
+
+def test_long_pages():
+    """A 5 MB page of small blocks beside 63 short ones, and a 1 MB page of quotes without end: whole, in bounded memory
+    and time (each step of the recurrence costs the same, whatever the page's length)."""
+    pages = "'<p>a b c, d e f.</p><li>g h</li>' * 150_000, '<a x=\"' * 170_001, '<p a=\"1\" b=\\'' * 80_000"
+    out = subprocess.run([sys.executable, "-c", LONG.format(pages=pages)], capture_output=True, text=True, check=True,
+                         cwd=pathlib.Path(__file__).parents[2]).stdout
+    rows = [tuple(map(float, line.split())) for line in out.splitlines()]
+    assert len(rows) == 3 and rows[0][0] == 300_000, out
+    assert all(memory < 500 for _, _, memory in rows) and all(seconds < 30 for _, seconds, _ in rows), out
+    assert all(seconds < 5 for _, seconds, _ in rows[1:]), out
+    print(out)
