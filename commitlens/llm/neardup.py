@@ -86,14 +86,14 @@ def _digest(shingles: np.ndarray) -> bytes | None:
 
 
 def _found_again(docs: DataFrame) -> DataFrame:
-    """``(doc_id, text, spare)``."""
+    """``(doc_id, text, spare)``; ``spare`` is a hash of the text."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return docs.withColumn("spare", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
+    return docs.withColumn("spare", F.xxhash64("text"))
 
 
 def signatures(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
     """``(doc_id, spare, n_shingles, node, bands)`` per row; node and bands are null for an empty set. ``spare`` is a
-    hash of the text where ``doc_id`` is null: it finds such a row again."""
+    hash of the text: with the id it finds a row of that text again, also among rows that share an id or have none."""
     def run(batches):
         for batch in batches:
             ids, texts, spare = batch.column(0), binary_texts(batch.column(1)), batch.column(2)
@@ -162,15 +162,20 @@ def _linked(group: pa.Table, percent: int) -> pa.RecordBatch | None:
 
 def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shingles: int) -> DataFrame:
     """``members(node, rep, spare, cluster, n_shingles)`` -> links ``(u, v)`` that connect what is linked in each
-    cluster."""
+    cluster. One row of each class is read again: rows of one id and text arrive side by side, and the first stands for
+    all, so a group holds distinct sets whatever the number of copies."""
     weight = members.groupBy("cluster").agg(F.sum("n_shingles").alias("weight"))
     placed = members.join(weight, "cluster").select(
-        "node", F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", "spare").alias("key"), "cluster",
+        "node", F.col("rep").isNull().alias("unnamed"), F.coalesce("rep", F.lit(0)).alias("key"), "spare", "cluster",
         F.ceil(F.col("weight") * 2 / F.lit(block_shingles)).cast("int").alias("blocks"))
 
     def run(batches):
+        last = None
         for batch in batches:
-            rows = pa.Table.from_batches([batch])
+            nodes = batch.column("node").to_pylist()
+            fresh = [i for i, n in enumerate(nodes) if n != (nodes[i - 1] if i else last)]
+            last = nodes[-1] if nodes else last
+            rows = pa.Table.from_batches([batch]).take(fresh)
             sets = list(shingle_sets(binary_texts(rows.column("text"))))
             keep = [i for i, (s, n) in enumerate(zip(sets, rows.column("node").to_pylist())) if _digest(s) == n]
             yield from pa.table({
@@ -179,10 +184,9 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shin
                 "shingles": pa.array([sets[i].tobytes() for i in keep], pa.binary())}).to_batches()
 
     # A sort-merge join at every size: the members grow with the documents, so broadcasting a few would not carry over.
-    # A class without any id is found by its text's hash.
     texts = _found_again(docs).select(F.col("doc_id").isNull().alias("unnamed"),
-                                      F.coalesce("doc_id", "spare").alias("key"), "text")
-    texts = texts.join(placed.hint("merge"), ["key", "unnamed"]).select("cluster", "blocks", "node", "text")
+                                      F.coalesce("doc_id", F.lit(0)).alias("key"), "spare", "text")
+    texts = texts.join(placed.hint("merge"), ["spare", "key", "unnamed"]).select("cluster", "blocks", "node", "text")
     sets = arrow_map(texts, run, "cluster long, blocks int, node binary, shingles binary")
     mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pairs = F.when(F.col("blocks") <= 1, F.array(F.struct(F.lit(0).alias("p"), F.lit(0).alias("q")))).otherwise(
@@ -206,9 +210,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, rows: int = ROWS, bands:
     """
     drawn = landed(signatures(docs, rows, bands), "sketches")
     classes = drawn.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.min("spare").alias("spare"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "spare")).alias("first"),
         F.max("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
-    classes = landed(classes, "classes")
+    classes = landed(classes.select("node", F.col("first.doc_id").alias("rep"), F.col("first.spare").alias("spare"),
+                                    "n_shingles", "bands"), "classes")
     spots = candidate_clusters(classes)
     members = landed(classes.select("node", "rep", "spare", "n_shingles", F.xxhash64("node").alias("spot"))
                      .join(spots, "spot").select("node", "rep", "spare", "n_shingles", "cluster"), "members")
