@@ -173,15 +173,16 @@ def verified_links(docs: DataFrame, members: DataFrame, percent: int, block_shin
         last = None
         for batch in batches:
             nodes = batch.column("node").to_pylist()
-            fresh = [i for i, n in enumerate(nodes) if n != (nodes[i - 1] if i else last)]
+            fresh = pa.array([i for i, n in enumerate(nodes) if n != (nodes[i - 1] if i else last)], pa.int64())
             last = nodes[-1] if nodes else last
             rows = pa.Table.from_batches([batch]).take(fresh)
             sets = list(shingle_sets(binary_texts(rows.column("text"))))
-            keep = [i for i, (s, n) in enumerate(zip(sets, rows.column("node").to_pylist())) if _digest(s) == n]
+            keep = pa.array([i for i, (s, n) in enumerate(zip(sets, rows.column("node").to_pylist()))
+                             if _digest(s) == n], pa.int64())
             yield from pa.table({
                 "cluster": rows.column("cluster").take(keep), "blocks": rows.column("blocks").take(keep),
                 "node": rows.column("node").take(keep),
-                "shingles": pa.array([sets[i].tobytes() for i in keep], pa.binary())}).to_batches()
+                "shingles": pa.array([sets[i].tobytes() for i in keep.to_pylist()], pa.binary())}).to_batches()
 
     # A sort-merge join at every size: the members grow with the documents, so broadcasting a few would not carry over.
     texts = _found_again(docs).select(F.col("doc_id").isNull().alias("unnamed"),
