@@ -84,8 +84,9 @@ h AS (SELECT host, rule, count(*) AS n, count(*) FILTER (soft[rule]) AS failed
 p AS (SELECT rule, sum(failed) / sum(n) AS m, sum(failed * failed / n) / sum(n) - (sum(failed) / sum(n)) ** 2 AS v
       FROM h GROUP BY rule),
 q AS (SELECT rule, m, CASE WHEN v > 1e-12 THEN least(greatest(m * (1 - m) / v - 1, 1), 1e6) ELSE 1e6 END AS s FROM p),
-z AS (SELECT host, list(bad ORDER BY rule) AS bad FROM (
-        SELECT host, rule, (failed + m * s) / (n + s) > 0.2 AS bad FROM h JOIN q USING (rule)) GROUP BY host)
+e AS (SELECT host, rule, n, m, s, (failed + m * s) / (n + s) AS rate FROM h JOIN q USING (rule)),
+z AS (SELECT host, list(rate - 2 * sqrt(greatest(rate * (1 - rate), 0) / (n + s + 1)) > 2 * m ORDER BY rule) AS bad
+      FROM e GROUP BY host)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT ((bad[1] AND soft[1]) OR (bad[2] AND soft[2]) OR (bad[3] AND soft[3])) AS kept, n_lines,
        (bad[1] AND soft[1]) OR (bad[2] AND soft[2]) OR (bad[3] AND soft[3]) AS host_rejected

@@ -4,8 +4,10 @@ Per document (built-in functions only): words, their characters, symbols, duplic
 windows. Hard rule: ``base_failed``. Soft rules fail on symbol-heavy text, repeated lines and odd word lengths; a soft
 failure alone never rejects a document. Per host and soft rule the failure rate is shrunk towards all hosts:
 ``(failed + m * s) / (n + s)``, where the mean ``m`` and the strength ``s`` come from the rates of all hosts (method of
-moments). A document that fails a soft rule is rejected where its host's shrunk rate for that rule is over
-``HOST_LIMIT``: the host, not just the page, is bad.
+moments). The posterior of the host's rate is a beta distribution of that mean; the host is bad where the mean less
+``CERTAINTY`` standard deviations is over ``HOST_FACTOR`` times the rate of all hosts. So the limit follows the corpus, a
+host of few documents has to be worse to count, and hosts that are all alike (by chance a little up or down) never do. A
+document that fails a soft rule is rejected where its host is bad by that rule: the host, not just the page, is bad.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ SOFT_RULES = {
     "lines": "10 * n_dup_lines > 3 * n_lines",
     "lengths": "word_chars < 2 * n_words or word_chars > 12 * n_words",
 }
-HOST_LIMIT = 0.2
+HOST_FACTOR, CERTAINTY = 2.0, 2.0
 MAX_STRENGTH = 1e6
 
 
@@ -68,8 +70,9 @@ def figures(docs: DataFrame, host_col: str = "source", carry: bool = False) -> D
             .withColumn("base_failed", F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")))
 
 
-def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
-    """``figures`` -> ``(host, <rule>...)``: whether the host's shrunk failure rate for each soft rule is over ``limit``.
+def host_verdicts(rows: DataFrame, factor: float = HOST_FACTOR) -> DataFrame:
+    """``figures`` -> ``(host, bad_<rule>...)``: whether the host fails each soft rule credibly more than ``factor`` times
+    as often as all hosts do.
 
     Both aggregates are partial sums, so a host with a third of all documents is one row per task before the shuffle.
     """
@@ -84,31 +87,33 @@ def host_verdicts(rows: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     prior = prior.select("rule", "m", F.when(spread > 1e-12, F.least(F.greatest(
         F.col("m") * (1 - F.col("m")) / spread - 1, F.lit(1.0)), F.lit(MAX_STRENGTH)))
         .otherwise(MAX_STRENGTH).alias("s"))
-    bad = long.join(prior, "rule").select(
-        "host", "rule", ((F.col("f") + F.col("m") * F.col("s")) / (F.col("n") + F.col("s")) > limit).alias("bad"))
+    rate = (F.col("f") + F.col("m") * F.col("s")) / (F.col("n") + F.col("s"))
+    long = long.join(prior, "rule").withColumn("rate", rate)
+    sd = F.sqrt(F.greatest(F.col("rate") * (1 - F.col("rate")), F.lit(0.0)) / (F.col("n") + F.col("s") + 1))
+    bad = long.select("host", "rule", (F.col("rate") - CERTAINTY * sd > factor * F.col("m")).alias("bad"))
     return bad.groupBy("host").agg(*[
         F.max(F.when(F.col("rule") == name, F.col("bad"))).alias(f"bad_{name}") for name in SOFT_RULES])
 
 
-def _judged(rows: DataFrame, limit: float) -> DataFrame:
+def _judged(rows: DataFrame, factor: float) -> DataFrame:
     """``figures`` with ``host_rejected`` and ``kept``."""
     rows = landed(rows, "quality")
-    hosts = landed(host_verdicts(rows, limit), "hosts")
+    hosts = landed(host_verdicts(rows, factor), "hosts")
     failed = " or ".join(f"(bad_{name} and ({rule}))" for name, rule in SOFT_RULES.items())
     return (rows.join(hosts, "host").withColumn("host_rejected", F.expr(failed))
             .withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected")))
 
 
-def quality_verdicts(docs: DataFrame, host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+def quality_verdicts(docs: DataFrame, host_col: str = "source", factor: float = HOST_FACTOR) -> DataFrame:
     """Per input row the figures, ``host_rejected`` and ``kept``.
 
     Null or empty text: no words, base_failed. A null host counts as the empty host. Repeated rows and ids are judged
     row by row; ties cannot occur (no ranking). An empty table gives an empty result. Other columns are ignored.
     """
-    return _judged(figures(docs, host_col), limit)
+    return _judged(figures(docs, host_col), factor)
 
 
-def drop_rejected(docs: DataFrame, host_col: str = "source", limit: float = HOST_LIMIT) -> DataFrame:
+def drop_rejected(docs: DataFrame, host_col: str = "source", factor: float = HOST_FACTOR) -> DataFrame:
     """The rows of ``docs`` that pass, unchanged. The input rows are landed with their figures, so the host verdicts
     come back to them without a shuffle of texts (unless the table of hosts is itself too large to broadcast)."""
-    return _judged(figures(docs, host_col, carry=True), limit).where("kept").select("row.*")
+    return _judged(figures(docs, host_col, carry=True), factor).where("kept").select("row.*")

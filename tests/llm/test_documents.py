@@ -103,11 +103,56 @@ def test_host_rates_shrink(spark):
     rows += [(2000, noisy, "tiny")] + [(3000 + i, good, f"h{i % 20}") for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r.kept for r in quality.quality_verdicts(df).collect()}
-    assert not got[1] and got[0] and got[1000] and got[3000]
+    assert not got[1] and got[0] and got[1000] and got[2000] and got[3000]
     kept = {r.doc_id for r in quality.drop_rejected(df).collect()}
     assert kept == {i for i, k in got.items() if k}
 
 
+def test_host_verdicts_follow_the_corpus(spark):
+    """Planted rates: a host far worse than all others is rejected at a rate of 25 % too, alike hosts never are, nor is a
+    host of three documents; a host of a third of all rows is judged like any other. SQL agrees row by row."""
+    import duckdb
+
+    from commitlens.llm.oracles import ORACLE
+    good, noisy = brute.prose(60, 1, 9000), " ".join(f"a{i} #$" for i in range(60))
+
+    def verdicts(shares):
+        rows = [(n_host * 10_000 + i, noisy if i < bad else good, host)
+                for n_host, (host, (n, bad)) in enumerate(shares.items()) for i in range(n)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        got = {r.doc_id: (r.kept, r.host_rejected) for r in quality.quality_verdicts(df).collect()}
+        documents = df.toPandas()
+        con = duckdb.connect()
+        con.register("documents", documents)
+        want = con.sql(f"SELECT doc_id, kept, host_rejected FROM ({ORACLE['op9_quality']})").fetchall()
+        assert got == {i: (k, r) for i, k, r in want}
+        return {host for i, _, host in rows if got[i][1]}
+    alike = {f"h{i}": (100, 2 + i % 4) for i in range(12)}
+    assert verdicts(alike) == set()
+    assert verdicts(alike | {"worse": (200, 50), "few": (3, 1)}) == {"worse"}
+    assert verdicts(alike | {"large": (600, 240)}) == {"large"}
+
+
+def test_copies_of_one_id_are_verified_once(spark, monkeypatch):
+    """Rows that repeat one id and text, or have no id, reach verification as one set; a group holds distinct sets only."""
+    w = brute.prose(120, 31, 10 ** 6).split()
+    near = " ".join(w[:115])
+    docs = [(7, " ".join(w))] * 3000 + [(8, near)] * 3000 + [(None, near + " x")] * 3000
+    docs += [(9, brute.prose(30, 40 + i, 10 ** 6)) for i in range(50)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    sizes = spark.sparkContext.accumulator(0)
+    plain = neardup._linked
+
+    def counted(group, percent):
+        sizes.add(group.num_rows)
+        return plain(group, percent)
+    monkeypatch.setattr(neardup, "_linked", counted)
+    got = neardup.near_duplicates(df).collect()
+    assert len(got) == len(docs) and sizes.value == 3
+    parts = {(r.doc_id, r.component_id, r.kept) for r in got}
+    assert parts == {(7, 7, True), (8, 7, False), (None, 7, False), (9, 9, True)}
+
+
 def test_secrets(spark):
     key = "0123456789abcdef" * 2 + "feed"
     texts = [f"é token = \"{key}\" and AKIA{'Z' * 16}", "secret=a/token:abcdefghij", "PASSWORD:'x' passwd: hunter2hunter2",
