@@ -95,7 +95,7 @@ def _block_rows(texts, held, ids, block, shards, hot, hot_parts):
     tokens, doc, sizes = _tokens(texts)
     context = np.append(np.uint64(0), tokens[:-1])
     context[np.cumsum(sizes) - sizes] = START
-    codes, names = pd.factorize(np.concatenate([tokens, context]))
+    codes, names = pd.factorize(np.concatenate([tokens, context]), sort=True)
     w, c = codes[:len(tokens)].astype(np.int64), codes[len(tokens):].astype(np.int64)
     # One sort of (word, context, document); the three numbers fit 63 bits for blocks of this size.
     key = np.sort((w * len(names) + c) * len(texts) + doc)
@@ -185,7 +185,8 @@ class Trie:
 
 
 def _score_shard(group: pa.Table, n_tokens: int, n_words: int, hot: dict[int, int], mu: float) -> pa.RecordBatch:
-    """Sums per document of one shard: ``(block, parts)``."""
+    """Sums per document of one shard: ``(block, parts)``. A document's pairs are added in order of their hashes, so its
+    sum does not depend on which block holds it."""
     blocks, parts = group.column("block").to_pylist(), group.column("parts").to_pylist()
     per = []
     for i in range(len(blocks)):
@@ -224,14 +225,17 @@ def _score_shard(group: pa.Table, n_tokens: int, n_words: int, hot: dict[int, in
 
 
 def _finish_block(group: pa.Table, n_tokens: int) -> pa.RecordBatch:
-    base, score, known = 0.0, 0.0, 0
+    """Scores of a block's documents. The shards' parts are added in order of size, whatever order they came in."""
+    plains, gains, known = [], [], 0
     for plain, gain, hits, head, tokens in group.column("parts").to_pylist():
-        base, known = base + np.frombuffer(plain), known + unpack(hits).astype(np.int64)
-        score = score + np.frombuffer(gain)
+        plains.append(np.frombuffer(plain))
+        gains.append(np.frombuffer(gain))
+        known = known + unpack(hits).astype(np.int64)
         if tokens:
             sizes = unpack(tokens)
             ids = np.frombuffer(head, np.int64, len(sizes))
             null = np.unpackbits(np.frombuffer(head, np.uint8, offset=8 * len(sizes)))[:len(sizes)].astype(bool)
+    base, score = (np.sort(np.stack(x), axis=0).sum(axis=0) for x in (plains, gains))
     n = len(sizes)
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, pa.int64(), mask=null), pa.array(sizes, pa.int64()),
