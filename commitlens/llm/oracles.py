@@ -28,14 +28,16 @@ _PREFIXED = r"(^|[^A-Za-z0-9_-])((?:gh[opusr]_|sk_live_|xox[abprs]-|AIza)[A-Za-z
 _MIXED = "regexp_matches({0}, '[A-Z]') AND regexp_matches({0}, '[a-z]') AND regexp_matches({0}, '[0-9]')"
 
 OP1 = rf"""
-WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS owner,
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, source,
                   coalesce(source, '') || chr(31) || coalesce(lang, '') AS repo FROM documents),
 m AS ({" UNION ALL ".join([
     _secret_matches(1, _ASSIGN, 8, 2), _secret_matches(2, "AKIA[A-Z0-9]+", 16), _secret_matches(3, "[0-9a-f]{32,}", 32),
     _secret_matches(4, _JWT, 32, 2, 1), _secret_matches(5, _PREFIXED, 20, 2, 1),
     _secret_matches(6, "[A-Za-z0-9+/_-]{24,}", 24, where=_MIXED)])}),
-o AS (SELECT v, count(DISTINCT owner) AS owners FROM m JOIN d USING (rid) GROUP BY v),
-j AS (SELECT m.*, owners <= 2 AS live,
+h AS (SELECT DISTINCT v, rid, coalesce('=' || source, rid::VARCHAR) AS owner, repo FROM m JOIN d USING (rid)),
+o AS (SELECT v, count(*) AS docs, count(DISTINCT owner) AS owners, count(DISTINCT (owner, repo)) AS repos
+      FROM h GROUP BY v),
+j AS (SELECT m.*, owners <= 2 AND repos <= 4 AND docs <= 100 AS live,
              (['assign', 'access', 'hex', 'jwt', 'prefixed', 'mixed'])[no] || ':' || s || ':' || e AS code
       FROM m JOIN o USING (v)),
 g AS (SELECT rid, count(*) FILTER (no = 1) AS n_assign, count(*) FILTER (no = 2) AS n_access,
