@@ -6,7 +6,8 @@ these hashes, of a fixed size whatever the benchmark's, tells each document's wi
 the scan, with the stretch of word hashes around them. They are joined to the benchmark hashes exactly, hits are grouped
 by (stretch, item, diagonal), and each diagonal is verified: the best window of ``overlap`` words (the whole item or the
 whole document if that is shorter) must agree in at least ``percent`` of its positions. A window may hang over the
-document's start or end; the words that are cut off count as different.
+document's start or end; the words that are cut off count as different. Items and documents of fewer than ``LEAST_WORDS``
+words allow no substitution: the whole of them must occur, word for word.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ WORD = re.compile(r"\w+")
 MASKS = ("111011", "11001011", "1101000101", "10000100111", "11111", "110100101", "110111", "11010101", "11100011",
          "101111", "110010011", "101001101", "101100011", "111101", "110001101", "1100001011", "101010101", "100011011")
 SPAN = max(map(len, MASKS))
-#: Items and documents shorter than a window are compared as a whole, if they have this many words.
+#: Items and documents shorter than a window are compared as a whole; below this many words they must agree exactly.
 LEAST_WORDS = 8
+#: An item of fewer words is a phrase that any text may use: it leaks only into a document that holds nothing else.
+PHRASE_WORDS = 5
 OVERLAP, PERCENT = 20, 65
 FILTER_BITS = 26
 #: Windows hashed at once; their products stay in the processor's cache.
@@ -63,15 +66,23 @@ def _seeds(h: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
                 yield at, len(mask), total
 
 
+def _whole(h: np.ndarray) -> np.ndarray:
+    """The seed of a text of 1 to ``PHRASE_WORDS - 1`` words, taken as a whole; none for any other."""
+    if not 0 < len(h) < PHRASE_WORDS:
+        return np.zeros(0, np.uint64)
+    mark = odd_constants(PHRASE_WORDS, 102)[len(h)]
+    return np.array([mark + (h * odd_constants(len(h), 103)).sum(dtype=np.uint64)], np.uint64)
+
+
 def benchmark_seeds(items: DataFrame) -> DataFrame:
-    """``(hash, item_id, at)``: every window of every item under every mask it can carry."""
+    """``(hash, item_id, at)``: every window of every item under every mask it can carry, or a short item's own seed."""
     def run(batches):
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), binary_texts(batch.column(1))
             for item, text in zip(ids, texts):
                 h, _ = _normal([text])
-                each = [(at, s) for at, _, s in _seeds(h)] if len(h) >= LEAST_WORDS else []
-                if each:
+                each = [(at, s) for at, _, s in _seeds(h)] if len(h) >= PHRASE_WORDS else [(0, _whole(h))]
+                if len(h):
                     s = np.concatenate([s for _, s in each]).view(np.int64)
                     spots = np.concatenate([np.arange(at, at + len(s)) for at, s in each])
                     yield pa.RecordBatch.from_arrays(
@@ -133,6 +144,12 @@ def stretches(docs: DataFrame, bloom: bytes, bits: int, reach: int) -> DataFrame
                     at.append(first + hit)
                     seed.append(s[hit])
                     span.append(np.full(len(hit), width))
+                for d in np.flatnonzero((np.diff(bounds) > 0) & (np.diff(bounds) < PHRASE_WORDS)):
+                    s = _whole(h[bounds[d]:bounds[d + 1]])
+                    hit = _maybe(s, table, bits)
+                    at.append(bounds[d] + hit)
+                    seed.append(s[hit])
+                    span.append(np.ones(len(hit), np.int64))
                 at, seed, span = np.concatenate(at), np.concatenate(seed), np.concatenate(span)
                 doc = np.searchsorted(bounds, at, "right") - 1
                 inside = at + span <= bounds[doc + 1]
@@ -172,14 +189,14 @@ def _verify(group: pa.Table, overlap: int, percent: int) -> pa.RecordBatch | Non
         a, b = max(0, -shift), min(len(words), len(doc) - shift)
         # A stretch shorter than the window is a whole document.
         need = min(overlap, len(words), len(doc))
-        if need < min(overlap, LEAST_WORDS) or b <= a:
+        if b <= a or (need < PHRASE_WORDS and len(words) != len(doc)):
             continue
         same = np.concatenate([[0], np.cumsum(words[a:b] == doc[a + shift:b + shift])])
         # Cut short by the document's start or end, the window's missing words count as different.
         width = min(need, b - a)
         runs = same[width:] - same[:-width]
         best = int(runs.argmax())
-        if 100 * runs[best] >= percent * need:
+        if 100 * runs[best] >= (percent if need >= min(overlap, LEAST_WORDS) else 100) * need:
             out.append((doc_id, item, begin + shift + a + best, a + best, width, int(runs[best]), int(same[-1])))
     if not out:
         return None
@@ -193,9 +210,10 @@ def leaks(docs: DataFrame, items: DataFrame, overlap: int = OVERLAP, percent: in
 
     The row is the best verified window (ties: earliest in the document, then in the item), positions in words.
     ``n_window`` counts the window's words that lie in the document, ``n_diagonal`` equal words on its diagonal near the
-    hit. Null or empty texts leak nothing; an item or a document of fewer than ``LEAST_WORDS`` words is not compared, a
-    shorter one than a window is compared whole. Repeated document rows give one result; a null ``doc_id`` is kept as
-    such, a null ``item_id`` is ignored. Other columns are ignored.
+    hit. Null or empty texts leak nothing; an item or a document shorter than a window is compared whole, one of fewer than
+    ``LEAST_WORDS`` words without substitutions, and one of fewer than ``PHRASE_WORDS`` only with a text that is as short.
+    Repeated document rows give one result; a null ``doc_id`` is kept as such, a null ``item_id`` is ignored. Other columns
+    are ignored; empty tables give an empty result.
     """
     items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id is not null")
     words = landed(_item_words(items), "items")
