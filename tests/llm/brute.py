@@ -1,12 +1,15 @@
 """Plain single-process versions of the operators' definitions, and odd inputs that every operator must handle."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Column names that operators use inside; inputs that carry them must not matter.
@@ -200,3 +203,45 @@ def collocations(docs, least=10, top=2000):
             rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
         out += [(lang, i, p.decode(), -a, l, r, totals[lang], -s) for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top], 1)]
     return out
+
+
+def leaks(docs, items, overlap=20, percent=65):
+    """(doc, item) -> most equal words in a window, for all windows of all pairs that reach the threshold."""
+    ids = {}
+
+    def normal(text):
+        return np.array([ids.setdefault(w, len(ids)) for w in re.findall(r"\w+", (text or "").casefold())], np.int64)
+
+    found = {}
+    for (d, a), (i, b) in itertools.product([(d, normal(t)) for d, t in docs], [(i, normal(t)) for i, t in items]):
+        n = min(overlap, len(a), len(b))
+        if not n or (n < 5 and len(a) != len(b)):
+            continue
+        best = 0
+        for shift in range(1 - len(b), len(a)):
+            same = b[max(0, -shift):len(a) - shift] == a[max(0, shift):shift + len(b)]
+            total = np.concatenate([[0], np.cumsum(same)])
+            width = min(n, len(same))
+            best = max(best, int((total[width:] - total[:-width]).max()))
+        if 100 * best >= (percent if n >= 8 else 100) * n:
+            found[d, i] = best
+    return found
+
+
+def reliabilities(counts, kinds, iterations=25):
+    """Expectation maximisation over ``(kind, votes, n)`` -> (share, hit, miss, posteriors), independent labelers."""
+    no = np.array([k for k, _, _ in counts]) - 1
+    votes = np.array([v for _, v, _ in counts])
+    n = np.array([float(c) for _, _, c in counts])
+    share, hit, miss = np.full(kinds, 0.5), np.full(votes.shape[1], 0.8), np.full(votes.shape[1], 0.3)
+
+    def posterior():
+        yes = share[no] * np.prod(np.where(votes == 1, hit, np.where(votes == -1, 1 - hit, 1)), axis=1)
+        other = (1 - share[no]) * np.prod(np.where(votes == 1, miss, np.where(votes == -1, 1 - miss, 1)), axis=1)
+        return yes / (yes + other)
+
+    for _ in range(iterations):
+        p = posterior()
+        share = np.array([((n * p)[no == k].sum() + 1) / (n[no == k].sum() + 2) for k in range(kinds)])
+        hit, miss = (((n * w) @ (votes == 1) + 1) / ((n * w) @ (votes != 0) + 2) for w in (p, 1 - p))
+    return share, hit, miss, posterior()

@@ -102,3 +102,29 @@ def test_passages_at_the_threshold_are_found(spark):
     got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
                               spark.createDataFrame(items, ITEMS)).collect()
     assert sorted((r.doc_id, r.item_id) for r in got) == [(i, i) for i, _ in docs]
+
+
+def test_short_items_and_documents_are_compared_exactly(spark):
+    items = [(7, "Seven words that nobody else would say"), (5, "five words in this order"), (3, "just three words"),
+             (1, "yes"), (40, " ".join(f"i{n}" for n in range(40)))]
+    tail = " and then a clean text goes on for some more words than that"
+    docs = [(1, "x y z SEVEN words, that nobody else would say" + tail), (2, "seven words that nobody other would say" + tail),
+            (3, "Just three words!"), (4, "just three words" + tail), (5, "Yes."), (6, "yes" + tail), (7, "yes yes"),
+            (8, "i7 i8 i9 i10 i11 i12"), (9, "i7 i8 i9 i10"), (10, "i7 i8 i9 x10 i11 i12"), (11, "five words in this order"),
+            (12, "ah five words in this order"), (13, "words that nobody else would"), (14, "five words in that order")]
+    want = {(1, 7): 7, (3, 3): 3, (5, 1): 1, (8, 40): 6, (11, 5): 5, (12, 5): 5, (13, 7): 5}
+    assert brute.leaks(docs, items) == want
+    bench = spark.createDataFrame(items, ITEMS)
+    for bits in (decontaminate.FILTER_BITS, 8):
+        got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench, bits=bits).collect()
+        assert {(r.doc_id, r.item_id): r.n_equal for r in got} == want and len(got) == len(want)
+
+
+def test_against_all_windows_of_all_pairs(spark):
+    docs, items, _ = planted(9)
+    docs = docs[:45] + [(1000 + i, " ".join(t.split()[:n])) for i, (_, t) in enumerate(items) for n in (3, 6, 11)]
+    docs = list(dict(docs).items()) + [(2000 + i, brute.prose(60, 40 + i, 12)) for i in range(12)]
+    items += [(100 + i, brute.prose(n, 70 + i, 12)) for i, n in enumerate([3, 6, 9, 30])]
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                              spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r.doc_id, r.item_id): r.n_equal for r in got} == brute.leaks(docs, items)

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 
@@ -177,6 +178,67 @@ def test_ownership_separates_copies_from_live(spark):
     assert all(r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in got.values())
 
 
+def test_ownership_counts_owners_repositories_and_documents(spark):
+    def value(n):
+        return f"Zx81Qw72Er63Ty54Ui45Op{n:02d}"
+
+    rows = [(value(0), lang, "o1") for lang in ("en", "de", "fr", "es", "it")]
+    rows += [(value(1), lang, "o1") for lang in ("en", "de", "fr", "es")]
+    rows += [(value(2), "en", "o1")] * 101 + [(f"{value(3)} {value(3)}", "en", "o1")] * 100
+    rows += [(value(4), "en", None)] * 3 + [(value(5), "en", None)] * 2
+    rows += [(value(6), "en", o) for o in ("o1", "o2", "o3")] + [(value(7), None, o) for o in ("o1", "o2", "")[:2]]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, text string, lang string, source string")
+    got = {}
+    for r in secrets.secret_spans(df.repartition(5)).collect():
+        got.setdefault(rows[r.doc_id][0].split()[0], set()).add((r.n_live, r.n_copied, bool(r.spans)))
+    live, copied = {(1, 0, True)}, {(0, 1, False)}
+    assert got == {value(0): copied, value(1): live, value(2): copied, value(3): {(2, 0, True)}, value(4): copied,
+                   value(5): live, value(6): copied, value(7): live}
+
+
+def test_estimated_reliabilities_recover_planted_ones(spark):
+    """Votes drawn from known rates: the estimates come close to them, and equal a plain numpy version's."""
+    rng = random.Random(12)
+    share = [0.9, 0.2, 0.6, 0.4, 0.7, 0.1, 0.5, 0.3]
+    hit, miss, silent = [0.9, 0.8, 0.95, 0.7], [0.2, 0.35, 0.1, 0.4], [0, 0.1, 0.5, 0]
+    counts = Counter()
+    for no, s in enumerate(share, 1):
+        for _ in range(4000):
+            rate = hit if rng.random() < s else miss
+            counts[no, tuple(0 if rng.random() < a else 1 if rng.random() < r else -1
+                             for r, a in zip(rate, silent))] += 1
+    rows = [(no, ",".join(map(str, v)), n) for (no, v), n in sorted(counts.items())]
+    got = pii.reliabilities(spark.createDataFrame(rows, "no int, votes string, n long")).collect()[0]
+    want = brute.reliabilities([(no, v, n) for (no, v), n in sorted(counts.items())], len(share))
+    for a, b in zip((got.state.share, got.state.hit, got.state.miss), want):
+        assert max(abs(x - y) for x, y in zip(a, b)) < 1e-9
+    found = {(r.no, r.votes): r.p for r in got.rows}
+    assert max(abs(found[no, v] - p) for (no, v, _), p in zip(rows, want[3])) < 1e-9
+    for a, b in zip((got.state.share, got.state.hit, got.state.miss), (share, hit, miss)):
+        assert max(abs(x - y) for x, y in zip(a, b)) < 0.06
+
+
+def test_labelers_vote_both_ways(spark):
+    yes = ["call a.b@site.com now", "host 8.8.8.8 up", "card 4111 1111 1111 1111 ok", "phone +1 (212) 867-5309 ok",
+           "mail bob [at] site [dot] org ok", "iban DE89 3704 0044 0532 0130 00 ok", "ssn 123-45-6789 ok",
+           "call 212-867-5309 ok"]
+    no = ["serial =-a..b@site.x9/", "version =0.0.01.1_", "serial 9 9111-1111111111116x", "page 1 +99.1..2345678/",
+          "page =x[at]y9 [at] (dot) q9=", "serial #ZZ12 3704 0044 0532 0130 01=", "order 7 900-00-0000=",
+          "part 7 (012) 555.1234="]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(yes + no)], "doc_id long, text string")
+    seen = {}
+    for r in pii.candidates(df).collect():
+        for s in r.base + r.added:
+            if r.doc_id < len(yes):
+                if s.no == r.doc_id + 1:
+                    assert s.votes == "1,1,1,1", (r.doc_id, s)
+            for j, v in enumerate(s.votes.split(",")):
+                seen.setdefault((s.no, j), set()).add(v)
+    for j in range(4):
+        assert all("1" in seen[n, j] for n in range(1, 9))
+        assert sum("-1" in seen[n, j] for n in range(1, 9)) >= 5, (j, seen)
+
+
 def test_personal(spark):
     rng = random.Random(4)
     pieces_ = ["a@b.c_d@e.fg", "x@y", "a.b@c-d.org.", "1.2.3.4.5.6.7.8", "256.1.1.1", "010.020.030.0040", "4111 1111-1111 1111",
