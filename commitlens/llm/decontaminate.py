@@ -70,8 +70,7 @@ def _whole(h: np.ndarray) -> np.ndarray:
     """The seed of a text of 1 to ``PHRASE_WORDS - 1`` words, taken as a whole; none for any other."""
     if not 0 < len(h) < PHRASE_WORDS:
         return np.zeros(0, np.uint64)
-    mark = odd_constants(PHRASE_WORDS, 102)[len(h)]
-    return np.array([mark + (h * odd_constants(len(h), 103)).sum(dtype=np.uint64)], np.uint64)
+    return odd_constants(PHRASE_WORDS, 102)[len(h):len(h) + 1] + (h * odd_constants(len(h), 103)).sum(keepdims=True)
 
 
 def benchmark_seeds(items: DataFrame) -> DataFrame:
