@@ -11,12 +11,17 @@ The totals of a key are a chain, so a key is one task, as it is for the reduce;
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.functions.fields import explode_files, extension
 from commitlens.streaming.ordered import OrderedProcessor, ordered_rows
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # see ordered.py
+
 
 class RunningTotal(OrderedProcessor):
     """State of a key: its total."""

@@ -12,13 +12,19 @@ understands; both are computed by Spark before.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+# A stateful query first runs its processor in a Python process beside the driver, which sees neither the driver's
+# sys.path nor files that were added to the session: processors travel with their code.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 class OrderedProcessor(StatefulProcessor):
     """Calls :meth:`step` for every row of a key in (time, order); subclasses keep their own state beside it."""

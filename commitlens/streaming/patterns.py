@@ -16,14 +16,18 @@ Conditions are Column expressions that Spark evaluates into one bit a step, so b
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.streaming.ordered import OrderedProcessor, ordered_rows
 from commitlens.streaming.questions import added_removed_rows, status_rows
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # see ordered.py
+
 
 @dataclass(frozen=True)
 class Step:

@@ -7,12 +7,16 @@ the output of an interval join that holds, as the later of a pair's times is nev
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # see ordered.py
+
 
 class RestampProcessor(StatefulProcessor):
     """Passes rows on."""
