@@ -69,14 +69,16 @@ def pattern_matches(events: DataFrame, keys: list[str], time: str, order: list[s
     rows = ordered_rows(events, keys, time, order, pattern.bits())
     block = F.floor(F.col("us_") / F.lit(pattern.within_us))
     rows = rows.withColumn("_block", F.explode(F.array(block, block - 1)))
-    at = Window.partitionBy(*keys, "_block").orderBy("us_", "order_")
-    after = at.rowsBetween(1, Window.unboundedFollowing)
+    # From the last row to the first: a frame that grows from its first row is one pass over a block, one that shrinks
+    # towards its last row is read again for every row.
+    at = Window.partitionBy(*keys, "_block").orderBy(F.desc("us_"), F.desc("order_"))
+    after = at.rowsBetween(Window.unboundedPreceding, -1)
     last = len(pattern.steps) - 1
     rows = rows.withColumn("_end", F.col("us_"))
     for k in range(last, 0, -1):
         # The end of a match whose step k is this row, wrapped so that "satisfied, but leads nowhere" is not null.
         here = F.when(F.col("value_").bitwiseAND(F.lit(1 << k)) != 0, F.struct("_end"))
-        nxt = F.lead(here).over(at) if pattern.steps[k].strict else F.first(here, ignorenulls=True).over(after)
+        nxt = F.lag(here).over(at) if pattern.steps[k].strict else F.last(here, ignorenulls=True).over(after)
         rows = rows.withColumn("_end", nxt["_end"])
     starts = (F.col("value_").bitwiseAND(F.lit(1)) != 0) & (F.floor(F.col("us_") / F.lit(pattern.within_us)) == F.col("_block"))
     return rows.where(starts & (F.col("_end") - F.col("us_") < pattern.within_us)).select(
