@@ -4,7 +4,8 @@ Rows are ``(seq_id, pos, e)``: ``e`` is an element of whatever the caller's ``co
 a step (``lift`` of the item). ``combine(x, y)`` is the element of x's items followed by y's; it must be associative and give
 ``x``'s type. A block of ``block`` positions is combined into one element, these again block by block, until one is left, so a
 list has ``block`` elements at most and a sequence of n items is spread over n / block groups on the lowest level. Every
-level is ``block`` times smaller than the one below; the number of levels follows the highest position.
+level is ``block`` times smaller than the one below; the number of levels follows the highest position. Blocks of one
+position would never end: they are of two at least.
 
 A fold by a function that is not associative has no such form; ``sequences.fold_left`` keeps its one list a sequence.
 """
@@ -52,7 +53,7 @@ def _level(rows: DataFrame, combine: Combine, block: int, from_right: bool) -> D
 
 def fold_elements(rows: DataFrame, combine: Combine, block: int = BLOCK, from_right: bool = False) -> DataFrame:
     """``(seq_id, e)``: all elements of each sequence combined, in order (or from the last to the first)."""
-    highest = _highest(rows)
+    highest, block = _highest(rows), max(block, 2)
     while True:
         rows, highest = _level(rows, combine, block, from_right), highest // block
         if not highest:
@@ -62,6 +63,7 @@ def fold_elements(rows: DataFrame, combine: Combine, block: int = BLOCK, from_ri
 def scan_elements(rows: DataFrame, combine: Combine, block: int = BLOCK, from_right: bool = False) -> DataFrame:
     """``(seq_id, pos, before)``: what all elements before (or, from the right, after) a position combine to; null where
     there are none. Levels are combined upwards, then every block is given what stands before it."""
+    block = max(block, 2)
     groups = rows.groupBy("seq_id", F.expr(f"pos div {block}").alias("up")).agg(
         F.sort_array(F.collect_list(F.struct("pos", "e")), asc=not from_right).alias("items"))
     elements = F.transform("items", lambda s: s["e"])
