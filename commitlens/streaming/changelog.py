@@ -3,7 +3,7 @@
 A keyed ``reduce`` emits a row for each record; Spark's update mode emits a row for each key and micro-batch. This operator
 emits the reduce's rows: for every record, in event-time order, the total of its key up to and including it. The key's
 total and the rows that wait for the watermark are its state (:mod:`ordered`): a hot key waits in RocksDB, grouped by time
-bucket, and a task holds one bucket of it. Rows are emitted once the watermark has passed their bucket.
+bucket, and a task holds one bucket of a group of keys. Rows are emitted once the watermark has passed their bucket.
 
 The totals of a key are a chain, so a key is one task, as it is for the reduce; the batch form
 (``questions.ext_changelog``) has no such chain.
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.functions.fields import explode_files, extension
-from commitlens.streaming.ordered import OrderedProcessor, ordered_rows
+from commitlens.streaming.ordered import OrderedProcessor, ordered_rows, run_ordered
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # see ordered.py
 
@@ -31,17 +31,21 @@ class RunningTotal(OrderedProcessor):
         self.columns = [*keys, "at_us", "total"]
 
     def open(self, handle):
-        self.total = handle.getValueState("total", "total long")
+        self.totals = handle.getListState("totals", "name string, total long")
 
-    def load(self, key):
-        return [self.total.get()[0] if self.total.exists() else 0]
+    def new(self):
+        return [0]
 
-    def step(self, key, state, us, order, value):
+    def load(self):
+        return {name: [total] for name, total in self.totals.get()} if self.totals.exists() else {}
+
+    def step(self, state, us, order, value):
         state[0] += value
         return [(us, state[0])]
 
-    def store(self, key, state, horizon_us):
-        self.total.update((int(state[0]),))
+    def store(self, states, horizon_us):
+        if states:
+            self.totals.put([(name, int(total)) for name, (total,) in states.items()])
         return None
 
 
@@ -50,9 +54,7 @@ def running_total_stream(events: DataFrame, keys: list[str], time: str, order: l
     """``(*keys, at, total)`` for every row of a stream whose ``time`` has a watermark. Key columns are text, values are
     whole numbers (null counts as nothing and still emits a row)."""
     rows = ordered_rows(events, keys, time, order, F.coalesce(value.cast("long"), F.lit(0)))
-    schema = ", ".join(f"{k} string" for k in keys) + ", at_us long, total long"
-    out = rows.groupBy(*keys).transformWithStateInPandas(RunningTotal(keys, bucket_seconds * 1_000_000), schema, "append",
-                                                         "eventTime")
+    out = run_ordered(rows, keys, RunningTotal(keys, bucket_seconds * 1_000_000), "at_us long, total long")
     return out.select(*keys, F.timestamp_micros("at_us").alias("at"), "total")
 
 

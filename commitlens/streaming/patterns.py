@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commitlens.streaming.ordered import OrderedProcessor, ordered_rows
+from commitlens.streaming.ordered import OrderedProcessor, ordered_rows, run_ordered
 from commitlens.streaming.questions import added_removed_rows, status_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # see ordered.py
@@ -94,12 +94,19 @@ class PatternProcessor(OrderedProcessor):
         self.strict, self.within_us = strict, within_us
 
     def open(self, handle):
-        self.partial = handle.getListState("partial", "step int, us long")
+        self.partial = handle.getListState("partial", "name string, step int, us long")
 
-    def load(self, key):
-        return list(self.partial.get()) if self.partial.exists() else []
+    def new(self):
+        return []
 
-    def step(self, key, state, us, order, value):
+    def load(self):
+        states = {}
+        if self.partial.exists():
+            for name, at, start in self.partial.get():
+                states.setdefault(name, []).append((at, start))
+        return states
+
+    def step(self, state, us, order, value):
         kept, done = [], []
         for at, start in state:
             if us - start >= self.within_us:
@@ -113,11 +120,12 @@ class PatternProcessor(OrderedProcessor):
         state[:] = kept
         return [(start, us) for _, start in done]
 
-    def store(self, key, state, horizon_us):
-        state = [(int(at), int(start)) for at, start in state if start + self.within_us > horizon_us]
-        if state:
-            self.partial.put(state)
-            return min(start for _, start in state) + self.within_us
+    def store(self, states, horizon_us):
+        kept = [(name, int(at), int(start)) for name, state in states.items() for at, start in state
+                if start + self.within_us > horizon_us]
+        if kept:
+            self.partial.put(kept)
+            return min(start for _, _, start in kept) + self.within_us
         self.partial.clear()
         return None
 
@@ -126,13 +134,13 @@ def pattern_stream(events: DataFrame, keys: list[str], time: str, order: list[st
                    bucket_seconds: int | None = None) -> DataFrame:
     """Stream: the same rows as :func:`pattern_matches`; ``time`` has a watermark. Key columns are text.
 
-    ``bucket_seconds`` is how finely waiting rows are grouped (the time limit, if not given).
+    ``bucket_seconds`` is how finely waiting rows are grouped (the time limit, if not given). Every bucket is state
+    entries and calls of its own: let it be a good part of the watermark delay, which rows wait for anyway.
     """
     bucket = (bucket_seconds or pattern.within_seconds) * 1_000_000
     rows = ordered_rows(events, keys, time, order, pattern.bits())
     processor = PatternProcessor(keys, [s.strict for s in pattern.steps], pattern.within_us, bucket)
-    schema = ", ".join(f"{k} string" for k in keys) + ", start_us long, end_us long"
-    out = rows.groupBy(*keys).transformWithStateInPandas(processor, schema, "append", "eventTime")
+    out = run_ordered(rows, keys, processor, "start_us long, end_us long")
     return out.select(*keys, F.timestamp_micros("start_us").alias("started"), F.timestamp_micros("end_us").alias("ended"))
 
 
@@ -144,10 +152,11 @@ def added_removed_pattern(within_seconds: int = 86400) -> Pattern:
     return Pattern((Step(F.col("status") == "added"), Step(F.col("status") == "removed", strict=True)), within_seconds)
 
 
-def added_then_removed_stream(commits: DataFrame, within_seconds: int = 86400) -> DataFrame:
+def added_then_removed_stream(commits: DataFrame, within_seconds: int = 86400,
+                              bucket_seconds: int | None = None) -> DataFrame:
     """T7 on a streaming commit DataFrame that has ``ts`` and a watermark on it."""
     return pattern_stream(added_removed_rows(commits), FILE_KEYS, "ts", FILE_ORDER,
-                          added_removed_pattern(within_seconds)).select("repo", "filename")
+                          added_removed_pattern(within_seconds), bucket_seconds).select("repo", "filename")
 
 
 def reworked_pattern(least_changes: int = 60, within_seconds: int = 60 * 86400) -> Pattern:
@@ -166,5 +175,6 @@ def reworked_files(commits: DataFrame, **limits) -> DataFrame:
     return pattern_matches(status_rows(commits), FILE_KEYS, "ts", _change_order(), reworked_pattern(**limits))
 
 
-def reworked_files_stream(commits: DataFrame, **limits) -> DataFrame:
-    return pattern_stream(status_rows(commits), FILE_KEYS, "ts", _change_order(), reworked_pattern(**limits))
+def reworked_files_stream(commits: DataFrame, bucket_seconds: int | None = None, **limits) -> DataFrame:
+    return pattern_stream(status_rows(commits), FILE_KEYS, "ts", _change_order(), reworked_pattern(**limits),
+                          bucket_seconds)

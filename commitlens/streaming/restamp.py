@@ -15,6 +15,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StatefulProcessor
 
+from commitlens.streaming.ordered import state_group
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # see ordered.py
 
 
@@ -36,7 +38,7 @@ class RestampProcessor(StatefulProcessor):
 
 
 def restamped(rows: DataFrame, key: str, time: str) -> DataFrame:
-    """``rows`` with ``time`` as their event time; ``key`` spreads them over tasks."""
+    """``rows`` with ``time`` as their event time; ``key`` spreads them over tasks, by groups: each costs calls."""
     columns = rows.columns
-    return rows.groupBy(key).transformWithStateInPandas(
+    return rows.withColumn("group_", state_group(rows, key)).groupBy("group_").transformWithStateInPandas(
         RestampProcessor(columns), rows.schema, "append", "eventTime", eventTimeColumnName=time)
