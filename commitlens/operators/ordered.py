@@ -13,9 +13,8 @@ checkpoint folder and adds the sizes of the partitions before each one (one row
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 __all__ = ["row_number_within", "shift_within", "global_row_number", "global_running_sum", "position_block"]
@@ -29,17 +28,15 @@ def position_block(pos: str = "pos") -> Column:
     return F.floor(F.col(pos) / F.lit(BLOCK))
 
 
-def _bucketed(df: DataFrame, bucket: Column) -> DataFrame:
-    return df.withColumn("_b", bucket)
+def _bucketed(df: DataFrame, part: Sequence[str], bucket: Column) -> DataFrame:
+    """Rows with ``_k``, their key and bucket as one value: equal where all parts are, nulls included. Windows,
+    aggregates and joins on it share one partitioning, so the rows are shuffled and sorted once."""
+    return df.withColumn("_k", F.struct(*[F.col(p).alias(f"p{i}") for i, p in enumerate(part)], bucket.alias("b")))
 
 
-def _join_edges(rows: DataFrame, edges: DataFrame, part: Sequence[str]) -> DataFrame:
-    """Left join of per-(key, bucket) facts, keys compared null-safe."""
-    edges = edges.select(*[F.col(p).alias(f"_e{i}") for i, p in enumerate(part)], F.col("_b").alias("_eb"),
-                         *[c for c in edges.columns if c not in (*part, "_b")])
-    same = [rows[p].eqNullSafe(edges[f"_e{i}"]) for i, p in enumerate(part)]
-    same.append(rows["_b"].eqNullSafe(edges["_eb"]))
-    return rows.join(edges, reduce(lambda a, b: a & b, same), "left")
+def _along(part: Sequence[str]) -> WindowSpec:
+    """The buckets of a key, in order."""
+    return Window.partitionBy(*[f"_k.p{i}" for i in range(len(part))]).orderBy("_k.b")
 
 
 def row_number_within(df: DataFrame, part: Sequence[str], order: Sequence[str], bucket: Column,
@@ -49,13 +46,14 @@ def row_number_within(df: DataFrame, part: Sequence[str], order: Sequence[str],
     ``order`` must be a total order within ``part`` (ascending column names); ``bucket`` must not decrease along it.
     """
     columns = df.columns
-    rows = _bucketed(df, bucket)
-    sizes = rows.groupBy(*part, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select(*part, "_b", F.coalesce(before, F.lit(0)).alias("_before"))
-    local = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*part, "_b").orderBy(*order)))
-    return _join_edges(local, offsets, part).select(
-        *columns, (F.col("_rn") + F.col("_before")).cast("long").alias(name))
+    rows = _bucketed(df, part, bucket)
+    sizes = rows.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(_along(part).rowsBetween(Window.unboundedPreceding, -1))
+    # A key's first bucket has nothing before it; most keys have no other.
+    offsets = sizes.select("_k", before.alias("_before")).where(F.col("_before").isNotNull())
+    local = rows.withColumn("_rn", F.row_number().over(Window.partitionBy("_k").orderBy(*order)))
+    return local.join(offsets, "_k", "left").select(
+        *columns, (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("long").alias(name))
 
 
 def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str], bucket: Column,
@@ -69,13 +67,12 @@ def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols:
     suffix = suffix or ("_prev" if offset < 0 else "_next")
     fn, edge = (F.lag, F.max_by) if offset < 0 else (F.lead, F.min_by)
     columns = df.columns
-    rows = _bucketed(df, bucket)
+    rows = _bucketed(df, part, bucket)
     near = F.struct(*[F.col(c).alias(c) for c in cols])
-    edges = rows.groupBy(*part, "_b").agg(edge(near, F.struct(*order)).alias("_edge"))
-    edges = edges.select(*part, "_b", fn("_edge").over(Window.partitionBy(*part).orderBy("_b")).alias("_edge"))
-    w = Window.partitionBy(*part, "_b").orderBy(*order)
-    local = rows.withColumn("_near", fn(near).over(w))
-    joined = _join_edges(local, edges, part)
+    edges = rows.groupBy("_k").agg(edge(near, F.struct(*order)).alias("_edge"))
+    edges = edges.select("_k", fn("_edge").over(_along(part)).alias("_edge")).where(F.col("_edge").isNotNull())
+    local = rows.withColumn("_near", fn(near).over(Window.partitionBy("_k").orderBy(*order)))
+    joined = local.join(edges, "_k", "left")
     value = F.coalesce("_near", "_edge")
     return joined.select(*columns, *[value[c].alias(c + suffix) for c in cols])
 
