@@ -10,8 +10,10 @@ Conditions are Column expressions that Spark evaluates into one bit a step, so b
 * :func:`pattern_matches` (batch) follows a match from its end to its start with one window function a step. The windows run
   inside (key, time block); a block is as long as ``within`` and sees the next block's rows too, so a hot key is spread
   over its blocks and every match lies in the rows of the block that its first row belongs to.
-* :func:`pattern_stream` (streams) is an automaton on keyed state: the partial matches of a key, each its next step and the
-  times so far, advanced row by row in event-time order (:mod:`ordered`). A timer drops the ones that ran out of time.
+* :func:`pattern_stream` (streams) collects the rows of (key, window) until the watermark has passed the window, which is
+  a bucket and the time limit after it, and follows the matches that start in the bucket through the sorted rows. It is
+  an ordinary windowed aggregate: no Python process takes part, and any state store will do. A task holds one window of a key.
+* :class:`PatternProcessor` is the same as an automaton on keyed state, row by row in event-time order (:mod:`ordered`).
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from commitlens.streaming.ordered import OrderedProcessor, ordered_rows, run_ordered
+from commitlens.streaming.ordered import OrderedProcessor, ordered_rows
 from commitlens.streaming.questions import added_removed_rows, status_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # see ordered.py
@@ -132,16 +134,40 @@ class PatternProcessor(OrderedProcessor):
 
 def pattern_stream(events: DataFrame, keys: list[str], time: str, order: list[str | Column], pattern: Pattern,
                    bucket_seconds: int | None = None) -> DataFrame:
-    """Stream: the same rows as :func:`pattern_matches`; ``time`` has a watermark. Key columns are text.
+    """Stream: the same rows as :func:`pattern_matches`; ``time`` has a watermark.
 
-    ``bucket_seconds`` is how finely waiting rows are grouped (the time limit, if not given). Every bucket is state
-    entries and calls of its own: let it be a good part of the watermark delay, which rows wait for anyway.
+    ``bucket_seconds`` is how finely waiting rows are grouped (the time limit, if not given). A row waits in
+    ``1 + within / bucket`` windows of its key: let it be a good part of the watermark delay, which rows wait for anyway.
     """
-    bucket = (bucket_seconds or pattern.within_seconds) * 1_000_000
+    bucket = bucket_seconds or pattern.within_seconds
     rows = ordered_rows(events, keys, time, order, pattern.bits())
-    processor = PatternProcessor(keys, [s.strict for s in pattern.steps], pattern.within_us, bucket)
-    out = run_ordered(rows, keys, processor, "start_us long, end_us long")
-    return out.select(*keys, F.timestamp_micros("start_us").alias("started"), F.timestamp_micros("end_us").alias("ended"))
+    waiting = rows.groupBy(*keys, F.window(time, f"{bucket + pattern.within_seconds} seconds", f"{bucket} seconds")).agg(
+        F.collect_list(F.struct("us_", "order_", "value_")).alias("rows"))
+    found = waiting.select(*keys, F.unix_micros("window.start").alias("from_us"),
+                           F.explode(_matches_of(F.sort_array("rows", asc=False), pattern)).alias("m"))
+    return (found.where(F.col("m.start_us") < F.col("from_us") + bucket * 1_000_000)
+            .select(*keys, F.timestamp_micros("m.start_us").alias("started"), F.timestamp_micros("m.end_us").alias("ended")))
+
+
+def _matches_of(rows: Column, pattern: Pattern) -> Column:
+    """``(start_us, end_us)`` of the matches in an array of a key's rows, the last row first: the fold of an array does
+    what the windows of :func:`pattern_matches` do. It carries, for each step, the end of a match whose step is the next row
+    (strict) or the next row that satisfies it, wrapped so that "satisfied, but leads nowhere" is not null."""
+    last = len(pattern.steps) - 1
+    none = F.lit(None).cast("struct<end:bigint>")
+    start = F.struct(*[none.alias(f"n{k}") for k in range(last + 1)],
+                     F.array().cast("array<struct<start_us:bigint,end_us:bigint>>").alias("out"))
+
+    def step(acc: Column, row: Column) -> Column:
+        here = [F.when(row["value_"].bitwiseAND(F.lit(1 << k)) != 0,
+                       F.struct((row["us_"] if k == last else acc[f"n{k + 1}"]["end"]).alias("end")))
+                for k in range(last + 1)]
+        carried = [h if s.strict else F.coalesce(h, acc[f"n{k}"]) for k, (h, s) in enumerate(zip(here, pattern.steps))]
+        match = F.array(F.struct(row["us_"].alias("start_us"), here[0]["end"].alias("end_us")))
+        out = F.when(here[0]["end"] - row["us_"] < pattern.within_us, F.concat(acc["out"], match)).otherwise(acc["out"])
+        return F.struct(*[c.alias(f"n{k}") for k, c in enumerate(carried)], out.alias("out"))
+
+    return F.aggregate(rows, start, step, lambda acc: acc["out"])
 
 
 FILE_KEYS, FILE_ORDER = ["repo", "filename"], ["sha", "file_sha", "status"]
