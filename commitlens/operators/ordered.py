@@ -17,7 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-__all__ = ["row_number_within", "shift_within", "global_row_number", "global_running_sum", "position_block"]
+__all__ = ["row_number_within", "running_sum_within", "shift_within", "global_row_number", "global_running_sum",
+           "position_block"]
 
 #: Positions per bucket of a sequence.
 BLOCK = 1 << 16
@@ -56,6 +57,23 @@ def row_number_within(df: DataFrame, part: Sequence[str], order: Sequence[str],
         *columns, (F.col("_rn") + F.coalesce("_before", F.lit(0))).cast("long").alias(name))
 
 
+def running_sum_within(df: DataFrame, part: Sequence[str], order: Sequence[str], value: Column, bucket: Column,
+                       name: str) -> DataFrame:
+    """Adds ``name`` = the sum of ``value`` (whole numbers) over this row and all rows before it within ``part``.
+
+    ``order`` and ``bucket`` are as in :func:`row_number_within`; nulls in ``value`` count as nothing.
+    """
+    columns = df.columns
+    rows = _bucketed(df.withColumn("_v", F.coalesce(value.cast("long"), F.lit(0))), part, bucket)
+    sums = rows.groupBy("_k").agg(F.sum("_v").alias("_n"))
+    before = F.sum("_n").over(_along(part).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sums.select("_k", before.alias("_before")).where(F.col("_before").isNotNull())
+    upto = Window.partitionBy("_k").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_upto", F.sum("_v").over(upto))
+    return local.join(offsets, "_k", "left").select(
+        *columns, (F.col("_upto") + F.coalesce("_before", F.lit(0))).alias(name))
+
+
 def shift_within(df: DataFrame, part: Sequence[str], order: Sequence[str], cols: Sequence[str], bucket: Column,
                  offset: int = -1, suffix: str | None = None) -> DataFrame:
     """``lag`` (offset -1) or ``lead`` (offset +1) of ``cols`` within ``part`` ordered by ``order``.

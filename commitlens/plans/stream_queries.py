@@ -280,19 +280,15 @@ def twin_ext_changelog(spark, sf):
 
 @register("stream_ext_changelog", SQL_EXT_CHANGELOG)
 def stream_ext_changelog(spark, sf):
-    from commitlens.streaming import runner
-    from commitlens.streaming.changelog import ext_changelog_stream
-    return runner.run_append(spark, [ext_changelog_stream(
-        _commits(spark, sf), bucket_seconds=_bucket_seconds(spark, sf))], "t1-log", runner.ROCKSDB)
+    from commitlens.streaming.changelog import run_ext_changelog
+    return run_ext_changelog(spark, _commits(spark, sf), "t1-log", bucket_seconds=_bucket_seconds(spark, sf))
 
 
 @register("stream_ext_status_changelog", SQL_EXT_STATUS_CHANGELOG)
 def stream_ext_status_changelog(spark, sf):
     """T2 record by record."""
-    from commitlens.streaming import runner
-    from commitlens.streaming.changelog import ext_status_changelog_stream
-    return runner.run_append(spark, [ext_status_changelog_stream(
-        _commits(spark, sf), bucket_seconds=_bucket_seconds(spark, sf))], "t2-log", runner.ROCKSDB)
+    from commitlens.streaming.changelog import run_ext_status_changelog
+    return run_ext_status_changelog(spark, _commits(spark, sf), "t2-log", bucket_seconds=_bucket_seconds(spark, sf))
 
 
 # ---------------------------------------------------------------- late rows and messages that cannot be read
