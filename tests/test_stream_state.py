@@ -1,0 +1,62 @@
+"""Joins and patterns on streams: rows wait outside the executors' heap, in no more partitions than the cores ask for."""
+
+from pyspark.sql import functions as F
+
+from commitlens.functions.partitions import state_partitions
+from commitlens.plans import stream_queries as Q
+from commitlens.session import files_under, scratch_path, session_conf
+from commitlens.streaming import questions as S
+from commitlens.streaming import runner
+from fixtures import commit, commits_df
+
+HEAP = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+
+
+def _tables(spark):
+    """Four commits with files, as the tables the commit view is made of."""
+    folder = scratch_path(spark, "state-tables").removeprefix("file:")
+    day = lambda n: f"TIMESTAMP '2019-01-{n:02d} 00:00:00'"
+    tables = {
+        "region": "SELECT 0 AS r_regionkey, 'EUROPE' AS r_name",
+        "nation": "SELECT 0 AS n_nationkey, 0 AS n_regionkey",
+        "customer": "SELECT 1L AS c_custkey, 'Customer#1' AS c_name, 0 AS c_nationkey",
+        "orders": " UNION ALL ".join(f"SELECT {k}L AS o_orderkey, 1L AS o_custkey, {day(k)} AS o_orderdate"
+                                     for k in (1, 2, 3, 4)),
+        "lineitem": " UNION ALL ".join(
+            f"SELECT {k}L AS l_orderkey, 30L AS l_partkey, 1 AS l_linenumber, {q}D AS l_quantity, '{f}' AS l_returnflag"
+            for k, q, f in ((1, 1.0, "A"), (2, 50.0, "N"), (3, 1.0, "R"), (4, 2.0, "N")))}
+    for name, sql in tables.items():
+        spark.sql(sql).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_rows_wait_in_rocksdb_whatever_the_session_says(spark):
+    folder = _tables(spark)
+    runs = {"j3": Q.stream_geo_join}
+    with session_conf(spark, {runner.STATE_STORE: HEAP, "spark.sql.shuffle.partitions": "2"}):
+        rows = {name: q(spark, folder).count() for name, q in runs.items()}
+        for name in runs:
+            state = runner.LAST_QUERY[name].recentProgress[-1].stateOperators
+            assert state and all("rocksdbPutCount" in op.customMetrics for op in state), name
+    assert rows["j3"] == 4
+
+
+def test_state_has_no_more_partitions_than_the_cores_ask_for(spark):
+    assert state_partitions(spark) == "8"            # the session's
+    with session_conf(spark, {"spark.sql.shuffle.partitions": "600"}):
+        most = max(2 * spark.sparkContext.defaultParallelism, 12)
+        assert state_partitions(spark) == str(most)
+        feed = runner.land(commits_df(spark, [commit("a"), commit("b")]), scratch_path(spark, "fx-feed"), 1,
+                           "commit.committer.date", runner.sentinel_commit(spark))
+        live = S.with_event_time(runner.commit_stream(spark, feed)).withWatermark("ts", feed.delay)
+        got = runner.run_append(spark, [S.daily_commits(live)], "few")
+        assert got.agg(F.sum("n")).first()[0] == 2
+        assert runner.LAST_QUERY["few"].recentProgress[-1].stateOperators[0].numShufflePartitions == most
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "600"
+
+
+def test_feed_is_gzip_json_lines_of_every_record(spark):
+    feed = runner.land(commits_df(spark, [commit(f"g{i}") for i in range(5)]), scratch_path(spark, "fx-feed"), 2,
+                       "commit.committer.date", None)
+    assert all(p.endswith(".json.gz") for p, _, _ in files_under(spark, feed.folder))
+    assert {r.sha for r in spark.read.json(feed.folder).collect()} == {f"g{i}" for i in range(5)}
