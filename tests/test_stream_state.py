@@ -32,7 +32,7 @@ def _tables(spark):
 
 def test_rows_wait_in_rocksdb_whatever_the_session_says(spark):
     folder = _tables(spark)
-    runs = {"j3": Q.stream_geo_join, "t6-join": Q.stream_weekly_java_continent}
+    runs = {"j3": Q.stream_geo_join, "t6-join": Q.stream_weekly_java_continent, "t7-three": Q.stream_reworked_files, "t7": Q.stream_added_removed}
     with session_conf(spark, {runner.STATE_STORE: HEAP, "spark.sql.shuffle.partitions": "2"}):
         rows = {name: q(spark, folder).count() for name, q in runs.items()}
         for name in runs:
