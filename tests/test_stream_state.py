@@ -32,13 +32,15 @@ def _tables(spark):
 
 def test_rows_wait_in_rocksdb_whatever_the_session_says(spark):
     folder = _tables(spark)
-    runs = {"j3": Q.stream_geo_join, "t6-join": Q.stream_weekly_java_continent, "t7-three": Q.stream_reworked_files, "t7": Q.stream_added_removed}
+    runs = {"j3": Q.stream_geo_join, "t6-join": Q.stream_weekly_java_continent,
+            "t6-chain": Q.stream_weekly_java_continent_chained, "t7-three": Q.stream_reworked_files,
+            "t7": Q.stream_added_removed}
     with session_conf(spark, {runner.STATE_STORE: HEAP, "spark.sql.shuffle.partitions": "2"}):
         rows = {name: q(spark, folder).count() for name, q in runs.items()}
         for name in runs:
             state = runner.LAST_QUERY[name].recentProgress[-1].stateOperators
             assert state and all("rocksdbPutCount" in op.customMetrics for op in state), name
-    assert rows["j3"] == 4
+    assert rows["j3"] == 4 and rows["t6-join"] == rows["t6-chain"] > 0
 
 
 def test_state_has_no_more_partitions_than_the_cores_ask_for(spark):
